@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from retail_lake.schemas import FILE_TYPES, TYPE_BY_PREFIX
 
-# The suffixes removed when files of two stages are compared.
+# The suffixes removed when files of two stages are compared; the scraping logs
+# keep ``.aspx``.
 STRIPPED = (".aspx", ".xml", ".gz")
+SCRAPED = (".gz", ".xml")
 
 # Fixed pattern of a dump name: kind, 13-digit chain id, optional store, date, optional time.
 NAME_PATTERN = (

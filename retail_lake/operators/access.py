@@ -1,5 +1,6 @@
 """Read queries: file lists, pages, latest documents, counts, freshness."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from retail_lake.operators.filters import drop_control, eq_filter
@@ -36,7 +37,7 @@ def file_rows(df, chain, file_type, file):
     return drop_control(rows)
 
 
-def page(df, offset=0, size=PAGE_SIZE, order="row_index", bits=ROW_BITS):
+def page(df, offset=0, size=PAGE_SIZE, order="row_index", bits=ROW_BITS, top_n=TOP_N_ROWS):
     """L1: rows ``[offset, offset + size)`` in order. ``order`` is unique in ``df``.
 
     A shallow page is a top-n. A deep page finds the buckets it falls into from per-bucket counts
@@ -44,12 +45,12 @@ def page(df, offset=0, size=PAGE_SIZE, order="row_index", bits=ROW_BITS):
     """
     if offset < 0 or size < 0:
         raise ValueError("offset and size must not be negative")
-    if offset + size <= TOP_N_ROWS:
+    if offset + size <= top_n:
         return df.orderBy(order).offset(offset).limit(size)
     bucketed = df.withColumn("_b", F.shiftright(order, bits[0]))
     counts = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    starts = counts.withColumn("_g", F.lit(0)).select(
-        "_b", "_n", (F.sum("_n").over(_before("_g", "_b"))).alias("_end"))
+    upto = Window.partitionBy(F.lit(0)).orderBy("_b")  # one row per bucket
+    starts = counts.withColumn("_end", F.sum("_n").over(upto))
     wanted = (starts.where((F.col("_end") > offset) & (F.col("_end") - F.col("_n") < offset + size))
               .select("_b", (F.col("_end") - F.col("_n")).alias("_start")))
     inside = number_rows(bucketed.join(wanted, "_b"), ["_b"], order, out="_pos", bits=bits)
@@ -58,11 +59,6 @@ def page(df, offset=0, size=PAGE_SIZE, order="row_index", bits=ROW_BITS):
             .select(*df.columns).orderBy(order))
 
 
-def _before(group, order):
-    from pyspark.sql import Window
-    return Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-
-
 def page_meta(df, offset=0, size=PAGE_SIZE):
     """L1: one row: total_count, has_more, offset, chunk_size, next_cursor, prev_cursor."""
     if offset < 0 or size < 0:
