@@ -38,6 +38,26 @@ def completion_markers(df, by, order="row_index", key="file_name", bits=ROW_BITS
         F.col("n_rows").alias("total_expected_records"), "first_row", "last_row", "run_id")
 
 
+def continued_runs(rows, open_runs, by, order="row_index", key="file_name", bits=ROW_BITS):
+    """A1/ST4 over a later load: runs of the new rows, where the first one may go on an open run.
+
+    ``open_runs`` has the last run of each table so far (key, first_row, last_row, n_rows). Its last
+    row goes in front of the new ones; the run that begins with it takes over start and count.
+    """
+    held = open_runs.select(*by, F.col("last_row").alias(order), key)
+    runs = run_counts(rows.select(*by, order, key).unionByName(held), by, order, key, bits)
+    prior = open_runs.select(*by, F.col("last_row").alias("_at"), F.col("first_row").alias("_begun"),
+                             F.col("n_rows").alias("_had"))
+    goes_on = F.col("first_row").eqNullSafe(F.col("_at"))
+    return (runs.join(prior, list(by), "left")
+            .select(*by, "run_id", key,
+                    F.when(goes_on, F.col("_begun")).otherwise(F.col("first_row")).alias("first_row"),
+                    "last_row",
+                    F.when(goes_on, F.col("n_rows") - 1 + F.col("_had")).otherwise(F.col("n_rows"))
+                    .alias("n_rows"),
+                    F.coalesce(F.col("last_row") > F.col("_at"), F.lit(True)).alias("has_new_rows")))
+
+
 def with_markers(rows, markers):
     """Data rows and markers in one frame; ``seq`` puts a marker right after its last row."""
     data = rows.withColumn("seq", F.col("row_index") * 2)

@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from retail_lake.plans import access_queries, ingest_queries, quality_queries, status_queries  # noqa: F401
+from retail_lake.plans import access_queries, ingest_queries, quality_queries, status_queries, storage_queries  # noqa: F401
 from retail_lake.plans.registry import CHECKS, QUERIES  # noqa: F401
