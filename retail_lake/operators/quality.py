@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from retail_lake.functions.names import SCRAPED, STRIPPED, strip_ext
 from retail_lake.functions.values import error_label, is_ok, micros
 from retail_lake.operators.merge import first_per_key
-from retail_lake.operators.scan import TIME_BITS, number_rows, running
+from retail_lake.operators.scan import TIME_BITS, number_rows, slots
 from retail_lake.schemas import LOSS_LIMIT
 
 # The stages a seen file can end in, in order of precedence.
@@ -26,10 +26,9 @@ def run_timestamps(status, by, ts, bits=TIME_BITS):
 def asof_greedy(left, right, by, lts, rts, bits=TIME_BITS):
     """JN2: in time order, each left stamp takes the nearest unused right stamp at or after it.
 
-    With ``lb`` the right stamps before left stamp ``i``, the choice is right stamp
-    ``k = i + max(lb - i over the left stamps so far)``; past the last right stamp there is none.
-    Both sides go through one running count, and pairs meet on (group, k), where a key has at most
-    one row of each side. One row per distinct left stamp.
+    Both sides are stacked and numbered in one pass (see ``slots``); pairs then meet on
+    (group, slot), which has at most one row of each side. A left stamp whose slot lies past the
+    last right stamp stays without one. One row per distinct left stamp.
     """
     def side(df, ts, flag):
         return (df.where(F.col(ts).isNotNull()).select(*by, F.col(ts).alias("_ts")).distinct()
@@ -38,19 +37,11 @@ def asof_greedy(left, right, by, lts, rts, bits=TIME_BITS):
     stamps = side(left, lts, 0).unionByName(side(right, rts, 1))
     # A left stamp sorts before an equal right stamp, which it may take.
     keyed = stamps.withColumn("_order", micros("_ts") * 2 + F.col("_right"))
-    one = F.lit(1).cast("bigint")
-    is_right = F.col("_right") == 1
-    counted = running(
-        keyed, by, "_order",
-        {"_rights": ("sum", F.when(is_right, one), True), "_lefts": ("sum", F.when(~is_right, one), True)},
-        bits, keep_bucket=True)
-    lag = F.col("_rights") - (F.col("_lefts") - 1)
-    placed = running(counted, by, "_order", {"_shift": ("max", F.when(~is_right, lag), True)}, bits)
-    slot = F.when(is_right, F.col("_rights") - 1).otherwise(F.col("_lefts") - 1 + F.col("_shift"))
-    return (placed.select(*by, "_ts", "_right", slot.alias("_slot"))
+    placed = slots(keyed, by, "_order", F.col("_right") == 1, bits)
+    return (placed.select(*by, "_ts", "_right", F.col("slot").alias("_slot"))
             .groupBy(*by, "_slot")
-            .agg(F.max(F.when(~is_right, F.col("_ts"))).alias(lts),
-                 F.max(F.when(is_right, F.col("_ts"))).alias(rts))
+            .agg(F.max(F.when(F.col("_right") == 0, F.col("_ts"))).alias(lts),
+                 F.max(F.when(F.col("_right") == 1, F.col("_ts"))).alias(rts))
             .where(F.col(lts).isNotNull())
             .select(*by, lts, rts))
 
@@ -125,9 +116,9 @@ def first_seen(df, by, key, run):
     return df.groupBy(*by, key).agg(F.min(run).alias(run))
 
 
-def new_files(fates, chain="chain", run="run"):
+def new_files(seen, chain="chain", run="run"):
     """Number of files a run sees for the first time in its chain."""
-    return (first_seen(fates, [chain], "file_name", run)
+    return (first_seen(seen, [chain], "file_name", run)
             .groupBy(chain, run).agg(F.count(F.lit(1)).alias("new_files")))
 
 

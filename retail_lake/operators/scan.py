@@ -42,13 +42,12 @@ def _combine(kind, carry, local):
     return F.greatest(local, carry)
 
 
-def running(df, by, order, outputs, bits=ROW_BITS, keep_bucket=False):
+def running(df, by, order, outputs, bits=ROW_BITS, totals_of=None):
     """Add running columns in ``order`` (BIGINT, unique per group) within ``by`` (never null).
 
     ``outputs`` maps a new column to ``(kind, column, inclusive)``; kind is ``last`` (last value
     that is not null), ``sum`` or ``max``. With ``inclusive`` false the current row is left out.
-    ``keep_bucket`` leaves the bucket column in place, so that a second ``running`` with the same
-    order and bits finds the rows already partitioned.
+    ``totals_of`` may give the same rows by a shorter plan for the bucket totals.
     """
     if not bits:
         window = Window.partitionBy(*by).orderBy(order)
@@ -59,40 +58,30 @@ def running(df, by, order, outputs, bits=ROW_BITS, keep_bucket=False):
             for name, (kind, col, inc) in outputs.items()
         ])
 
-    inputs = {name: f"_in_{name}" for name in outputs}
-    bucket = F.col(_BUCKET) if _BUCKET in df.columns else F.shiftright(F.col(order), bits[0])
-    source = df.select(
-        *[c for c in df.columns if c != _BUCKET],
-        bucket.alias(_BUCKET),
-        *[col.alias(inputs[name]) for name, (_, col, _) in outputs.items()],
-    )
+    def bucketed(rows):
+        return rows.select(
+            "*", F.shiftright(F.col(order), bits[0]).alias(_BUCKET),
+            *[col.alias(f"_in_{name}") for name, (_, col, _) in outputs.items()])
+
     keys = [*by, _BUCKET]
     window = Window.partitionBy(*keys).orderBy(order)
-    local = source.select("*", *[
-        _local(kind, F.col(inputs[name]),
+    local = bucketed(df).select("*", *[
+        _local(kind, F.col(f"_in_{name}"),
                window.rowsBetween(Window.unboundedPreceding, 0 if inc else -1)).alias(f"_local_{name}")
         for name, (kind, _, inc) in outputs.items()
     ])
-    totals = source.groupBy(*keys).agg(*[
-        _total(kind, F.col(inputs[name]), order).alias(f"_total_{name}")
+    totals = bucketed(df if totals_of is None else totals_of).groupBy(*keys).agg(*[
+        _total(kind, F.col(f"_in_{name}"), order).alias(f"_total_{name}")
         for name, (kind, _, _) in outputs.items()
-    ])
-    if len(bits) > 1:
-        totals = totals.withColumnRenamed(_BUCKET, "_key")
-        next_order = "_key"
-    else:
-        next_order = _BUCKET
+    ]).withColumnRenamed(_BUCKET, "_key")
     carry = running(
-        totals, by, next_order,
+        totals, by, "_key",
         {f"_carry_{name}": (kind, F.col(f"_total_{name}"), False)
          for name, (kind, _, _) in outputs.items()},
         bits[1:],
-    )
-    carry = carry.select(*by, F.col(next_order).alias(_BUCKET), *[f"_carry_{n}" for n in outputs])
-    joined = local.join(carry, keys, "left")
-    return joined.select(
-        *[c for c in df.columns if c != _BUCKET],
-        *([_BUCKET] if keep_bucket else []),
+    ).select(*by, F.col("_key").alias(_BUCKET), *[f"_carry_{n}" for n in outputs])
+    return local.join(carry, keys, "left").select(
+        *df.columns,
         *[_combine(kind, F.col(f"_carry_{name}"), F.col(f"_local_{name}")).alias(name)
           for name, (kind, _, _) in outputs.items()],
     )
@@ -119,62 +108,140 @@ def forward_fill(df, by, order, cols, within=None, bits=ROW_BITS):
         filled = running(df, by, order, {f"_f_{c}": ("last", F.col(c), True) for c in cols}, bits)
         return filled.select(*rest, *[F.col(f"_f_{c}").alias(c) for c in cols]).select(*df.columns)
 
-    sourced = {
+    rest = [c for c in rest if c != within]
+    others = [c for c in cols if c != within]
+    dated = {
         f"_f_{c}": ("last",
                     F.when(F.col(c).isNotNull(),
                            F.struct(F.col(order).alias("at"), F.col(c).alias("value"))), True)
-        for c in cols
+        for c in others
     }
-    filled = running(df, by, order,
-                     {**sourced, "_prev": ("last", F.col(within), False)}, bits, keep_bucket=True)
-    begins = F.col(within).isNotNull() & ~F.col(within).eqNullSafe(F.col("_prev"))
-    marked = running(filled, by, order,
-                     {"_begin": ("max", F.when(begins, F.col(order)), True)}, bits)
-    value = [
-        F.col(f"_f_{c}.value").alias(c) if c == within
-        else F.when(F.col(f"_f_{c}.at") >= F.coalesce(F.col("_begin"), F.col(f"_f_{c}.at")),
-                    F.col(f"_f_{c}.value")).alias(c)
-        for c in cols
-    ]
-    return marked.select(*rest, *value).select(*df.columns)
+    marked = runs(df, by, order, within, bits)
+    filled = running(marked, by, order, {**dated, "_f_key": ("last", F.col(within), True)}, bits,
+                     totals_of=df)
+    return filled.select(
+        *rest, F.col("_f_key").alias(within),
+        *[F.when(F.col(f"_f_{c}.at") >= F.coalesce(F.col("run_start"), F.col(f"_f_{c}.at")),
+                 F.col(f"_f_{c}.value")).alias(c) for c in others]).select(*df.columns)
 
 
-def run_ids(df, by, order, key, out="run_id", bits=ROW_BITS):
-    """Number the contiguous runs of ``key`` from 1; a null key continues the current run.
+def _runs_before(df, by, order, bits):
+    """For each element: name, number and start of the run in progress before it.
+
+    An element is a stretch of rows: ``_f`` and ``_l`` are its first and last name, ``_n`` its runs,
+    ``_b`` where its last run begins. A row is a stretch of one; a bucket is again a stretch, so the
+    bucket summary goes through the same steps. Adds ``_p``, ``_c`` and ``_s``.
+    """
+    named = F.col("_f").isNotNull()
+    keys = [*by, _BUCKET] if bits else by
+    source = df.withColumn(_BUCKET, F.shiftright(F.col(order), bits[0])) if bits else df
+    past = (Window.partitionBy(*keys).orderBy(order)
+            .rowsBetween(Window.unboundedPreceding, -1))
+    begun = F.col("_n") - (named & F.col("_f").eqNullSafe(F.col("_p"))).cast("bigint")
+    local = (
+        source.withColumn("_p", F.last("_l", ignorenulls=True).over(past))
+        .withColumn("_new", begun)
+        .withColumn("_c", F.coalesce(F.sum("_new").over(past), F.lit(0)))
+        .withColumn("_s", F.max(F.when(F.col("_new") > 0, F.col("_b"))).over(past))
+    )
+    if not bits:
+        return local.drop("_new")
+
+    stretches = local.groupBy(*keys).agg(
+        F.min_by("_f", F.when(named, F.col(order))).alias("_f"),
+        F.max_by("_l", F.when(F.col("_l").isNotNull(), F.col(order))).alias("_l"),
+        F.sum("_new").alias("_n"),
+        F.max(F.when(F.col("_new") > 0, F.col("_b"))).alias("_b"),
+    ).withColumnRenamed(_BUCKET, "_key")
+    carry = _runs_before(stretches, by, "_key", bits[1:])
+    goes_on = F.col("_f").isNotNull() & F.col("_f").eqNullSafe(F.col("_p"))
+    carry = carry.select(*by, F.col("_key").alias(_BUCKET), goes_on.cast("bigint").alias("_on"),
+                         F.col("_p").alias("_p0"), F.col("_c").alias("_c0"), F.col("_s").alias("_s0"))
+    fresh = F.col("_p").isNull()
+    first_goes_on = (F.col("_c") == 1) & (F.col("_on") == 1)
+    return local.join(carry, keys, "left").select(
+        *df.columns,
+        F.coalesce("_p", "_p0").alias("_p"),
+        F.when(fresh, F.col("_c0")).otherwise(F.col("_c0") + F.col("_c") - F.col("_on")).alias("_c"),
+        F.when(fresh | first_goes_on, F.col("_s0")).otherwise(F.col("_s")).alias("_s"),
+    )
+
 
-    Rows before the first key have run 0.
+def runs(df, by, order, key, bits=ROW_BITS):
+    """Add ``run_id`` and ``run_start`` of the contiguous run of ``key`` each row belongs to.
+
+    A null key continues the current run; rows before the first key have run 0 and no start.
     """
-    prev = running(df, by, order, {"_prev": ("last", F.col(key), False)}, bits, keep_bucket=True)
-    begins = F.col(key).isNotNull() & ~F.col(key).eqNullSafe(F.col("_prev"))
-    return running(prev, by, order, {out: ("sum", begins.cast("bigint"), True)}, bits).drop("_prev")
+    has_key = F.col(key).isNotNull()
+    rows = df.select("*", F.col(key).alias("_f"), F.col(key).alias("_l"),
+                     has_key.cast("bigint").alias("_n"), F.when(has_key, F.col(order)).alias("_b"))
+    begins = has_key & ~F.col(key).eqNullSafe(F.col("_p"))
+    return _runs_before(rows, by, order, bits).select(
+        *df.columns, (F.col("_c") + begins.cast("bigint")).alias("run_id"),
+        F.when(begins, F.col(order)).otherwise(F.col("_s")).alias("run_start"))
+
+
+def run_ids(df, by, order, key, out="run_id", bits=ROW_BITS):
+    """Number the contiguous runs of ``key`` from 1."""
+    return runs(df, by, order, key, bits).drop("run_start").withColumnRenamed("run_id", out)
 
 
 def run_counts(df, by, order, key, bits=ROW_BITS):
     """A1: one row per contiguous run of ``key``: run id, first and last row, row count.
 
-    Rows are first reduced to segments inside each bucket; only segments are merged across buckets.
-    Rows before the first key belong to no run and are left out.
+    Counts are combined inside each bucket before they are shuffled. Rows before the first key
+    belong to no run and are left out.
     """
-    keys = [*by, _BUCKET]
-    window = Window.partitionBy(*keys).orderBy(order)
-    past = window.rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.select(*by, F.shiftright(F.col(order), bits[0]).alias(_BUCKET),
-                     F.col(order).alias("_at"), F.col(key).alias("_name"))
-    window, past = window.orderBy("_at"), past.orderBy("_at")
-    begins = F.col("_name").isNotNull() & ~F.col("_name").eqNullSafe(F.col("_prev"))
-    segments = (
-        rows.withColumn("_prev", F.last("_name", ignorenulls=True).over(past))
-        .withColumn("_seg", F.sum(begins.cast("bigint")).over(
-            window.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*keys, "_seg")
-        .agg(F.max("_name").alias("_name"), F.min("_at").alias("_first"),
-             F.max("_at").alias("_last"), F.count(F.lit(1)).alias("_n"))
-        .drop(_BUCKET)
-    )
-    numbered = run_ids(segments, by, "_first", "_name", "run_id", bits)
+    rows = df.select(*by, F.col(order).alias("_at"), F.col(key).alias("_name"))
     return (
-        numbered.where(F.col("run_id") > 0)
+        runs(rows, by, "_at", "_name", bits).where(F.col("run_id") > 0)
         .groupBy(*by, "run_id")
-        .agg(F.max("_name").alias(key), F.min("_first").alias("first_row"),
-             F.max("_last").alias("last_row"), F.sum("_n").alias("n_rows"))
+        .agg(F.max("_name").alias(key), F.min("_at").alias("first_row"), F.max("_at").alias("last_row"),
+             F.count(F.lit(1)).alias("n_rows"))
+    )
+
+
+def slots(df, by, order, is_right, bits=TIME_BITS):
+    """Greedy one-to-one slots: add ``slot`` to stacked left and right rows.
+
+    Right rows have their own position. Left row ``i`` with ``lb`` right rows before it has slot
+    ``i + max(lb - i)`` over the left rows so far: the nearest right row no earlier left row took.
+    """
+    rows = df.select("*", is_right.cast("bigint").alias("_r"), (~is_right).cast("bigint").alias("_l"),
+                     F.when(~is_right, F.lit(0).cast("bigint")).alias("_m"))
+    before = _slots_before(rows, by, order, bits)
+    ahead = F.col("_r0") - F.col("_l0")
+    return before.select(
+        *df.columns,
+        F.when(is_right, F.col("_r0"))
+        .otherwise(F.col("_l0") + F.greatest(ahead, F.col("_m0"))).alias("slot"))
+
+
+def _slots_before(df, by, order, bits):
+    """Exclusive totals: right rows, left rows, and the greatest lead of rights at a left row so far.
+
+    An element has ``_r`` rights, ``_l`` lefts and the greatest lead ``_m`` counted from its start.
+    """
+    keys = [*by, _BUCKET] if bits else by
+    source = df.withColumn(_BUCKET, F.shiftright(F.col(order), bits[0])) if bits else df
+    past = (Window.partitionBy(*keys).orderBy(order)
+            .rowsBetween(Window.unboundedPreceding, -1))
+    zero = F.lit(0).cast("bigint")
+    local = (
+        source.withColumn("_r0", F.coalesce(F.sum("_r").over(past), zero))
+        .withColumn("_l0", F.coalesce(F.sum("_l").over(past), zero))
+        .withColumn("_lead", F.col("_r0") - F.col("_l0") + F.col("_m"))
+        .withColumn("_m0", F.max("_lead").over(past))
     )
+    if not bits:
+        return local.drop("_lead")
+
+    totals = local.groupBy(*keys).agg(
+        F.sum("_r").alias("_r"), F.sum("_l").alias("_l"), F.max("_lead").alias("_m"),
+    ).withColumnRenamed(_BUCKET, "_key")
+    carry = _slots_before(totals, by, "_key", bits[1:]).select(
+        *by, F.col("_key").alias(_BUCKET), F.col("_r0").alias("_rc"), F.col("_l0").alias("_lc"),
+        F.col("_m0").alias("_mc"))
+    return local.join(carry, keys, "left").select(
+        *df.columns, (F.col("_r0") + F.col("_rc")).alias("_r0"), (F.col("_l0") + F.col("_lc")).alias("_l0"),
+        F.greatest(F.col("_m0") + F.col("_rc") - F.col("_lc"), F.col("_mc")).alias("_m0"))

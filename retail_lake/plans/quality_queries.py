@@ -50,8 +50,8 @@ def file_fates(spark, sf_dir):
     "GROUP BY f.chain, f.run")))
 def file_funnel(spark, sf_dir):
     """Files of every run by stage, and how many were new."""
-    fates = fates_of(spark, sf_dir)
-    return (quality.funnel(fates).join(quality.new_files(fates), ["chain", "run"], "left")
+    seen = view(spark, sf_dir, "fx_doc_files").select("chain", "run", "file_name")
+    return (quality.funnel(fates_of(spark, sf_dir)).join(quality.new_files(seen), ["chain", "run"], "left")
             .withColumn("new_files", F.coalesce("new_files", F.lit(0).cast("bigint"))))
 
 

@@ -16,7 +16,7 @@ from retail_lake.operators.status import with_digest
 from retail_lake.streaming import events as event_stream
 from retail_lake.streaming import markers as marker_stream
 
-SLICE = 200
+SLICE = 5000
 CHAINS = ["Chain1", "CHAIN12"]
 
 

@@ -16,15 +16,14 @@ def read_messages(spark, target, fmt="parquet", **options):
 def with_canonical(df, value="value"):
     """Add ``canonical``: the document with sorted keys, null where the value is no JSON object."""
     doc = F.from_json(value, "map<string,string>")
-    is_doc = F.startswith(F.ltrim(value), F.lit("{")) & F.try_parse_json(value).isNotNull()
-    return df.withColumn("canonical", F.when(is_doc, F.to_json(
-        F.map_from_entries(F.array_sort(F.map_entries(doc))))))
+    return df.withColumn("canonical", F.to_json(F.map_from_entries(F.array_sort(F.map_entries(doc)))))
 
 
 def drop_control_messages(df, value="value"):
     """F3 on messages: warm-up and flush messages are no data."""
     def control(name):
-        return F.coalesce(F.get_json_object(value, f"$.{name}") == "true", F.lit(False))
+        return F.contains(F.col(value), F.lit(name)) & F.coalesce(
+            F.get_json_object(value, f"$.{name}") == "true", F.lit(False))
 
     return df.where(~(control("warmup") | control("flush")))
 
