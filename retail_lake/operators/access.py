@@ -53,6 +53,9 @@ def page(df, offset=0, size=PAGE_SIZE, order="row_index", bits=ROW_BITS, top_n=T
     starts = counts.withColumn("_end", F.sum("_n").over(upto))
     wanted = (starts.where((F.col("_end") > offset) & (F.col("_end") - F.col("_n") < offset + size))
               .select("_b", (F.col("_end") - F.col("_n")).alias("_start")))
+    # No bucket is empty, so a page meets at most size + 1 of them.
+    if size < TOP_N_ROWS:
+        wanted = F.broadcast(wanted)
     inside = number_rows(bucketed.join(wanted, "_b"), ["_b"], order, out="_pos", bits=bits)
     at = F.col("_start") + F.col("_pos")
     return (inside.where((at >= offset) & (at < offset + size))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from retail_lake.functions.names import table_name
+from retail_lake.operators.sizing import broadcast_if_small
 from retail_lake.schemas import FILE_TYPES, STATUS_TABLES
 
 
@@ -12,10 +13,15 @@ def chain_dim(spark, folders):
 
 
 def with_chain(df, dim, folder="folder"):
-    """JN5: rows keyed by dump folder get their chain name; chains without rows still appear."""
-    keyed = dim.withColumn("_folder", F.lower("folder")).drop("folder")
-    rows = df.withColumn("_folder", F.lower(folder))
-    return keyed.join(rows, "_folder", "left").drop("_folder")
+    """JN5: rows keyed by dump folder get their chain name; chains without rows still appear.
+
+    The dimension is the broadcast side, so a chain with very many rows stays spread out.
+    """
+    keyed = dim.select("chain", F.lower("folder").alias("_folder"))
+    rows = df.withColumn("_folder", F.lower(folder)).drop(folder)
+    found = rows.join(broadcast_if_small(keyed), "_folder")
+    absent = keyed.join(rows.select("_folder").distinct(), "_folder", "left_anti")
+    return found.unionByName(absent, allowMissingColumns=True).drop("_folder")
 
 
 def table_registry(chains, file_types=FILE_TYPES, chain="chain"):
@@ -45,5 +51,9 @@ def expected_files(registry):
 
 
 def missing_expected(expected, listing, name="file_name"):
-    """JN8: expected names that the listing lacks."""
-    return expected.select(name).distinct().join(listing.select(name), name, "left_anti")
+    """JN8: expected names that the listing lacks; both sides are stacked and grouped by name."""
+    stacked = (expected.select(name, F.lit(False).alias("_listed"))
+               .unionByName(listing.select(name, F.lit(True).alias("_listed"))))
+    return (stacked.groupBy(name)
+            .agg(F.bool_or("_listed").alias("_listed"), F.bool_or(~F.col("_listed")).alias("_expected"))
+            .where(F.col("_expected") & ~F.col("_listed")).select(name))

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from retail_lake.operators.scan import ROW_BITS, forward_fill, run_counts
+from retail_lake.operators.scan import ROW_BITS, run_counts, running
+from retail_lake.operators.sizing import broadcast_if_small
 from retail_lake.schemas import KEY_COLUMNS
 
 # Fixed value: what a completion marker carries.
@@ -18,15 +19,14 @@ def pack_rows(df, keep=(), content=None):
                      "found_folder", "file_name", packed.alias("content"))
 
 
-def split_quarantine(df, by, order="row_index"):
-    """(good rows, bad rows): a table whose first row lacks a key column is set aside whole.
+def has_keys():
+    """Whether a row carries its file name and folder."""
+    return F.col("file_name").isNotNull() & F.col("found_folder").isNotNull()
 
-    One min_by per table decides, combined map-side; the join side has one row per table.
-    """
-    first = df.groupBy(*by).agg(
-        F.min_by(F.col("file_name").isNotNull() & F.col("found_folder").isNotNull(), order)
-        .alias("_ok"))
-    flagged = df.join(first, list(by), "left")
+
+def split_quarantine(df, by, order="row_index", bits=ROW_BITS):
+    """(good rows, bad rows): a table whose first row lacks a key column is set aside whole."""
+    flagged = running(df, by, order, {"_ok": ("first", has_keys(), True)}, bits)
     return flagged.where("_ok").drop("_ok"), flagged.where("NOT _ok").drop("_ok")
 
 
@@ -46,16 +46,15 @@ def continued_runs(rows, open_runs, by, order="row_index", key="file_name", bits
     """
     held = open_runs.select(*by, F.col("last_row").alias(order), key)
     runs = run_counts(rows.select(*by, order, key).unionByName(held), by, order, key, bits)
-    prior = open_runs.select(*by, F.col("last_row").alias("_at"), F.col("first_row").alias("_begun"),
+    prior = open_runs.select(*by, F.col("last_row").alias("first_row"), F.col("first_row").alias("_begun"),
                              F.col("n_rows").alias("_had"))
-    goes_on = F.col("first_row").eqNullSafe(F.col("_at"))
-    return (runs.join(prior, list(by), "left")
+    goes_on = F.col("_begun").isNotNull()
+    return (runs.join(prior, [*by, "first_row"], "left")
             .select(*by, "run_id", key,
-                    F.when(goes_on, F.col("_begun")).otherwise(F.col("first_row")).alias("first_row"),
-                    "last_row",
+                    F.coalesce("_begun", "first_row").alias("first_row"), "last_row",
                     F.when(goes_on, F.col("n_rows") - 1 + F.col("_had")).otherwise(F.col("n_rows"))
                     .alias("n_rows"),
-                    F.coalesce(F.col("last_row") > F.col("_at"), F.lit(True)).alias("has_new_rows")))
+                    (~goes_on | (F.col("last_row") > F.col("first_row"))).alias("has_new_rows")))
 
 
 def with_markers(rows, markers):
@@ -66,9 +65,12 @@ def with_markers(rows, markers):
 
 
 def rows_after(df, progress, table="table_name", order="row_index"):
-    """ST1: rows beyond the stored high-water mark; a table without a mark is read whole."""
+    """ST1: rows beyond the stored high-water mark; a table without a mark is read whole.
+
+    ``progress`` has one row per table, so the rows are filtered where they are.
+    """
     marks = progress.select(F.col("table_name").alias(table), F.col("last_row").alias("_mark"))
-    return (df.join(marks, table, "left")
+    return (df.join(broadcast_if_small(marks), table, "left")
             .where(F.col(order) > F.coalesce(F.col("_mark"), F.lit(-1)))
             .drop("_mark"))
 
@@ -84,19 +86,20 @@ def merge_progress(old, new):
 
 
 def ingest(df, by, content, carry=None, bits=ROW_BITS):
-    """Fill, set bad tables aside, pack and mark: (data rows, markers, quarantined rows).
+    """Fill, set bad tables aside and pack, in one pass over the rows: (data rows, quarantined rows).
 
     ``carry`` holds the last stored row of each table (filled, with its ``row_index``); with it a
     resumed load fills from the stored row, and the carried row itself is left out of the result.
+    Quarantined rows are packed as they came.
     """
     wide = [*by, *KEY_COLUMNS, *content]
-    fresh = df.select(*wide)
-    joined = fresh if carry is None else fresh.unionByName(carry.select(*wide))
-    good, bad = split_quarantine(joined, by)
-    filled = forward_fill(good, by, "row_index", ["found_folder", "file_name", *content], bits=bits)
+    rows = df.select(*wide, F.lit(False).alias("_held"))
     if carry is not None:
-        held = carry.select(*by, F.col("row_index").alias("_held"))
-        filled = (filled.join(held, list(by), "left")
-                  .where(F.col("_held").isNull() | (F.col("row_index") > F.col("_held")))
-                  .drop("_held"))
-    return pack_rows(filled, keep=by, content=list(content)), filled, bad
+        rows = rows.unionByName(carry.select(*wide, F.lit(True).alias("_held")))
+    fill = ["found_folder", "file_name", *content]
+    scanned = running(rows, by, "row_index", {
+        "_ok": ("first", has_keys(), True), **{f"_f_{c}": ("last", F.col(c), True) for c in fill}}, bits)
+    scanned = scanned.where(~F.col("_held"))
+    good = scanned.where("_ok").select(*by, "row_index", *[F.col(f"_f_{c}").alias(c) for c in fill])
+    bad = scanned.where("NOT _ok").select(*wide)
+    return pack_rows(good, by, content), pack_rows(bad, by, content)

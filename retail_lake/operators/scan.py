@@ -15,12 +15,17 @@ ROW_BITS = (20,)
 # Microsecond keys: buckets of 67 s, grouped by 51 days.
 TIME_BITS = (26, 16)
 
+# An order value before every other one.
+BEFORE_ALL = -(1 << 62)
+
 _BUCKET = "_bucket"
 
 
 def _local(kind, col, window):
     if kind == "last":
         return F.last(col, ignorenulls=True).over(window)
+    if kind == "first":
+        return F.first(col).over(window)
     if kind == "sum":
         return F.sum(col).over(window)
     if kind == "max":
@@ -31,12 +36,16 @@ def _local(kind, col, window):
 def _total(kind, col, order):
     if kind == "last":
         return F.max_by(col, F.when(col.isNotNull(), F.col(order)))
+    if kind == "first":
+        return F.min_by(col, F.col(order))
     return F.sum(col) if kind == "sum" else F.max(col)
 
 
 def _combine(kind, carry, local):
     if kind == "last":
         return F.coalesce(local, carry)
+    if kind == "first":
+        return F.coalesce(carry, local)
     if kind == "sum":
         return F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0))
     return F.greatest(local, carry)
@@ -46,7 +55,7 @@ def running(df, by, order, outputs, bits=ROW_BITS, totals_of=None):
     """Add running columns in ``order`` (BIGINT, unique per group) within ``by`` (never null).
 
     ``outputs`` maps a new column to ``(kind, column, inclusive)``; kind is ``last`` (last value
-    that is not null), ``sum`` or ``max``. With ``inclusive`` false the current row is left out.
+    that is not null), ``first`` (value of the first row, never null), ``sum`` or ``max``. With ``inclusive`` false the current row is left out.
     ``totals_of`` may give the same rows by a shorter plan for the bucket totals.
     """
     if not bits:
@@ -88,13 +97,17 @@ def running(df, by, order, outputs, bits=ROW_BITS, totals_of=None):
 
 
 def number_rows(df, by, order, start=None, out="row_index", bits=ROW_BITS):
-    """0-based row number per group; ``start`` (by..., last_row) continues a stored table."""
-    counted = running(df, by, order, {out: ("sum", F.lit(1).cast("bigint"), False)}, bits)
-    if start is None:
-        return counted
-    joined = counted.join(start.select(*by, "last_row"), by, "left")
-    return (joined.withColumn(out, F.col(out) + F.coalesce(F.col("last_row"), F.lit(-1)) + 1)
-            .drop("last_row"))
+    """0-based row number per group; ``start`` (by..., last_row) continues a stored table.
+
+    The stored rows of a group go in front as one row that weighs as much as all of them.
+    """
+    weighed = df.withColumn("_weight", F.lit(1).cast("bigint")).withColumn("_stored", F.lit(False))
+    if start is not None:
+        held = start.select(*by, F.lit(BEFORE_ALL).alias(order), (F.col("last_row") + 1).alias("_weight"),
+                            F.lit(True).alias("_stored"))
+        weighed = weighed.unionByName(held, allowMissingColumns=True)
+    counted = running(weighed, by, order, {out: ("sum", F.col("_weight"), False)}, bits)
+    return counted.where(~F.col("_stored")).drop("_weight", "_stored")
 
 
 def forward_fill(df, by, order, cols, within=None, bits=ROW_BITS):

@@ -43,7 +43,7 @@ def shown(rows):
     "ORDER BY row_index LIMIT 100")))
 def file_page(spark, sf_dir):
     """Landing rows filled, packed, filtered and paged for one file."""
-    packed, _, _ = ingest.ingest(view(spark, sf_dir, "fx_rows"), ["chain", "file_type"], CONTENT)
+    packed, _ = ingest.ingest(view(spark, sf_dir, "fx_rows"), ["chain", "file_type"], CONTENT)
     return shown(access.page(access.file_rows(packed, CHAIN, KIND, FILE)))
 
 

@@ -75,7 +75,7 @@ def ffill_within_file(spark, sf_dir):
 def pack(spark, sf_dir):
     """W2 + P1: filled rows packed into the stored shape; the content map is shown as JSON."""
     rows = view(spark, sf_dir, "fx_rows")
-    packed, _, _ = ingest.ingest(rows, ["chain"], CONTENT)
+    packed, _ = ingest.ingest(rows, ["chain"], CONTENT)
     return packed.withColumn("content", F.to_json("content"))
 
 
@@ -138,7 +138,7 @@ def resume(spark, sf_dir):
         F.max("row_index").alias("row_index"),
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("row_index"))).alias(c) for c in FILLED])
     fresh = ingest.rows_after(rows, marks)
-    packed, _, _ = ingest.ingest(fresh, ["chain"], CONTENT, carry=carry)
+    packed, _ = ingest.ingest(fresh, ["chain"], CONTENT, carry=carry)
     return packed.select("chain", "row_index", "file_name", F.to_json("content").alias("content"))
 
 

@@ -121,40 +121,42 @@ class Lake:
         return batch
 
     def _load_rows(self, outputs, batch):
+        """Number, fill, pack and write the rows past each table's mark.
+
+        A table's stored rows all lie at or below its mark, and a retried load replaces its own
+        folder, so new rows are unique by (table, row index) without a look at the stored ones.
+        """
         progress = self.progress()
         groups = files.landing_groups(self.spark, outputs)
         loads = [self._load_group(columns, paths, progress, batch, n) for n, (columns, paths) in enumerate(groups)]
         if loads:
             packed = functools.reduce(lambda a, b: a.unionByName(b), [p for p, _ in loads])
-            bad = functools.reduce(lambda a, b: a.unionByName(b), [q for _, q in loads])
-            items = packed.withColumn("batch_id", F.lit(batch).cast("bigint"))
-            # Stored rows up to the lowest mark cannot meet the new ones; the bound reaches the scan.
-            floor = progress.agg(F.coalesce(F.min("last_row"), F.lit(-1))).first()[0]
-            stored = self.rows().where(F.col("row_index") > floor)
-            fresh = merge.insert_ignore(stored, items, [*PARTITIONS, "row_index"], "batch_id")
-            store.write_rows(fresh.select(*STORED_ROW.names), self._path("rows"), batch)
-            store.write_batch(bad.withColumn("batch_id", F.lit(batch)), self._path("quarantine"), batch)
+            store.write_rows(packed.withColumn("batch_id", F.lit(batch)).select(*STORED_ROW.names),
+                             self._path("rows"), batch, placed=True)
+        bad = [b for _, b in loads if b is not None]
+        if bad:
+            store.write_batch(functools.reduce(lambda a, b: a.unionByName(b), bad)
+                              .withColumn("batch_id", F.lit(batch)), self._path("quarantine"), batch)
         self._load_progress(progress, batch)
 
     def _load_group(self, columns, paths, progress, batch, group):
-        """Rows past the mark of the files of one header: (packed rows, quarantined rows).
-
-        The numbered rows are written once; the later steps read columns, not CSV.
-        """
+        """Rows past the mark of the files of one header: (packed rows, quarantined rows or None)."""
         content = [c for c in columns if c not in KEY_COLUMNS]
-        landed = files.read_csv_rows(self.spark, paths, columns)
+        landed = files.read_csv_rows(self.spark, paths, columns,
+                                     folder=f"{self._path('landing')}/batch_id={batch}/group={group}")
         landed = (landed.withColumn("_t", names.split_table_name("table_name"))
                   .select("table_name", "_t.file_type", "_t.chain", "row_index", "found_folder", "file_name", *content))
-        folder = f"{self._path('landing')}/batch_id={batch}/group={group}"
-        (ingest.rows_after(self._with_enabled_chain(landed), progress)
-         .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder))
-        fresh = self.spark.read.parquet(folder)
-        touched = fresh.select("table_name").distinct()
-        carry = progress.join(touched, "table_name", "left_semi").select(
+        fresh = ingest.rows_after(self._with_enabled_chain(landed), progress)
+        # One row per table: where its new rows begin, and whether its first row has keys.
+        begin = fresh.groupBy("table_name").agg(F.min_by(ingest.has_keys(), "row_index").alias("ok"))
+        begins = {r.table_name: r.ok for r in begin.toLocalIterator()}
+        carry = progress.where(F.col("table_name").isin(list(begins))).select(
             *TABLE, F.col("last_row").alias("row_index"), "found_folder", "file_name",
             *[F.col("content")[c].alias(c) for c in content])
-        packed, _, bad = ingest.ingest(fresh, TABLE, content, carry=carry)
-        return packed, ingest.pack_rows(bad, keep=TABLE, content=content)
+        packed, bad = ingest.ingest(fresh, TABLE, content, carry=carry)
+        held = {r.table_name for r in carry.select("table_name").toLocalIterator()}
+        any_bad = any(not ok for table, ok in begins.items() if table not in held)
+        return packed, bad if any_bad else None
 
     def _with_enabled_chain(self, rows):
         """Table names are lower case; give rows the chain's own spelling, and drop other chains."""

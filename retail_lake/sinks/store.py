@@ -13,15 +13,17 @@ def write_batch(df, path, batch_id, partitions=()):
     writer.parquet(f"{path}/batch_id={batch_id}")
 
 
-def write_rows(df, path, batch_id, bits=ROW_BITS):
-    """Write data rows by (file type, chain): a file holds one bucket of row numbers in order.
+def write_rows(df, path, batch_id, bits=ROW_BITS, placed=False):
+    """Write data rows by (file type, chain): a file holds buckets of row numbers in order.
 
     A hot table is spread over many tasks, a task writes few tables, and both ``file_name`` and
-    ``row_index`` are clustered, so that file and page reads skip row groups.
+    ``row_index`` are clustered, so that file and page reads skip row groups. ``placed`` says that
+    the rows are already partitioned by table and bucket, as the ingest pass leaves them.
     """
     keys = ["file_type", "chain"]
-    placed = df.repartition(*keys, F.shiftright("row_index", bits[0]))
-    write_batch(placed.sortWithinPartitions(*keys, "row_index"), path, batch_id, keys)
+    if not placed:
+        df = df.repartition(*keys, F.shiftright("row_index", bits[0]))
+    write_batch(df.sortWithinPartitions(*keys, "row_index"), path, batch_id, keys)
 
 
 def create_empty(spark, path, schema, batch_id=-1):

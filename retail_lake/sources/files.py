@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from retail_lake.functions.names import base_name, file_glob, table_of_path
 from retail_lake.operators.scan import running
+from retail_lake.operators.sizing import broadcast_if_small
+from retail_lake.session import shared_dir
 
 # Blocks of a file are scanned in groups of 128 GB.
 BLOCK_BITS = (37,)
@@ -32,23 +34,30 @@ def landing_groups(spark, folder):
     return [(list(columns), paths) for columns, paths in groups.items()]
 
 
-def read_csv_rows(spark, paths, columns, multi_line=False):
+def read_csv_rows(spark, paths, columns, multi_line=False, folder=None):
     """SRC1: CSV rows as text with (source_file, table_name, row_index).
 
     ``row_index`` is the position of the row in its file, header excluded. A file is read in blocks
     by many tasks; ids rise within a block, so the position is the id relative to the first one of
-    the block plus the rows of all earlier blocks, and no row is shuffled to be numbered.
+    the block plus the rows of all earlier blocks. The rows are written to ``folder`` (by default a
+    new shared one) with block and id, in the one pass that reads CSV; block offsets come from what
+    was written, so they hold however the files were split, and no row is shuffled to be numbered.
     ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
     """
+    folder = folder or shared_dir(spark, "landing")
     schema = ", ".join(f"`{c}` STRING" for c in columns)
-    raw = (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
-           .csv(paths)
-           .select(*columns, F.col("_metadata.file_path").alias("_path"),
-                   F.col("_metadata.file_block_start").alias("_block"))
-           .withColumn("_id", F.monotonically_increasing_id()))
-    blocks = raw.groupBy("_path", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    offsets = running(blocks, ["_path"], "_block", {"_before": ("sum", F.col("_n"), False)}, BLOCK_BITS)
-    placed = raw.join(offsets.select("_path", "_block", "_first", "_before"), ["_path", "_block"])
+    (spark.read.schema(schema).option("header", True).option("multiLine", multi_line).csv(paths)
+     .select(*columns, F.col("_metadata.file_path").alias("_path"),
+             F.col("_metadata.file_block_start").alias("_block"),
+             F.monotonically_increasing_id().alias("_id"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/rows"))
+    landed = spark.read.parquet(f"{folder}/rows")
+    blocks = landed.groupBy("_path", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    (running(blocks, ["_path"], "_block", {"_before": ("sum", F.col("_n"), False)}, BLOCK_BITS)
+     .select("_path", "_block", "_first", "_before")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/blocks"))
+    offsets = spark.read.parquet(f"{folder}/blocks")
+    placed = landed.join(broadcast_if_small(offsets), ["_path", "_block"])
     return placed.select(
         base_name("_path").alias("source_file"), table_of_path("_path").alias("table_name"),
         (F.col("_id") - F.col("_first") + F.col("_before")).alias("row_index"), *columns)
@@ -60,7 +69,7 @@ def read_status_logs(spark, folder):
     A file is one JSON object with the arrays ``events`` and ``global_status``; the payload keeps
     the text of the event, whatever its shape. ``seq`` orders events before global rows.
     """
-    docs = (spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder)
+    docs = (spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
             .select(base_name(F.col("_metadata.file_path")).alias("source_file"),
                     F.from_json("value", "events array<string>, global_status array<string>").alias("doc")))
     parts = F.array(

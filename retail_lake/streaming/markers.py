@@ -3,6 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from retail_lake.operators.access import latest
 from retail_lake.operators.ingest import COMPLETE, continued_runs
 from retail_lake.operators.scan import ROW_BITS
 
@@ -28,12 +29,10 @@ def marker_writer(spark, root, by, schema, order="row_index", key="file_name", b
         runs = continued_runs(batch, before, by, order, key, bits)
         runs.write.mode("overwrite").parquet(f"{root}/runs/batch_id={batch_id}")
         runs = spark.read.parquet(f"{root}/runs/batch_id={batch_id}")
-        last = runs.groupBy(*by).agg(F.max("run_id").alias("_last"))
-        tagged = runs.join(last, list(by))
-        closed = tagged.where(F.col("run_id") < F.col("_last"))
+        still_open = latest(runs, by, F.col("run_id"))
+        closed = runs.join(still_open.select(*by, "run_id"), [*by, "run_id"], "left_anti")
         _markers(closed, by).write.mode("overwrite").parquet(f"{root}/markers/batch_id={batch_id}")
-        (tagged.where(F.col("run_id") == F.col("_last"))
-         .select(*by, key, "first_row", "last_row", "n_rows")
+        (still_open.select(*by, key, "first_row", "last_row", "n_rows")
          .write.mode("overwrite").parquet(f"{root}/open/batch_id={batch_id}"))
 
     return write

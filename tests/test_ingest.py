@@ -19,7 +19,7 @@ def shape(rows):
 
 def test_every_row_its_own_file(spark):
     rows = [("t", i, f"folder{i}", f"file{i}", f"data{i}") for i in range(10)]
-    packed, _, bad = load(spark, rows)
+    packed, bad = load(spark, rows)
     assert shape(packed) == [(i, f"folder{i}", f"file{i}", {"more_data": f"data{i}"}) for i in range(10)]
     assert bad.count() == 0
     marks = ingest.completion_markers(spark.createDataFrame(rows, WIDE), ["table_name"], bits=(1,))
@@ -30,7 +30,7 @@ def test_every_row_its_own_file(spark):
 @pytest.mark.parametrize("bits", [(1,), (20,)])
 def test_sparse_keys_leave_no_nulls(spark, bits):
     rows = [("t", 0, "folder", "file", "data")] + [("t", i, None, None, None) for i in range(1, 10)]
-    packed, _, _ = ingest.ingest(spark.createDataFrame(rows, WIDE), ["table_name"], ["more_data"], bits=bits)
+    packed, _ = ingest.ingest(spark.createDataFrame(rows, WIDE), ["table_name"], ["more_data"], bits=bits)
     assert shape(packed) == [(i, "folder", "file", {"more_data": "data"}) for i in range(10)]
 
 
@@ -51,14 +51,14 @@ def test_a_file_in_two_runs_has_two_markers(spark):
 
 def test_first_row_without_keys_sets_the_table_aside(spark):
     rows = [("bad", 0, None, "f", "x"), ("bad", 1, "d", "f", "x"), ("good", 0, "d", "f", "x")]
-    packed, _, bad = load(spark, rows)
+    packed, bad = load(spark, rows)
     assert [r.table_name for r in packed.collect()] == ["good"]
     assert sorted(r.row_index for r in bad.collect()) == [0, 1]
 
 
 def test_markers_follow_their_rows(spark):
     rows = spark.createDataFrame([("t", i, "d", "f1" if i < 2 else "f2", None) for i in range(3)], WIDE)
-    packed, _, _ = ingest.ingest(rows, ["table_name"], ["more_data"])
+    packed, _ = ingest.ingest(rows, ["table_name"], ["more_data"])
     both = ingest.with_markers(packed, ingest.completion_markers(rows, ["table_name"])).orderBy("seq").collect()
     assert [(r.file_name, r.file_complete) for r in both] == [
         ("f1", None), ("f1", None), ("f1", "true"), ("f2", None), ("f2", "true")]
@@ -69,12 +69,13 @@ def test_markers_follow_their_rows(spark):
 def test_resume_equals_one_load(spark):
     rows = [("t", 0, "d", "f", "x"), ("t", 1, None, None, None), ("t", 2, None, None, "y"), ("t", 3, None, None, None),
             ("t", 4, None, "g", None)]
-    whole, _, _ = load(spark, rows)
-    first, filled, _ = load(spark, rows[:2])
+    whole, _ = load(spark, rows)
+    first, _ = load(spark, rows[:2])
     marks = ingest.progress_of(spark.createDataFrame(rows[:2], WIDE))
     fresh = ingest.rows_after(spark.createDataFrame(rows, WIDE), marks)
-    carry = filled.where("row_index = 1")
-    second, _, bad = ingest.ingest(fresh, ["table_name"], ["more_data"], carry=carry)
+    carry = first.where("row_index = 1").select(
+        "table_name", "row_index", "found_folder", "file_name", F.col("content.more_data").alias("more_data"))
+    second, bad = ingest.ingest(fresh, ["table_name"], ["more_data"], carry=carry)
     assert shape(first) + shape(second) == shape(whole) and bad.count() == 0
     after = ingest.merge_progress(marks, ingest.progress_of(fresh)).first()
     assert (after.table_name, after.last_row) == ("t", 4)

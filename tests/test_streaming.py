@@ -1,0 +1,75 @@
+import pytest
+from pyspark.sql import functions as F
+
+from retail_lake.sources import topic
+from retail_lake.streaming import events, markers
+
+SCHEMA = "table_name string, row_index bigint, file_name string"
+EVENT = "source_file string, digest string, v bigint, ts timestamp"
+
+
+def land(spark, folder, rows, schema):
+    spark.createDataFrame(rows, schema).write.mode("append").parquet(folder)
+
+
+def test_dedup_over_batches(spark, tmp_path):
+    landing, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    for rows in ([("f", "1", 1), ("f", "1", 2), ("f", "2", 3)], [("f", "2", 4), ("g", "2", 5)]):
+        land(spark, landing, rows, "source_file string, digest string, v bigint")
+        stream = events.read_stream(spark, landing, "source_file string, digest string, v bigint", max_files=1)
+        events.run_available(events.new_events(stream), out, check)
+    got = sorted((r.source_file, r.digest) for r in spark.read.parquet(out).collect())
+    assert got == [("f", "1"), ("f", "2"), ("g", "2")]
+
+
+def test_dedup_within_a_watermark(spark, tmp_path):
+    landing, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    rows = spark.createDataFrame([("f", "1", 1, "2024-01-01 00:00:00"), ("f", "1", 2, "2024-01-01 00:01:00")],
+                                 "source_file string, digest string, v bigint, at string")
+    rows.select("source_file", "digest", "v", F.to_timestamp("at").alias("ts")).write.parquet(landing)
+    stream = events.read_stream(spark, landing, EVENT)
+    events.run_available(events.new_events(stream, "ts", "10 minutes"), out, check)
+    assert spark.read.schema(EVENT).parquet(out).count() == 1
+
+
+def test_markers_over_batches(spark, tmp_path):
+    """A file that goes on in the next batch is counted whole; a retried batch changes nothing."""
+    landing, state, check = (str(tmp_path / n) for n in ("in", "state", "check"))
+    write = markers.marker_writer(spark, state, ["table_name"], "table_name string", bits=(2,))
+    batches = [
+        [("t", 0, "a"), ("t", 1, None), ("t", 2, "b"), ("u", 0, "x")],
+        [("t", 3, None), ("t", 4, "b"), ("t", 5, "c")],
+        [("u", 1, None), ("u", 2, "y"), ("t", 6, None)],
+    ]
+    for rows in batches:
+        land(spark, landing, rows, SCHEMA)
+        events.run_available(events.read_stream(spark, landing, SCHEMA), write, check)
+    write(spark.createDataFrame(batches[2], SCHEMA), 2)
+    closed = sorted((r.table_name, r.file_name, r.total_expected_records)
+                    for r in spark.read.parquet(f"{state}/markers").collect())
+    assert closed == [("t", "a", 2), ("t", "b", 3), ("u", "x", 2)]
+    every = sorted((r.table_name, r.file_name, r.first_row, r.total_expected_records)
+                   for r in markers.all_markers(spark, state, ["table_name"], 2).collect())
+    assert every == [("t", "a", 0, 2), ("t", "b", 2, 3), ("t", "c", 5, 2), ("u", "x", 0, 2), ("u", "y", 2, 1)]
+
+
+def test_topic_writer_flushes_after_each_batch(spark, tmp_path):
+    landing, target, check = (str(tmp_path / n) for n in ("in", "topic", "check"))
+    schema = "file_name string, n bigint"
+    for rows in ([("f1", 1), ("f1", 2)], [("f1", 3), ("f2", 4)]):
+        land(spark, landing, rows, schema)
+        events.run_available(events.read_stream(spark, landing, schema),
+                             events.topic_writer(target, "t"), check)
+    sent = topic.read_messages(spark, target)
+    got = sorted((r.batch_id, r.part, r.key, r.value) for r in sent.collect())
+    assert [g[:3] for g in got] == [(0, 0, "f1"), (0, 0, "f1"), (0, 1, "f1"), (1, 0, "f1"), (1, 0, "f2"),
+                                    (1, 1, "f1"), (1, 1, "f2")]
+    assert topic.clean_topic(sent).count() == 4
+
+
+@pytest.mark.parametrize("option", [{"max_files": 1}, {"max_bytes": 1024}])
+def test_bounded_batches_lose_nothing(spark, tmp_path, option):
+    landing, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    spark.range(100).repartition(5).write.parquet(landing)
+    events.run_available(events.read_stream(spark, landing, "id bigint", **option), out, check)
+    assert spark.read.parquet(out).distinct().count() == 100
