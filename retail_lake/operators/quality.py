@@ -1,5 +1,7 @@
 """Audit of the pipeline: run matching, file fates, funnel, loss, reconciliation (JN2-JN4, JN7, A2-A4, A11, W4)."""
 
+import functools
+
 from pyspark.sql import functions as F
 
 from retail_lake.functions.names import SCRAPED, STRIPPED, strip_ext
@@ -31,7 +33,8 @@ def asof_greedy(left, right, by, lts, rts, bits=TIME_BITS):
     last right stamp stays without one. One row per distinct left stamp.
     """
     def side(df, ts, flag):
-        return (df.where(F.col(ts).isNotNull()).select(*by, F.col(ts).alias("_ts")).distinct()
+        present = functools.reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*by, ts)])
+        return (df.where(present).select(*by, F.col(ts).alias("_ts")).distinct()
                 .withColumn("_right", F.lit(flag)))
 
     stamps = side(left, lts, 0).unionByName(side(right, rts, 1))

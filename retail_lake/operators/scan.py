@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 # Dense keys (row numbers): 1M rows per bucket; a table of 10**12 rows has 10**6 buckets.
 ROW_BITS = (20,)
-# Microsecond keys: buckets of 67 s, grouped by 51 days.
-TIME_BITS = (26, 16)
+# Microsecond keys: buckets of 4.5 minutes, grouped by 200 days.
+TIME_BITS = (28, 16)
 
 # An order value before every other one.
 BEFORE_ALL = -(1 << 62)
@@ -21,6 +21,12 @@ BEFORE_ALL = -(1 << 62)
 _BUCKET = "_bucket"
 
 
+def _bucket_of(order, bits):
+    """Bucket of an order key. It cannot be null, and says so: the planner then adds no null filter
+    on one side of a join only, which would keep the two sides from sharing an exchange."""
+    return F.coalesce(F.shiftright(F.col(order), bits), F.lit(0).cast("bigint"))
+
+
 def _local(kind, col, window):
     if kind == "last":
         return F.last(col, ignorenulls=True).over(window)
@@ -69,7 +75,7 @@ def running(df, by, order, outputs, bits=ROW_BITS, totals_of=None):
 
     def bucketed(rows):
         return rows.select(
-            "*", F.shiftright(F.col(order), bits[0]).alias(_BUCKET),
+            "*", _bucket_of(order, bits[0]).alias(_BUCKET),
             *[col.alias(f"_in_{name}") for name, (_, col, _) in outputs.items()])
 
     keys = [*by, _BUCKET]
@@ -147,7 +153,7 @@ def _runs_before(df, by, order, bits):
     """
     named = F.col("_f").isNotNull()
     keys = [*by, _BUCKET] if bits else by
-    source = df.withColumn(_BUCKET, F.shiftright(F.col(order), bits[0])) if bits else df
+    source = df.withColumn(_BUCKET, _bucket_of(order, bits[0])) if bits else df
     past = (Window.partitionBy(*keys).orderBy(order)
             .rowsBetween(Window.unboundedPreceding, -1))
     begun = F.col("_n") - (named & F.col("_f").eqNullSafe(F.col("_p"))).cast("bigint")
@@ -230,13 +236,15 @@ def slots(df, by, order, is_right, bits=TIME_BITS):
         .otherwise(F.col("_l0") + F.greatest(ahead, F.col("_m0"))).alias("slot"))
 
 
-def _slots_before(df, by, order, bits):
+def _slots_before(df, by, order, bits, nested=False):
     """Exclusive totals: right rows, left rows, and the greatest lead of rights at a left row so far.
 
     An element has ``_r`` rights, ``_l`` lefts and the greatest lead ``_m`` counted from its start.
     """
     keys = [*by, _BUCKET] if bits else by
-    source = df.withColumn(_BUCKET, F.shiftright(F.col(order), bits[0])) if bits else df
+    source = df.withColumn(_BUCKET, _bucket_of(order, bits[0])) if bits else df
+    if nested:
+        source = source.repartition(*keys)  # one exchange for both uses below
     past = (Window.partitionBy(*keys).orderBy(order)
             .rowsBetween(Window.unboundedPreceding, -1))
     zero = F.lit(0).cast("bigint")
@@ -252,7 +260,7 @@ def _slots_before(df, by, order, bits):
     totals = local.groupBy(*keys).agg(
         F.sum("_r").alias("_r"), F.sum("_l").alias("_l"), F.max("_lead").alias("_m"),
     ).withColumnRenamed(_BUCKET, "_key")
-    carry = _slots_before(totals, by, "_key", bits[1:]).select(
+    carry = _slots_before(totals, by, "_key", bits[1:], nested=True).select(
         *by, F.col("_key").alias(_BUCKET), F.col("_r0").alias("_rc"), F.col("_l0").alias("_lc"),
         F.col("_m0").alias("_mc"))
     return local.join(carry, keys, "left").select(

@@ -192,7 +192,7 @@ class Lake:
     def _load_status(self, folder, table, global_table, kind, batch):
         logs = files.read_status_logs(self.spark, folder)
         event = F.from_json("payload", "map<string,string>")
-        canonical = F.to_json(F.map_from_entries(F.array_sort(F.map_entries(event))))
+        canonical = F.to_json(F.map_from_entries(F.sort_array(F.map_entries(event))))
         events = logs.select(
             "source_file", "part", "seq", "payload", event["task_id"].alias("task_id"), event["status"].alias("status"),
             F.sha2(F.concat("source_file", F.lit("\u0001"), canonical), 256).alias("digest"))

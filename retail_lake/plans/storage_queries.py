@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from retail_lake.functions.names import matches_file, snapshot_message
-from retail_lake.operators import filters, versions
+from retail_lake.operators import access, catalog, filters, versions
 from retail_lake.operators.status import with_digest
 from retail_lake.plans.fixtures import VIEWS, table, view, with_views
 from retail_lake.plans.ingest_queries import _MARKERS, _RUNS
@@ -16,6 +16,7 @@ from retail_lake.streaming import events as event_stream
 from retail_lake.streaming import markers as marker_stream
 
 SLICE = 5000
+LOG_EVENTS = 1000
 CHAINS = ["Chain1", "CHAIN12"]
 
 
@@ -51,6 +52,45 @@ def xml_rows(spark, sf_dir):
     return rows.select("item_code", "item_name", "item_price", F.col("found_folder").alias("folder"))
 
 
+@query("status_logs", with_views(["fx_events"], (
+    "SELECT CAST(event_id AS STRING) AS event_id, CASE WHEN status = 'error' THEN 'global_status' ELSE 'events' END AS part, "
+    "status, task_id FROM fx_events")))
+def status_logs(spark, sf_dir):
+    """SRC4, X12: status logs, one JSON object with two arrays per file, as one row per event.
+
+    A log holds at most a thousand events, as a run writes them.
+    """
+    events = view(spark, sf_dir, "fx_events").select(
+        F.floor(F.col("event_id") / LOG_EVENTS).alias("log"), F.struct("event_id", "status", "task_id").alias("e"))
+    is_global = F.col("e.status") == "error"
+    logs = events.groupBy("log").agg(
+        F.collect_list(F.when(~is_global, F.col("e"))).alias("events"),
+        F.collect_list(F.when(is_global, F.col("e"))).alias("global_status"))
+    folder = shared_dir(spark, "logs")
+    logs.repartition("log").write.partitionBy("log").json(folder)
+    event = F.from_json("payload", "map<string,string>")
+    return files.read_status_logs(spark, folder).select(
+        event["event_id"].alias("event_id"), "part", event["status"].alias("status"), event["task_id"].alias("task_id"))
+
+
+@query("dataset_file", "SELECT CAST(s_suppkey AS STRING) AS s_suppkey, s_name FROM supplier")
+def dataset_file(spark, sf_dir):
+    """SRC9: a file of the dataset, read by its extension."""
+    folder = shared_dir(spark, "dataset")
+    table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").write.option("header", True).csv(f"{folder}/suppliers.csv")
+    return files.read_file(spark, folder, "suppliers.csv")
+
+
+@query("report_export", with_views(["fx_events"], (
+    "SELECT task_id, count(*) AS num_of_rows FROM fx_events GROUP BY task_id")))
+def report_export(spark, sf_dir):
+    """SNK10, A10: results written as JSON and read back."""
+    folder = shared_dir(spark, "report")
+    counts = access.row_counts(view(spark, sf_dir, "fx_events"), ["task_id"])
+    store.write_report(counts, f"{folder}/counts.json")
+    return spark.read.schema(counts.schema).json(f"{folder}/counts.json")
+
+
 @query("stored_rows", with_views(["fx_stored"], (
     "SELECT row_index, file_name, item_code, chain FROM fx_stored WHERE chain = 'chain4' "
     "AND file_name LIKE '%-003-%'")))
@@ -163,6 +203,17 @@ def dataset_files(spark, sf_dir):
     return listing.where(matches_file("file_name", "NATION_1", "csv"))
 
 
+@query("list_destinations", (
+    "SELECT lower(t) || '_' || lower(n_name) AS table_name, 'row_index' AS key_column FROM (SELECT DISTINCT n_name FROM nation) n, "
+    "(VALUES ('STORE_FILE'), ('PRICE_FILE'), ('PROMO_FILE'), ('PRICE_FULL_FILE'), ('PROMO_FULL_FILE')) v(t) UNION ALL "
+    "VALUES ('ParserStatus', 'index'), ('GlobalParserStatus', 'index'), ('ScraperStatus', 'index'), "
+    "('GlobalScraperStatus', 'index')"))
+def list_destinations(spark, sf_dir):
+    """SNK5-SNK7: all tables with their key columns."""
+    registry = catalog.table_registry(table(spark, sf_dir, "nation").select(F.upper("n_name").alias("chain")))
+    return registry.select("table_name", "key_column").unionByName(catalog.status_registry(spark))
+
+
 @query("enabled_csv_files", f"WITH {_LISTING} SELECT file_name FROM listing WHERE {_ENABLED} AND file_name LIKE '%.csv'")
 def enabled_csv_files(spark, sf_dir):
     """F8: files by extension and enabled chain."""

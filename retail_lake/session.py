@@ -4,32 +4,35 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(master=None, app="retail-lake", **conf):
-    """A session with the settings the jobs are written for.
+    """A session with the settings the jobs are written for; ``conf`` wins over them.
 
-    ``master`` is left to spark-submit on a cluster. Partition counts are left to AQE, which
-    splits skewed join partitions and merges small ones at run time.
+    ``master`` is left to spark-submit on a cluster, and so is every setting given there. Shuffles
+    start with many partitions; AQE merges the small ones and splits skewed join partitions.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.ui.enabled": "false",
-        **conf,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     }
+    if master and master.startswith("local"):
+        settings |= {"spark.ui.enabled": "false", "spark.driver.bindAddress": "127.0.0.1",
+                     "spark.driver.host": "127.0.0.1"}
+    else:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = "20000"
+    given = SparkConf()
+    settings = {k: v for k, v in settings.items() if not given.contains(k)} | conf
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-        if master.startswith("local"):
-            settings.setdefault("spark.driver.bindAddress", "127.0.0.1")
-            settings.setdefault("spark.driver.host", "127.0.0.1")
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -16,7 +16,7 @@ def read_messages(spark, target, fmt="parquet", **options):
 def with_canonical(df, value="value"):
     """Add ``canonical``: the document with sorted keys, null where the value is no JSON object."""
     doc = F.from_json(value, "map<string,string>")
-    return df.withColumn("canonical", F.to_json(F.map_from_entries(F.array_sort(F.map_entries(doc)))))
+    return df.withColumn("canonical", F.to_json(F.map_from_entries(F.sort_array(F.map_entries(doc)))))
 
 
 def drop_control_messages(df, value="value"):
