@@ -58,10 +58,8 @@ def parse_ts(col, zone=None):
     text = F.trim(_text(col))
     offset = F.regexp_extract(text, r"([+-]\d{2}:?\d{2}|Z)$", 1)
     has_time = F.length(text) > 10
-    wall = F.try_to_timestamp(
-        F.replace(F.when(has_time & (offset != ""),
-                         F.regexp_replace(text, r"([+-]\d{2}:?\d{2}|Z)$", "")).otherwise(text),
-                  F.lit("T"), F.lit(" "))).cast("timestamp_ntz")
+    wall = F.when(has_time & (offset != ""), F.regexp_replace(text, r"([+-]\d{2}:?\d{2}|Z)$", "")) \
+        .otherwise(text).try_cast("timestamp_ntz")
     sign = F.when(offset.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
     digits = F.regexp_replace(offset, "[^0-9]", "")
     minutes = sign * (F.substring(digits, 1, 2).try_cast("int") * 60
