@@ -46,7 +46,7 @@ def expected_files(registry):
         "_", F.lower("chain"), F.concat(F.lower("file_type"), F.lit(".json"))).alias("file_name"))
     scraper = registry.select("chain").distinct().select(
         F.concat(F.lower("chain"), F.lit(".json")).alias("file_name"))
-    index = registry.limit(1).select(F.lit("index.json").alias("file_name"))
+    index = registry.sparkSession.createDataFrame([("index.json",)], "file_name string")
     return csv.unionByName(parser).unionByName(scraper).unionByName(index)
 
 

@@ -128,7 +128,7 @@ class Lake:
         """
         progress = self.progress()
         groups = files.landing_groups(self.spark, outputs)
-        loads = [self._load_group(columns, paths, progress, batch, n) for n, (columns, paths) in enumerate(groups)]
+        loads = [self._load_group(columns, paths, progress) for columns, paths in groups]
         if loads:
             packed = functools.reduce(lambda a, b: a.unionByName(b), [p for p, _ in loads])
             store.write_rows(packed.withColumn("batch_id", F.lit(batch)).select(*STORED_ROW.names),
@@ -139,11 +139,10 @@ class Lake:
                               .withColumn("batch_id", F.lit(batch)), self._path("quarantine"), batch)
         self._load_progress(progress, batch)
 
-    def _load_group(self, columns, paths, progress, batch, group):
+    def _load_group(self, columns, paths, progress):
         """Rows past the mark of the files of one header: (packed rows, quarantined rows or None)."""
         content = [c for c in columns if c not in KEY_COLUMNS]
-        landed = files.read_csv_rows(self.spark, paths, columns,
-                                     folder=f"{self._path('landing')}/batch_id={batch}/group={group}")
+        landed = files.read_csv_rows(self.spark, paths, columns)
         landed = (landed.withColumn("_t", names.split_table_name("table_name"))
                   .select("table_name", "_t.file_type", "_t.chain", "row_index", "found_folder", "file_name", *content))
         fresh = ingest.rows_after(self._with_enabled_chain(landed), progress)
@@ -193,15 +192,20 @@ class Lake:
         logs = files.read_status_logs(self.spark, folder)
         event = F.from_json("payload", "map<string,string>")
         canonical = F.to_json(F.map_from_entries(F.sort_array(F.map_entries(event))))
+        # Older events name chain and type in a composite index only.
+        index = names.decode_index(event["index"], ["file_type", "chain", "when_date"])
         events = logs.select(
             "source_file", "part", "seq", "payload", event["task_id"].alias("task_id"), event["status"].alias("status"),
+            F.coalesce(event["requested_store_enum"], event["chain"], event["scraper"], index["chain"]).alias("chain"),
+            F.coalesce(event["requested_file_type"], event["file_type"], F.nullif(index["file_type"], F.lit("")))
+            .alias("file_type"),
             F.sha2(F.concat("source_file", F.lit("\u0001"), canonical), 256).alias("digest"))
         fresh = status.new_events(events, self.ledger(kind), "seq")
         for part, target in (("events", table), ("global_status", global_table)):
             docs = fresh.where(F.col("part") == part).select(
-                F.col("digest").alias("index"), "source_file", "task_id", "status", "payload",
+                F.col("digest").alias("index"), "source_file", "task_id", "status", "chain", "file_type", "payload",
                 F.lit(batch).cast("bigint").alias("batch_id"))
-            store.write_batch(docs, self._path(f"status/{target}"), batch)
+            store.write_batch(docs.sortWithinPartitions("chain", "file_type"), self._path(f"status/{target}"), batch)
         pushed = [self._stored(f"status/{t}", STATUS_DOC, {"batch_id": batch}) for t in (table, global_table)]
         ids = pushed[0].unionByName(pushed[1]).select("source_file", F.col("index").alias("digest"))
         # A folder per kind inside the batch, so that either kind can be rewritten alone.
@@ -217,17 +221,11 @@ class Lake:
         return self.spark.createDataFrame([(t,) for t in FILE_TYPES], "file_type string")
 
     def _file_documents(self):
-        """Parser documents with chain, file type, time and file list, from v1 or v2 events."""
-        doc = F.from_json("payload", "index string, file_type string, chain string, scraper string, "
-                          "requested_store_enum string, requested_file_type string, timestamp string, when_date string, "
-                          "response struct<files_to_process:array<string>>")
-        docs = self.status("ParserStatus").withColumn("doc", doc)
-        parts = names.decode_index("doc.index", ["file_type", "chain", "when_date"])
-        return docs.withColumn("ix", parts).select(
-            F.coalesce("doc.requested_store_enum", "doc.chain", "doc.scraper", "ix.chain").alias("chain"),
-            F.coalesce("doc.requested_file_type", "doc.file_type", F.nullif("ix.file_type", F.lit(""))).alias("file_type"),
-            values.parse_ts("doc.timestamp").alias("ts"),
-            F.col("doc.response.files_to_process").alias("files"))
+        """Parser documents with chain, file type, time and file list; chain and type reach the scan."""
+        doc = F.from_json("payload", "timestamp string, response struct<files_to_process:array<string>>")
+        return self.status("ParserStatus").select(
+            "chain", "file_type", values.parse_ts(doc["timestamp"]).alias("ts"),
+            doc["response"]["files_to_process"].alias("files"))
 
     def list_files(self, chain, file_type=None):
         """Files of a chain, optionally of a type."""

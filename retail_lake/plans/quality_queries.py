@@ -183,7 +183,7 @@ def missing_expected(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     listing = nation.where("n_regionkey <> 1").select(
         F.concat(F.lit("price_file_"), F.lower("n_name"), F.lit(".csv")).alias("file_name"))
-    index = nation.limit(1).select(F.lit("index.json").alias("file_name"))
+    index = spark.createDataFrame([("index.json",)], "file_name string")
     expected = catalog.expected_files(catalog.table_registry(chains_of(spark, sf_dir)))
     return catalog.missing_expected(expected, listing.unionByName(index))
 

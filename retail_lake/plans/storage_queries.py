@@ -6,7 +6,7 @@ from retail_lake.functions.names import matches_file, snapshot_message
 from retail_lake.operators import access, catalog, filters, versions
 from retail_lake.operators.status import with_digest
 from retail_lake.plans.fixtures import VIEWS, table, view, with_views
-from retail_lake.plans.ingest_queries import _MARKERS, _RUNS
+from retail_lake.plans.ingest_queries import _MARKERS, _RUNS, MARK
 from retail_lake.plans.registry import query
 from retail_lake.plans.status_queries import FIELDS, topic_rows
 from retail_lake.session import shared_dir
@@ -241,11 +241,11 @@ def stream_dedup(spark, sf_dir):
     "FROM markers")))
 def stream_markers(spark, sf_dir):
     """ST4: landing rows arrive in three loads; a marker is written when a file's run has ended."""
-    rows = view(spark, sf_dir, "fx_rows").select("table_name", "row_index", "file_name")
-    top = rows.groupBy("table_name").agg(F.max("row_index").alias("_top"))
-    load = F.floor(F.col("row_index") * 3 / (F.col("_top") + 1)).cast("int")
+    wide = view(spark, sf_dir, "fx_rows")
+    rows = wide.select("table_name", "row_index", "file_name")
+    load = F.when(F.col("row_index") <= F.expr(MARK), 0).when(F.col("row_index") <= 2 * F.expr(MARK), 1).otherwise(2)
     root = shared_dir(spark, "stream-markers")
-    rows.join(top, "table_name").withColumn("load", load).drop("_top").write.partitionBy("load").parquet(f"{root}/all")
+    wide.select(*rows.columns, load.alias("load")).write.partitionBy("load").parquet(f"{root}/all")
     write = marker_stream.marker_writer(spark, f"{root}/state", ["table_name"], "table_name string")
     for n in range(3):
         landing = spark.read.parquet(f"{root}/all/load={n}")

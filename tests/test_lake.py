@@ -61,7 +61,9 @@ def lake(spark, tmp_path_factory, folders):
         [parser_event("p1", "started", chain="AlphaMart", file_type="PRICE_FULL_FILE",
                       response={"files_to_process": [F1, F2]}),
          parser_event("p1", "completed", chain="AlphaMart", file_type="PRICE_FULL_FILE",
-                      response={"files_to_process": [F3]})])
+                      response={"files_to_process": [F3]}),
+         {"task_id": "v1", "status": "started", "index": "STORE_FILE@Beta@2024-01-01 00:00:00",
+          "response": {"files_to_process": ["Stores1.xml"]}}])
     lake.second = lake.upload(out, scraping, converting, "2024-01-01 03:00:00")
     return lake
 
@@ -102,8 +104,8 @@ def test_status_events_are_pushed_once(lake):
     assert lake.status("ScraperStatus").count() == 2
     # The global row equals an event of its file, whose id is in the ledger.
     assert lake.status("GlobalScraperStatus").count() == 0
-    assert sorted(r.status for r in lake.status("ParserStatus").collect()) == ["completed", "started"]
-    assert lake.ledger("parser").count() == 2 and lake.ledger("scraper").count() == 2
+    assert sorted(r.status for r in lake.status("ParserStatus").collect()) == ["completed", "started", "started"]
+    assert lake.ledger("parser").count() == 3 and lake.ledger("scraper").count() == 2
 
 
 def test_loading_again_adds_nothing(spark, lake, folders):
@@ -130,6 +132,9 @@ def test_listing(lake):
     assert found(after_extracted_date="2024-01-01T01:00:00Z") == [F1, F2, F3]
     assert found(after_extracted_date="2024-01-01T01:00:01Z") == []
     assert found(only_latest=True) == [F3]
+    # A document without a time passes every date.
+    old = lake.list_files_with_filters("Beta", after_extracted_date="2030-01-01")
+    assert [r.file_name for r in old.collect()] == ["Stores1.xml"]
     with pytest.raises(ValueError, match="not a valid chain"):
         lake.list_files("Gamma")
     with pytest.raises(ValueError, match="not a valid file type"):
@@ -138,6 +143,11 @@ def test_listing(lake):
         lake.list_files("")
 
 
+def test_listing_pushes_chain_and_type(lake):
+    plan = lake.list_files("AlphaMart", "PRICE_FULL_FILE")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(chain,AlphaMart)" in plan and "EqualTo(file_type,PRICE_FULL" in plan
+
+
 def test_paging(lake):
     rows, meta = lake.file_content_with_cursor("AlphaMart", F1, 2)
     assert [r.row_index for r in rows.collect()] == [0, 1]
@@ -184,7 +194,7 @@ def test_reconcile(lake, folders):
 
 def test_task_checks(lake):
     checks = {r.task_id: (r.n_events, r.is_valid) for r in lake.task_checks("ParserStatus").collect()}
-    assert checks == {"p1": (2, True)}
+    assert checks == {"p1": (2, True), "v1": (1, False)}
 
 
 def test_publish_and_restore(spark, lake):
@@ -212,4 +222,4 @@ def test_full_refresh_starts_over(lake, folders):
                         "2024-01-03 00:00:00", full_refresh=True)
     assert batch == 0
     assert [r[0] for r in stored(lake)] == list(range(8))
-    assert lake.status("ParserStatus").count() == 2
+    assert lake.status("ParserStatus").count() == 3
