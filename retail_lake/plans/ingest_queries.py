@@ -147,7 +147,7 @@ def resume(spark, sf_dir):
 def progress(spark, sf_dir):
     """ST1: marks after a load, merged with older ones."""
     rows = view(spark, sf_dir, "fx_rows")
-    old = ingest.progress_of(rows.where(F.col("row_index") % 2 == 0))
+    old = ingest.progress_of(rows.where(F.col("row_index") <= F.expr(MARK)))
     return ingest.merge_progress(old, ingest.progress_of(rows))
 
 
@@ -155,13 +155,13 @@ def progress(spark, sf_dir):
     "SELECT task_id, status, min(event_id) AS event_id FROM fx_events n "
     f"WHERE ts >= TIMESTAMP '{CUT}' AND NOT EXISTS (SELECT 1 FROM fx_events e "
     f"WHERE e.ts < TIMESTAMP '{CUT}' AND e.task_id = n.task_id AND e.status = n.status "
-    "AND e.event_id % 3 = 0) GROUP BY task_id, status")))
+    "AND CAST(e.value AS DOUBLE) < 5) GROUP BY task_id, status")))
 def insert_ignore(spark, sf_dir):
     """SNK1: first writer wins; keys already stored are ignored."""
-    events = view(spark, sf_dir, "fx_events").select("task_id", "status", "event_id", "ts")
+    events = view(spark, sf_dir, "fx_events").select("task_id", "status", "event_id", "ts", "value")
     cut = F.lit(CUT).cast("timestamp_ntz")
-    stored = events.where((F.col("ts") < cut) & (F.col("event_id") % 3 == 0)).drop("ts")
-    items = events.where(F.col("ts") >= cut).drop("ts")
+    stored = events.where((F.col("ts") < cut) & (F.col("value").cast("double") < 5)).drop("ts", "value")
+    items = events.where(F.col("ts") >= cut).drop("ts", "value")
     return merge.insert_ignore(stored.dropDuplicates(["task_id", "status"]), items,
                                ["task_id", "status"], "event_id")
 

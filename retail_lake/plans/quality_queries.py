@@ -82,7 +82,7 @@ def error_counts(spark, sf_dir):
     return quality.error_counts(fates_of(spark, sf_dir))
 
 
-@query("recovered_files", with_views(["fx_doc_files"], (
+@query("lost_files", with_views(["fx_doc_files"], (
     f", {_FATES} SELECT chain, file_name FROM fates WHERE {_LOST} EXCEPT "
     "SELECT chain, file_name FROM fates WHERE stage = 'succesful_processed'")))
 def lost_files(spark, sf_dir):
@@ -189,18 +189,18 @@ def missing_expected(spark, sf_dir):
 
 
 @query("chain_dimension", (
-    "SELECT n_name AS chain, count(s_suppkey) AS n_files, count(s_suppkey) FILTER (s_acctbal < 0) AS n_negative "
-    "FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_suppkey % 3 = 0 GROUP BY n_name"))
+    "SELECT n_name AS chain, count(s_suppkey) AS n_files, count(s_suppkey) FILTER (s_acctbal < -500) AS n_low "
+    "FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_acctbal < 0 GROUP BY n_name"))
 def chain_dimension(spark, sf_dir):
     """JN5: counts per dump folder under the chain's name; chains without data still appear."""
     dim = table(spark, sf_dir, "nation").select(
         F.col("n_name").alias("chain"), F.concat(F.lit("Folder"), F.col("n_nationkey").cast("string")).alias("folder"))
-    data = (table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0")
+    data = (table(spark, sf_dir, "supplier").where("s_acctbal < 0")
             .groupBy(F.concat(F.lit("folder"), F.col("s_nationkey").cast("string")).alias("folder"))
-            .agg(F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("s_acctbal") < 0).alias("n_negative")))
+            .agg(F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("s_acctbal") < -500).alias("n_low")))
     zero = F.lit(0).cast("bigint")
     return catalog.with_chain(data, dim).select(
-        "chain", F.coalesce("n_files", zero).alias("n_files"), F.coalesce("n_negative", zero).alias("n_negative"))
+        "chain", F.coalesce("n_files", zero).alias("n_files"), F.coalesce("n_low", zero).alias("n_low"))
 
 
 @query("execution_logs", with_views(["fx_docs"], (

@@ -14,8 +14,8 @@ FIELDS = ["event_id", "status", "task_id", "value"]
 
 _DIGEST = ("digests AS (SELECT *, sha256(source_file || chr(1) || CAST(json_object('event_id', event_id, "
            "'status', status, 'task_id', task_id, 'value', value) AS STRING)) AS digest FROM fx_events)")
-# Every tenth event is reported twice.
-_COPIES = "copies AS (SELECT * FROM digests UNION ALL SELECT * FROM digests WHERE event_id % 10 = 0)"
+# Purchases are reported twice.
+_COPIES = "copies AS (SELECT * FROM digests UNION ALL SELECT * FROM digests WHERE status = 'purchase')"
 _LEDGER = f"ledger AS (SELECT source_file, digest FROM digests WHERE ts < TIMESTAMP '{CUT}')"
 
 
@@ -29,8 +29,8 @@ def ledger(events):
 
 
 def copied(events):
-    """Every tenth event is reported twice."""
-    times = F.when(F.col("event_id") % 10 == 0, 2).otherwise(1)
+    """Purchases are reported twice."""
+    times = F.when(F.col("status") == "purchase", 2).otherwise(1)
     return events.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
 
 
@@ -46,17 +46,17 @@ def status_digest(spark, sf_dir):
 def new_events(spark, sf_dir):
     """JN1/ST2: events the ledger does not hold, each once."""
     events = digested(spark, sf_dir)
-    batch = copied(events).select("event_id", "source_file", "digest")
+    batch = copied(events.select("event_id", "source_file", "digest", "status")).drop("status")
     return status.new_events(batch, ledger(events))
 
 
 @query("status_ledger", with_views(["fx_events"], (
     f", {_DIGEST}, {_LEDGER} SELECT source_file, count(DISTINCT digest) AS n_ids FROM "
-    "(SELECT source_file, digest FROM digests WHERE event_id % 2 = 0 UNION ALL SELECT * FROM ledger) t GROUP BY source_file")))
+    "(SELECT source_file, digest FROM digests UNION ALL SELECT * FROM ledger) t GROUP BY source_file")))
 def ledger_after(spark, sf_dir):
     """The ledger after a load, ids per file."""
     events = digested(spark, sf_dir)
-    after = merge.append_ledger(ledger(events), events.where(F.col("event_id") % 2 == 0))
+    after = merge.append_ledger(ledger(events), events)
     return after.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_ids"))
 
 
@@ -127,9 +127,9 @@ def topic_rows(spark, sf_dir):
     """Messages with repeats whose keys come in another order, raw text, flush and warm-up rows."""
     events = view(spark, sf_dir, "fx_events")
     rows = topic_sink.messages(events, "ScraperStatus", "source_file", FIELDS)
-    again = topic_sink.messages(events.where(F.col("event_id") % 10 == 0), "ScraperStatus", "source_file",
+    again = topic_sink.messages(events.where("status = 'purchase'"), "ScraperStatus", "source_file",
                                 list(reversed(FIELDS)))
-    raw = events.where(F.col("event_id") % 100 == 7).select(
+    raw = events.where("status = 'error'").select(
         F.lit("ScraperStatus").alias("topic"), F.col("source_file").alias("key"),
         F.concat(F.lit("broken "), F.col("event_id").cast("string")).alias("value"))
     warm = topic_sink.warmup_messages(events.select(F.lit("ScraperStatus").alias("table_name")).distinct())
@@ -153,7 +153,7 @@ def topic_flush(spark, sf_dir):
 
 @query("topic_clean", with_views(["fx_events"], (
     "SELECT CAST(event_id AS STRING) AS id, status FROM fx_events UNION ALL "
-    "SELECT 'broken ' || CAST(event_id AS STRING), NULL FROM fx_events WHERE event_id % 100 = 7")))
+    "SELECT 'broken ' || CAST(event_id AS STRING), NULL FROM fx_events WHERE status = 'error'")))
 def topic_clean(spark, sf_dir):
     """SRC7, F3, S5, ST5, X12: control messages dropped, each document once, raw text passed on."""
     clean = topic_source.clean_topic(topic_rows(spark, sf_dir))

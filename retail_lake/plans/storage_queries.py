@@ -8,7 +8,7 @@ from retail_lake.operators.status import with_digest
 from retail_lake.plans.fixtures import VIEWS, table, view, with_views
 from retail_lake.plans.ingest_queries import _MARKERS, _RUNS, MARK
 from retail_lake.plans.registry import query
-from retail_lake.plans.status_queries import FIELDS, topic_rows
+from retail_lake.plans.status_queries import FIELDS, copied as copied_events, topic_rows
 from retail_lake.session import shared_dir
 from retail_lake.sinks import snapshot, store
 from retail_lake.sources import files, tables
@@ -227,8 +227,7 @@ def stream_dedup(spark, sf_dir):
     schema = table(spark, sf_dir, source).schema
     stream = event_stream.read_stream(spark, sf_dir, schema, max_files=1, pathGlobFilter=f"{source}.parquet")
     events = with_digest(stream.selectExpr(*columns), {f: F.col(f) for f in FIELDS})
-    times = F.when(F.col("event_id") % 10 == 0, 2).otherwise(1)
-    copied = events.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
+    copied = copied_events(events)
     root = shared_dir(spark, "stream-dedup")
     event_stream.run_available(
         event_stream.new_events(copied).select("event_id", "source_file", "digest"),
@@ -257,7 +256,7 @@ def stream_markers(spark, sf_dir):
 
 @query("stream_topic", with_views(["fx_events"], (
     "SELECT CAST(event_id AS STRING) AS id, status FROM fx_events UNION ALL "
-    "SELECT 'broken ' || CAST(event_id AS STRING), NULL FROM fx_events WHERE event_id % 100 = 7")))
+    "SELECT 'broken ' || CAST(event_id AS STRING), NULL FROM fx_events WHERE status = 'error'")))
 def stream_topic(spark, sf_dir):
     """ST5, SNK3, SNK4: a topic written as files and read as a stream, cleaned of control rows and repeats."""
     root = shared_dir(spark, "stream-topic")
