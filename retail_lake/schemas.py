@@ -30,6 +30,12 @@ LOSS_LIMIT = 0.02
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 CIVIL_ZONE = "Asia/Jerusalem"
 
+# CSV cells that count as missing (the defaults of the CSV reader of pandas).
+MISSING_CELLS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 KEY_COLUMNS = ("row_index", "found_folder", "file_name")
 
 DATA_ROW = T.StructType([

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from retail_lake.functions.names import base_name, file_glob, table_of_path
 from retail_lake.operators.scan import running
 from retail_lake.operators.sizing import broadcast_if_small
+from retail_lake.schemas import MISSING_CELLS
 from retail_lake.session import shared_dir
 
 # Blocks of a file are scanned in groups of 128 GB.
@@ -42,12 +43,14 @@ def read_csv_rows(spark, paths, columns, multi_line=False, folder=None):
     the block plus the rows of all earlier blocks. The rows are written to ``folder`` (by default a
     new shared one) with block and id, in the one pass that reads CSV; block offsets come from what
     was written, so they hold however the files were split, and no row is shuffled to be numbered.
-    ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
+    ``multi_line`` allows line breaks inside quotes, at the price of one task per file. A quote in a
+    cell is doubled; cells such as ``NULL`` or ``NaN`` are missing.
     """
     folder = folder or shared_dir(spark, "landing")
     schema = ", ".join(f"`{c}` STRING" for c in columns)
-    (spark.read.schema(schema).option("header", True).option("multiLine", multi_line).csv(paths)
-     .select(*columns, F.col("_metadata.file_path").alias("_path"),
+    cells = [F.when(~F.col(f"`{c}`").isin(*MISSING_CELLS), F.col(f"`{c}`")).alias(c) for c in columns]
+    (spark.read.schema(schema).options(header=True, escape='"', multiLine=multi_line).csv(paths)
+     .select(*cells, F.col("_metadata.file_path").alias("_path"),
              F.col("_metadata.file_block_start").alias("_block"),
              F.monotonically_increasing_id().alias("_id"))
      .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/rows"))
@@ -60,7 +63,8 @@ def read_csv_rows(spark, paths, columns, multi_line=False, folder=None):
     placed = landed.join(broadcast_if_small(offsets), ["_path", "_block"])
     return placed.select(
         base_name("_path").alias("source_file"), table_of_path("_path").alias("table_name"),
-        (F.col("_id") - F.col("_first") + F.col("_before")).alias("row_index"), *columns)
+        (F.col("_id") - F.col("_first") + F.col("_before")).alias("row_index"),
+        *[F.col(f"`{c}`") for c in columns])
 
 
 def read_status_logs(spark, folder):

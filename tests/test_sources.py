@@ -62,6 +62,19 @@ def test_quoted_line_breaks(spark, tmp_path):
     assert [(r.row_index, r.x) for r in rows.orderBy("row_index").collect()] == [(0, "one\ntwo"), (1, "3")]
 
 
+def test_quotes_and_missing_cells(spark, tmp_path):
+    write(tmp_path / "a.csv", 'x,y\n"say ""hi"", then",NULL\n"",NaN\n\nnull and void,n/a\n')
+    rows = files.read_csv_rows(spark, [str(tmp_path / "a.csv")], ["x", "y"]).orderBy("row_index").collect()
+    assert [(r.row_index, r.x, r.y) for r in rows] == [
+        (0, 'say "hi", then', None), (1, None, None), (2, "null and void", None)]
+
+
+def test_empty_tables_have_their_schema(spark, tmp_path):
+    store.create_empty(spark, str(tmp_path / "t"), "a bigint, b string, batch_id bigint")
+    df = tables.read_table(spark, str(tmp_path / "t"), "a bigint, b string, batch_id bigint")
+    assert df.count() == 0 and df.columns == ["a", "b", "batch_id"]
+
+
 def test_status_logs(spark, tmp_path):
     doc = {"events": [{"task_id": "t", "n": 2 ** 63}, {"task_id": "u"}], "global_status": [{"task_id": "t", "status": "started"}]}
     write(tmp_path / "alpha.json", json.dumps(doc, indent=2))
