@@ -61,8 +61,9 @@ def running(df, by, order, outputs, bits=ROW_BITS, totals_of=None):
     """Add running columns in ``order`` (BIGINT, unique per group) within ``by`` (never null).
 
     ``outputs`` maps a new column to ``(kind, column, inclusive)``; kind is ``last`` (last value
-    that is not null), ``first`` (value of the first row, never null), ``sum`` or ``max``. With ``inclusive`` false the current row is left out.
-    ``totals_of`` may give the same rows by a shorter plan for the bucket totals.
+    that is not null), ``first`` (value of the first row, never null), ``sum`` or ``max``. With
+    ``inclusive`` false the current row is left out. ``totals_of`` may give the same rows by a
+    shorter plan for the bucket totals.
     """
     if not bits:
         window = Window.partitionBy(*by).orderBy(order)

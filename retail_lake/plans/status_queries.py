@@ -162,6 +162,16 @@ def topic_clean(spark, sf_dir):
         F.get_json_object("canonical", "$.status").alias("status"))
 
 
+@query("topic_updated", with_views(["fx_events"], (
+    "SELECT task_id AS topic, bool_or(status = 'purchase') AS is_updated FROM fx_events GROUP BY task_id")))
+def topic_updated(spark, sf_dir):
+    """A8 for topics: every task has a topic with a flush message; only purchases are data."""
+    events = view(spark, sf_dir, "fx_events")
+    data = topic_sink.messages(events.where("status = 'purchase'"), F.col("task_id"), "source_file", FIELDS)
+    return topic_source.topic_updated(data.unionByName(
+        topic_sink.flush_messages(events, F.col("task_id"), "source_file")))
+
+
 @query("dedup_rows", with_views(["fx_events"], "SELECT DISTINCT chain, task_id, status FROM fx_events"))
 def dedup_rows(spark, sf_dir):
     """Whole documents that repeat are kept once."""

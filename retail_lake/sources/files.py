@@ -57,14 +57,14 @@ def read_csv_rows(spark, paths, columns, multi_line=False, folder=None):
     landed = spark.read.parquet(f"{folder}/rows")
     blocks = landed.groupBy("_path", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     (running(blocks, ["_path"], "_block", {"_before": ("sum", F.col("_n"), False)}, BLOCK_BITS)
-     .select("_path", "_block", "_first", "_before")
+     .select("_path", "_block", "_first", "_before", base_name("_path").alias("source_file"),
+             table_of_path("_path").alias("table_name"))
      .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/blocks"))
     offsets = spark.read.parquet(f"{folder}/blocks")
     placed = landed.join(broadcast_if_small(offsets), ["_path", "_block"])
     return placed.select(
-        base_name("_path").alias("source_file"), table_of_path("_path").alias("table_name"),
-        (F.col("_id") - F.col("_first") + F.col("_before")).alias("row_index"),
-        *[F.col(f"`{c}`") for c in columns])
+        "source_file", "table_name", (F.col("_id") - F.col("_first") + F.col("_before")).alias("row_index"),
+        *[landed[f"`{c}`"] for c in columns])
 
 
 def read_status_logs(spark, folder):

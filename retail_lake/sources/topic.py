@@ -19,13 +19,23 @@ def with_canonical(df, value="value"):
     return df.withColumn("canonical", F.to_json(F.map_from_entries(F.sort_array(F.map_entries(doc)))))
 
 
-def drop_control_messages(df, value="value"):
-    """F3 on messages: warm-up and flush messages are no data."""
-    def control(name):
+def is_control_message(value="value"):
+    """Whether a message is a warm-up or flush message."""
+    def marked(name):
         return F.contains(F.col(value), F.lit(name)) & F.coalesce(
             F.get_json_object(value, f"$.{name}") == "true", F.lit(False))
 
-    return df.where(~(control("warmup") | control("flush")))
+    return marked("warmup") | marked("flush")
+
+
+def drop_control_messages(df, value="value"):
+    """F3 on messages: warm-up and flush messages are no data."""
+    return df.where(~is_control_message(value))
+
+
+def topic_updated(df, topic="topic", value="value"):
+    """A8 for topics: a topic counts as updated once it holds any data message."""
+    return df.groupBy(topic).agg(F.bool_or(~is_control_message(value)).alias("is_updated"))
 
 
 def clean_topic(df, value="value"):
