@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from retail_lake.llm import byte_bpe, quality_rules, token_counts
+from retail_lake.llm import byte_bpe, mixing, quality_rules, sharding, token_counts
 
 QUERIES = {}
 CHECKS = {}
@@ -36,3 +36,13 @@ def op3_token_counts(spark, sf_dir):
 def op6_byte_bpe(spark, sf_dir):
     return byte_bpe.digests(spark, table(spark, sf_dir, "documents"),
                             public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@query("op4_mixing", mixing.SQL)
+def op4_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_sharding", sharding.SQL)
+def op9_sharding(spark, sf_dir):
+    return sharding.shards(table(spark, sf_dir, "documents"))
