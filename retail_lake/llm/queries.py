@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from retail_lake.llm import byte_bpe, mixing, quality_rules, sharding, token_counts
+from retail_lake.llm import byte_bpe, mixing, quality_rules, sharding, simhash, token_counts
 
 QUERIES = {}
 CHECKS = {}
@@ -46,3 +46,8 @@ def op4_mixing(spark, sf_dir):
 @query("op9_sharding", sharding.SQL)
 def op9_sharding(spark, sf_dir):
     return sharding.shards(table(spark, sf_dir, "documents"))
+
+
+@query("op5_simhash")
+def op5_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
