@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from retail_lake.llm import byte_bpe, mixing, quality_rules, sharding, simhash, token_counts
+from retail_lake.llm import byte_bpe, mixing, quality_rules, sharding, simhash, token_counts, token_files
 
 QUERIES = {}
 CHECKS = {}
@@ -51,3 +51,8 @@ def op9_sharding(spark, sf_dir):
 @query("op5_simhash")
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_token_files")
+def op10_token_files(spark, sf_dir):
+    return token_files.token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
