@@ -2,7 +2,9 @@
 
 import public_tokenizers
 
-from retail_lake.llm import byte_bpe, mixing, quality_rules, sharding, simhash, token_counts, token_files
+from retail_lake.llm import (
+    byte_bpe, mixing, quality_classifier, quality_rules, sharding, simhash, token_counts, token_files,
+)
 
 QUERIES = {}
 CHECKS = {}
@@ -56,3 +58,9 @@ def op5_simhash(spark, sf_dir):
 @query("op10_token_files")
 def op10_token_files(spark, sf_dir):
     return token_files.token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.scores(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
