@@ -3,7 +3,7 @@
 import public_tokenizers
 
 from retail_lake.llm import (
-    byte_bpe, mixing, quality_classifier, quality_rules, sharding, simhash, token_counts, token_files,
+    byte_bpe, hnsw, mixing, quality_classifier, quality_rules, sharding, simhash, token_counts, token_files,
 )
 
 QUERIES = {}
@@ -64,3 +64,8 @@ def op10_token_files(spark, sf_dir):
 def op1_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.scores(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op8_hnsw")
+def op8_hnsw(spark, sf_dir):
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"))
