@@ -239,18 +239,17 @@ def build_index(rows, k=K, shard_rows=SHARD_ROWS):
     schema = pa.schema([("dim", pa.int32()), ("shard", pa.int32()), ("counts", pa.binary()), ("ids", pa.binary()),
                         ("vectors", pa.binary()), ("graph", pa.binary())])
 
-    def build(key, parts):
-        tables = list(parts)
+    def build(key, rows):
         dim, shard = (x.as_py() for x in key)
-        lists = [x for t in tables for x in t.column("ids").to_pylist()]
-        values = np.concatenate([t.column("vec").flatten().to_numpy() for t in tables]).reshape(-1, dim)
+        lists = rows.column("ids").to_pylist()
+        values = rows.column("vec").combine_chunks().flatten().to_numpy().reshape(-1, dim)
         order = np.lexsort(values.T[::-1])  # alike in every run, whatever order the rows came in
         values, lists = np.ascontiguousarray(values[order]), [lists[i] for i in order.tolist()]
         graph = Graph.build(values)
-        yield batches.records([
+        return pa.Table.from_batches([batches.records([
             [dim], [shard], [np.array([len(x) for x in lists], dtype="<i4").tobytes()],
             [np.array([i for x in lists for i in x], dtype="<i8").tobytes()],
-            [values.astype("<f8").tobytes()], [graph.flat()]], schema)
+            [values.astype("<f8").tobytes()], [graph.flat()]], schema)])
 
     batches.importable(rows.sparkSession)
     made = nodes.groupBy("dim", "shard").applyInArrow(
@@ -264,12 +263,11 @@ def search_index(index, queries, k=K, ef=EF_SEARCH, block_rows=QUERY_ROWS):
     pairs = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     pack_schema = pa.schema([("dim", pa.int32()), ("block", pa.int32()), ("query_ids", pa.binary()), ("queries", pa.binary())])
 
-    def pack(key, parts):
-        tables = list(parts)
-        ids = np.concatenate([t.column("vec_id").to_numpy() for t in tables])
-        values = np.concatenate([t.column("vec").flatten().to_numpy() for t in tables])
-        yield batches.records([[key[0].as_py()], [key[1].as_py()], [ids.astype("<i8").tobytes()],
-                               [values.astype("<f8").tobytes()]], pack_schema)
+    def pack(key, rows):
+        ids = rows.column("vec_id").to_numpy()
+        values = rows.column("vec").combine_chunks().flatten().to_numpy()
+        return pa.Table.from_batches([batches.records([
+            [key[0].as_py()], [key[1].as_py()], [ids.astype("<i8").tobytes()], [values.astype("<f8").tobytes()]], pack_schema)])
 
     batches.importable(index.sparkSession)
     packed = pairs.groupBy("dim", "block").applyInArrow(pack, "dim int, block int, query_ids binary, queries binary")
