@@ -3,7 +3,7 @@
 import public_tokenizers
 
 from retail_lake.llm import (
-    byte_bpe, hnsw, mixing, quality_classifier, quality_rules, sharding, simhash, token_counts, token_files,
+    byte_bpe, hnsw, mixing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, token_counts, token_files,
 )
 
 QUERIES = {}
@@ -69,3 +69,8 @@ def op1_quality_classifier(spark, sf_dir):
 @query("op8_hnsw")
 def op8_hnsw(spark, sf_dir):
     return hnsw.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
