@@ -2,6 +2,8 @@
 
 import public_tokenizers
 
+import corpus_pipeline
+
 from retail_lake.llm import (
     byte_bpe, hnsw, mixing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, token_counts, token_files,
 )
@@ -74,3 +76,8 @@ def op8_hnsw(spark, sf_dir):
 @query("op7_suffix_dedup")
 def op7_suffix_dedup(spark, sf_dir):
     return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

@@ -328,3 +328,39 @@ def near_duplicates(docs, shingle=SHINGLE, words=1, radius=RADIUS, tables=None):
     prints = written(document_prints(docs, shingle, words), "simhash-prints")
     named = groups(prints, words, radius, tables).select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+# A similarity of 0.8 on sets of five-word shingles is an angle of 0.48, or 39 of 256 bits on average.
+WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS = 5, 4, 40
+WIDE_BITS, WIDE_TABLES = 20, 40
+
+
+def near_unique(docs, shingle=WIDE_SHINGLE, words=WIDE_WORDS, radius=WIDE_RADIUS, tables=None):
+    """The documents, with all columns, that come first by doc_id in their group of near copies.
+
+    By default a group is linked by fingerprints of 256 bits over five-word shingles that differ in at
+    most 40 bits, which stands for a similarity of 0.8; as no sure set of masks covers such a radius,
+    candidates come from ``likely_tables``, which find a pair of similarity 0.9 with 99 %.
+    """
+    if tables is None and radius > RADIUS:
+        tables = likely_tables(words, WIDE_BITS, WIDE_TABLES)
+    prints = written(document_prints(docs, shingle, words), "simhash-prints")
+    named = groups(prints, words, radius, tables).select("fp", "root")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp"))
+    # One row per component: pre-aggregated by fingerprint before the join, so copies cost one row.
+    least = prints.groupBy("fp").agg(first.alias("first")).join(named, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = least.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.fp").alias("_kept_fp"))
+    twice = prints.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull()).limit(1).count()
+    if not twice:
+        return docs.join(kept, docs["doc_id"].cast("bigint") == kept["_kept_id"], "left_semi").select(*docs.columns)
+    # Rows that share a doc_id are told apart by fingerprint; of rows with both alike one stays.
+    batches.importable(docs.sparkSession)
+
+    @F.arrow_udf("binary")
+    def fingerprint(texts: pa.Array) -> pa.Array:
+        return pa.array(to_bytes(fingerprints([t or b"" for t in texts.to_pylist()], shingle, words)), type=pa.binary())
+
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("bigint").alias("_id"),
+                       fingerprint(F.col("text").cast("string").cast("binary")).alias("_fp"))
+    rows = rows.join(kept, (F.col("_fp") == F.col("_kept_fp")) & F.col("_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    return rows.groupBy("_fp", "_id").agg(F.first("_row").alias("_row")).select("_row.*")

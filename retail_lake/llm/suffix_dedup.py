@@ -487,11 +487,32 @@ def _packed(texts):
     return batches.map_arrow(texts, run, "ord bigint, doc_id bigint, text binary")
 
 
-def deduplicated(docs, with_text=False):
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document; also ``ord`` and ``kept_text``
-    (undecodable rests of cut characters left out) if asked for."""
-    rows = numbered(docs).select("ord", F.col("doc_id").cast("bigint").alias("doc_id"),
-                                 F.coalesce(F.col("text").cast("string").cast("binary"), F.lit(b"")).alias("text"))
+def deduplicated(docs):
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
+    return _applied(numbered(docs.select("doc_id", "text")))
+
+
+def deduplicated_documents(docs):
+    """The documents with their repeated bytes removed from ``text`` and all columns kept.
+
+    What is left of a character that was cut goes too; ``n_chars`` follows the text where it is a column.
+    Documents of which nothing is left are left out; those that were empty before stay.
+    """
+    others = [c for c in docs.columns if c != "text"]
+    rows = numbered(docs.select("doc_id", "text", F.struct(*others).alias("others")))
+    kept = _applied(rows, with_text=True).select("ord", "kept_text", (F.col("n_removed") == F.col("n_bytes")).alias("all"), "n_removed")
+    joined = rows.select("ord", "others", F.col("text").isNull().alias("none")).join(kept, "ord")
+    joined = joined.where(~F.col("all") | (F.col("n_removed") == 0))
+    text = F.when(~F.col("none"), F.col("kept_text"))
+    columns = {c: F.col("others")[c] for c in others} | {"text": text}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length(text)).otherwise(columns["n_chars"])
+    return joined.select(*[columns[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+
+
+def _applied(numbered_rows, with_text=False):
+    rows = numbered_rows.select("ord", F.col("doc_id").cast("bigint").alias("doc_id"),
+                                F.coalesce(F.col("text").cast("string").cast("binary"), F.lit(b"")).alias("text"))
     spans = repeated_spans(rows.select("ord", "text"))
     lists = spans.groupBy("ord").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
