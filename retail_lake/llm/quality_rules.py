@@ -3,8 +3,7 @@
 A line fails if it is
 
 * noise: of its characters without white space more than 10 % are signs such as ``# * $ % & | !``
-  (prose signs like full stop, comma and quotes do not count), or 90 % of its letters are capitals
-  and it has at least 3 words with an exclamation mark,
+  (prose signs like full stop, comma and quotes do not count),
 * navigation: at least 3 separators (``|``, ``>``) and a separator for every 4 words at least, or
   nothing but menu words,
 * boilerplate: it holds a fixed phrase of legal notices, cookie banners and sign-up boxes.
@@ -62,7 +61,7 @@ def line_fails(line):
     low = line.lower()
     if _PHRASES.search(low):
         return True
-    return len(low) < 400 and all(w in _MENU for w in low.split())
+    return all(w in _MENU for w in low.split())
 
 
 def repeated_words(words):
@@ -143,3 +142,45 @@ def quality_rules(docs, with_text=False):
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string").cast("binary").alias("text"))
     return batches.map_arrow(rows, run, f"doc_id bigint, {COLUMNS}" + ", clean_text string" * with_text)
+
+
+# DuckDB: the same rules over unnested lines and windows.
+SQL = rf"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+worded AS (SELECT row, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM docs),
+windows AS (
+  SELECT row, i, words[i:i + {WINDOW - 1}] AS piece
+  FROM (SELECT row, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM worded)),
+twice AS (SELECT row, i FROM windows QUALIFY count(*) OVER (PARTITION BY row, piece) > 1),
+covered AS (
+  SELECT row, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range({WINDOW})) AS k) GROUP BY row),
+lines AS (
+  SELECT row, line, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
+         regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') AS words,
+         length(regexp_replace(line, '[^#*$%&|<>!=_^~{{}}\[\]\\@+]', '', 'g')) AS noise,
+         length(regexp_replace(line, '[^|>]', '', 'g')) AS bars
+  FROM (SELECT row, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+judged AS (
+  SELECT row, line, chars,
+         100 * noise > {NOISE_PERCENT} * chars OR (bars >= 3 AND 4 * bars >= len(words))
+         OR regexp_matches(lower(line), '{'|'.join(PHRASES)}')
+         OR len(list_filter(words, lambda x: x NOT IN ({', '.join(repr(w) for w in MENU_WORDS)}))) = 0 AS failing
+  FROM lines),
+by_row AS (
+  SELECT row, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (failing) AS n_removed_lines,
+         coalesce(sum(chars) FILTER (failing), 0) AS removed_chars
+  FROM judged GROUP BY row),
+counted AS (
+  SELECT w.row, doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(n_removed_lines, 0) AS BIGINT) AS n_removed_lines, CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars
+  FROM worded w LEFT JOIN by_row USING (row) LEFT JOIN covered c ON w.row = c.row)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed,
+       NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words)
+       AND 100 * removed_chars <= {LOSS_PERCENT} * word_chars AS kept, n_removed_lines, removed_chars
+FROM counted
+"""

@@ -25,7 +25,7 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@query("op2_quality_rules")
+@query("op2_quality_rules", quality_rules.SQL)
 def op2_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
