@@ -27,9 +27,27 @@ def int_guard(col):
                     F.when(number.isNull(), _text(col)).alias("text_value"))
 
 
+def canonical_json(doc):
+    """A JSON document with its keys sorted and types kept at every level; null where it is no JSON.
+
+    Two texts have one canonical form if, and only if, they are the same document whatever the order of
+    keys and the white space: ``1`` and ``"1"`` differ, ``{"a":{"x":1,"y":2}}`` and its swapped form do not.
+    """
+    return F.to_json(F.try_parse_json(_text(doc)))
+
+
+# A token of canonical JSON: a string, a number, or what stands between.
+_JSON_TOKEN = r'"(?:[^"\\]|\\.)*"|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|[^"0-9-]+'
+
+
 def guard_document(doc):
-    """X7 on a JSON document: a map whose values are text, so that no integer overflows."""
-    return F.from_json(_text(doc), "map<string,string>")
+    """X7 on a JSON document: integers beyond 64 bits become text at every level, all else stays.
+
+    The result is the canonical form of the document; null where it is no JSON.
+    """
+    tokens = F.regexp_extract_all(canonical_json(doc), F.lit(_JSON_TOKEN), F.lit(0))
+    return F.array_join(F.transform(tokens, lambda t: F.when(
+        F.rlike(t, F.lit("^-?[0-9]+$")) & t.try_cast("bigint").isNull(), F.concat(F.lit('"'), t, F.lit('"'))).otherwise(t)), "")
 
 
 def coerce_store(col):

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from retail_lake.operators.filters import drop_control, eq_filter
-from retail_lake.operators.scan import ROW_BITS, number_rows
+from retail_lake.operators.scan import BEFORE_ALL, ROW_BITS, number_rows
 from retail_lake.schemas import PAGE_SIZE
 
 # A page this deep is still cheap as a top-n (each task keeps offset + size rows).
@@ -47,7 +47,8 @@ def page(df, offset=0, size=PAGE_SIZE, order="row_index", bits=ROW_BITS, top_n=T
         raise ValueError("offset and size must not be negative")
     if offset + size <= top_n:
         return df.orderBy(order).offset(offset).limit(size)
-    bucketed = df.withColumn("_b", F.shiftright(order, bits[0]))
+    # A row without order key comes first, as in the top-n.
+    bucketed = df.withColumn("_b", F.coalesce(F.shiftright(order, bits[0]).cast("bigint"), F.lit(BEFORE_ALL)))
     counts = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy(F.lit(0)).orderBy("_b")  # one row per bucket
     starts = counts.withColumn("_end", F.sum("_n").over(upto))
@@ -81,9 +82,9 @@ def parse_cursor(cursor):
     try:
         offset = int(cursor)
     except ValueError:
-        raise ValueError("Invalid cursor format") from None
+        raise ValueError(f"a cursor is a row offset, not '{cursor}'") from None
     if offset < 0:
-        raise ValueError("Invalid cursor format")
+        raise ValueError(f"a cursor cannot be negative: {offset}")
     return offset
 
 
@@ -94,9 +95,13 @@ def page_after(df, last=None, size=PAGE_SIZE, order="row_index"):
 
 
 def latest(df, by, ts):
-    """The newest document per group; ``ts`` may be a struct with tie-breakers."""
+    """The newest document per group; ``ts`` may be a struct with tie-breakers.
+
+    Documents without ``ts`` count as oldest; a group that has no others keeps one of them.
+    """
     rest = [c for c in df.columns if c not in by]
-    return (df.groupBy(*by).agg(F.max_by(F.struct(*rest), ts).alias("_row"))
+    at = F.col(ts) if isinstance(ts, str) else ts
+    return (df.groupBy(*by).agg(F.max_by(F.struct(*rest), F.struct(at.isNotNull(), at)).alias("_row"))
             .select(*by, *[F.col(f"_row.{c}").alias(c) for c in rest]))
 
 

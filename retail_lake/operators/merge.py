@@ -3,20 +3,27 @@
 from pyspark.sql import functions as F
 
 
+def _col(c):
+    return F.col(c) if isinstance(c, str) else c
+
+
 def first_per_key(df, keys, seq):
-    """One row per key, the one with the lowest ``seq``; combined map-side, so a hot key is cheap."""
+    """One row per key, the one with the lowest ``seq``; combined map-side, so a hot key is cheap.
+
+    Rows without ``seq`` come last; a key that has no others keeps one of them.
+    """
     rest = [c for c in df.columns if c not in keys]
     return (df.groupBy(*keys)
-            .agg(F.min_by(F.struct(*rest), seq).alias("_row"))
+            .agg(F.min_by(F.struct(*rest), F.struct(_col(seq).isNull(), _col(seq))).alias("_row"))
             .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
             .select(*df.columns))
 
 
 def last_per_key(df, keys, seq):
-    """One row per key, the one with the highest ``seq``."""
+    """One row per key, the one with the highest ``seq``; rows without ``seq`` count as lowest."""
     rest = [c for c in df.columns if c not in keys]
     return (df.groupBy(*keys)
-            .agg(F.max_by(F.struct(*rest), seq).alias("_row"))
+            .agg(F.max_by(F.struct(*rest), F.struct(_col(seq).isNotNull(), _col(seq))).alias("_row"))
             .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
             .select(*df.columns))
 

@@ -20,6 +20,7 @@ from retail_lake.sources import files, tables
 
 TABLE = ["table_name", "file_type", "chain"]
 LEDGER = "source_file string, digest string, kind string, batch_id bigint"
+BROKEN = "source_file string, value string, kind string, batch_id bigint"
 COMMITS = "as_of string, batch_id bigint"
 VERSIONS = "created_at string, message string, version bigint"
 PROGRESS = ("table_name string, file_type string, chain string, last_row bigint, found_folder string, "
@@ -29,6 +30,7 @@ QUARANTINE = ("table_name string, file_type string, chain string, row_index bigi
 PARTITIONS = ["file_type", "chain"]
 
 
+# Fixed names: the methods and arguments of the read queries are those that callers know.
 class Lake:
     """A lake under ``root``. ``chains`` maps each enabled chain to its dump folder."""
 
@@ -73,8 +75,17 @@ class Lake:
         return self._stored("progress", PROGRESS).where(F.col("batch_id") == self.last_batch()).drop("batch_id")
 
     def quarantined(self):
-        """rows set aside because the first row of their table had no keys."""
-        return self._read("quarantine", QUARANTINE)
+        """rows set aside because the first row of their table had no keys.
+
+        Such a table has no mark, so each load sets all its rows aside again: the latest load counts.
+        """
+        held = self._read("quarantine", QUARANTINE)
+        latest = held.groupBy("table_name").agg(F.max("batch_id").alias("batch_id"))
+        return held.join(latest, ["table_name", "batch_id"]).select(*held.columns)
+
+    def broken_logs(self):
+        """SRC4: status files of the last load that are no JSON: name and text."""
+        return self._stored("broken_logs", BROKEN).where(F.col("batch_id") == self.last_batch())
 
     def registry(self):
         """JN6: the tables of the enabled chains and file types."""
@@ -100,7 +111,7 @@ class Lake:
     def restart(self):
         """SNK6/ST6: forget all loads; tables start empty. Snapshots stay."""
         for name, schema in (("rows", STORED_ROW), ("markers", STORED_MARKER), ("progress", PROGRESS),
-                             ("quarantine", QUARANTINE), ("ledger", LEDGER), ("commits", COMMITS),
+                             ("quarantine", QUARANTINE), ("ledger", LEDGER), ("commits", COMMITS), ("broken_logs", BROKEN),
                              *((f"status/{t}", STATUS_DOC) for t in STATUS_TABLES)):
             (self.spark.createDataFrame([], schema).write.mode("overwrite")
              .option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(self._path(name)))
@@ -190,8 +201,10 @@ class Lake:
 
     def _load_status(self, folder, table, global_table, kind, batch):
         logs = files.read_status_logs(self.spark, folder)
+        # Logs grow, so a broken one is set aside by every load until it can be read.
+        (files.malformed_logs(self.spark, folder).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{self._path('broken_logs')}/batch_id={batch}/kind={kind}"))
         event = F.from_json("payload", "map<string,string>")
-        canonical = F.to_json(F.map_from_entries(F.sort_array(F.map_entries(event))))
         # Older events name chain and type in a composite index only.
         index = names.decode_index(event["index"], ["file_type", "chain", "when_date"])
         events = logs.select(
@@ -199,7 +212,7 @@ class Lake:
             F.coalesce(event["requested_store_enum"], event["chain"], event["scraper"], index["chain"]).alias("chain"),
             F.coalesce(event["requested_file_type"], event["file_type"], F.nullif(index["file_type"], F.lit("")))
             .alias("file_type"),
-            F.sha2(F.concat("source_file", F.lit("\u0001"), canonical), 256).alias("digest"))
+            F.sha2(F.concat("source_file", F.lit("\u0001"), values.canonical_json("payload")), 256).alias("digest"))
         fresh = status.new_events(events, self.ledger(kind), "seq")
         for part, target in (("events", table), ("global_status", global_table)):
             docs = fresh.where(F.col("part") == part).select(
@@ -267,9 +280,8 @@ class Lake:
         return access.page_after(self._one_file(chain, file), last_row, limit)
 
     def _health(self, stamps, as_of, seconds):
-        times = stamps.select(F.lit(1).alias("one"), values.parse_ts("at").alias("ts"))
-        anchor = self.spark.range(1).select(F.lit(1).alias("one"))
-        fresh = access.freshness(anchor.join(times, "one", "left"), ["one"], "ts", values.parse_ts(F.lit(as_of)), seconds)
+        # A total without groups has one row even where there is no stamp.
+        fresh = access.freshness(stamps.select(values.parse_ts("at").alias("ts")), [], "ts", values.parse_ts(F.lit(as_of)), seconds)
         return fresh.select("is_updated", values.format_ts("last_update").alias("last_update"))
 
     def short_term_health(self, as_of, seconds=SHORT_TERM_SECONDS, table="ParserStatus"):

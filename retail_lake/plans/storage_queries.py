@@ -156,7 +156,7 @@ def status_files(spark, sf_dir):
 @query("snapshot_manifest", with_views(["fx_events"], (
     "SELECT source_file AS path, s || ' status file for ''' || source_file || ''' execution.' AS description FROM "
     "(SELECT DISTINCT source_file, CASE WHEN status = 'error' THEN 'Parser' ELSE 'Scraper' END AS s FROM fx_events) f "
-    "UNION ALL VALUES ('index.json', 'Index mapping between dataset versions and creation times'), "
+    "UNION ALL VALUES ('index.json', 'When each version of the dataset was made'), "
     "('parser-status.json', 'Parser status file')")))
 def snapshot_manifest(spark, sf_dir):
     """SNK9: path and description of every published status file."""

@@ -93,6 +93,7 @@ VERSIONS = T.StructType([
     T.StructField("created_at", T.StringType()),
 ])
 
+# Field names of the status documents, as they are written in the data.
 EXECUTION_LOG = T.StructType([
     T.StructField("loaded", T.BooleanType()),
     T.StructField("succusfull", T.BooleanType()),

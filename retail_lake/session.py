@@ -22,6 +22,9 @@ def build_session(master=None, app="retail-lake", **conf):
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        # The state of a stream lives on disk beside the heap, and grows with what the stream has seen.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     if master and master.startswith("local"):
         settings |= {"spark.ui.enabled": "false", "spark.driver.bindAddress": "127.0.0.1",
@@ -41,9 +44,11 @@ def build_session(master=None, app="retail-lake", **conf):
 def shared_dir(spark, name):
     """A new folder every executor can reach, under the cluster's checkpoint folder.
 
-    Only where the session names none (a test on one machine) is a local folder used.
+    Only where the session names none and runs on one machine (a test) is a local folder used.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
     if not root:
         root = tempfile.mkdtemp(prefix="retail-lake-")
         return os.path.join(root, name)

@@ -1,5 +1,7 @@
 """Landing files: CSV with row positions, JSON status logs, XML dumps, dataset listings (SRC1-SRC5, SRC8, SRC9)."""
 
+import functools
+
 from pyspark.sql import functions as F
 
 from retail_lake.functions.names import base_name, file_glob, table_of_path
@@ -35,7 +37,17 @@ def landing_groups(spark, folder):
     return [(list(columns), paths) for columns, paths in groups.items()]
 
 
-def read_csv_rows(spark, paths, columns, multi_line=False, folder=None):
+def _broken_lines(spark, paths):
+    """Paths of the files with a line break inside quotes: some line has an odd number of quotes.
+
+    One pass over the text without a shuffle of lines; the answer has at most one row per file.
+    """
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
+    odd = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return {r.path for r in lines.where(odd % 2 == 1).select("path").distinct().toLocalIterator()}
+
+
+def read_csv_rows(spark, paths, columns, multi_line=None, folder=None):
     """SRC1: CSV rows as text with (source_file, table_name, row_index).
 
     ``row_index`` is the position of the row in its file, header excluded. A file is read in blocks
@@ -43,10 +55,20 @@ def read_csv_rows(spark, paths, columns, multi_line=False, folder=None):
     the block plus the rows of all earlier blocks. The rows are written to ``folder`` (by default a
     new shared one) with block and id, in the one pass that reads CSV; block offsets come from what
     was written, so they hold however the files were split, and no row is shuffled to be numbered.
-    ``multi_line`` allows line breaks inside quotes, at the price of one task per file. A quote in a
-    cell is doubled; cells such as ``NULL`` or ``NaN`` are missing.
+    ``multi_line`` allows line breaks inside quotes, at the price of one task per file; by default only
+    the files that have such a break are read that way. A quote in a cell is doubled; cells such as
+    ``NULL`` or ``NaN`` are missing.
     """
     folder = folder or shared_dir(spark, "landing")
+    if multi_line is None:
+        listed = [paths] if isinstance(paths, str) else list(paths)
+        broken = _broken_lines(spark, listed)
+        if broken:
+            every = {r.path for r in spark.read.format("binaryFile").load(listed).select("path").toLocalIterator()}
+            parts = [(sorted(every - broken), False, "whole"), (sorted(every & broken), True, "broken")]
+            frames = [read_csv_rows(spark, own, columns, multi, f"{folder}/{name}") for own, multi, name in parts if own]
+            return functools.reduce(lambda a, b: a.unionByName(b), frames)
+        multi_line = False
     schema = ", ".join(f"`{c}` STRING" for c in columns)
     cells = [F.when(~F.col(f"`{c}`").isin(*MISSING_CELLS), F.col(f"`{c}`")).alias(c) for c in columns]
     (spark.read.schema(schema).options(header=True, escape='"', multiLine=multi_line).csv(paths)
@@ -71,7 +93,8 @@ def read_status_logs(spark, folder):
     """SRC4: every status JSON of a folder as one row per event: (source_file, part, seq, payload).
 
     A file is one JSON object with the arrays ``events`` and ``global_status``; the payload keeps
-    the text of the event, whatever its shape. ``seq`` orders events before global rows.
+    the text of the event, whatever its shape. ``seq`` orders events before global rows. A file that is
+    no JSON gives no event; see ``malformed_logs``.
     """
     docs = (spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
             .select(base_name(F.col("_metadata.file_path")).alias("source_file"),
@@ -85,6 +108,13 @@ def read_status_logs(spark, folder):
             .select("source_file", "part", (F.col("base") + F.col("at")).alias("seq"), "payload"))
 
 
+def malformed_logs(spark, folder):
+    """SRC4: name and text of the status files that are no JSON, and so hold events that cannot be read."""
+    return (spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
+            .select(base_name(F.col("_metadata.file_path")).alias("source_file"), "value")
+            .where(F.try_parse_json("value").isNull()))
+
+
 def read_status_documents(spark, folder, schema):
     """SRC4 for documents of a known shape, one JSON document per file."""
     return (spark.read.schema(schema).option("multiLine", True)

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from retail_lake.functions.values import canonical_json
+
 
 def read_messages(spark, target, fmt="parquet", **options):
     """All messages of a topic store, from the earliest on, without a row cap."""
@@ -14,9 +16,8 @@ def read_messages(spark, target, fmt="parquet", **options):
 
 
 def with_canonical(df, value="value"):
-    """Add ``canonical``: the document with sorted keys, null where the value is no JSON object."""
-    doc = F.from_json(value, "map<string,string>")
-    return df.withColumn("canonical", F.to_json(F.map_from_entries(F.sort_array(F.map_entries(doc)))))
+    """Add ``canonical``: the document with sorted keys, null where the value is no JSON."""
+    return df.withColumn("canonical", canonical_json(value))
 
 
 def is_control_message(value="value"):
@@ -38,14 +39,19 @@ def topic_updated(df, topic="topic", value="value"):
     return df.groupBy(topic).agg(F.bool_or(~is_control_message(value)).alias("is_updated"))
 
 
-def clean_topic(df, value="value"):
-    """SRC7/S5/ST5: data messages, each document once whatever its key order; raw text passes as is.
+def clean_topic(df, value="value", topic="topic", ts=None, delay=None):
+    """SRC7/S5/ST5: data messages, each document of a topic once whatever its key order; raw text passes as is.
 
-    Works on a stream too, where the seen digests are kept in checkpointed state.
+    Works on a stream too, where the seen digests are kept in checkpointed state; ``ts`` and ``delay``
+    bound that state for a stream whose repeats come within ``delay``.
     """
-    tagged = with_canonical(drop_control_messages(df, value), value)
-    docs = (tagged.where(F.col("canonical").isNotNull())
-            .withColumn("digest", F.sha2("canonical", 256))
-            .dropDuplicates(["digest"]).drop("digest"))
-    raw = tagged.where(F.col("canonical").isNull())
-    return docs.unionByName(raw)
+    tagged = with_canonical(drop_control_messages(df, value), value).withColumn("digest", F.sha2("canonical", 256))
+    keys = [topic, "digest"] if topic in df.columns else ["digest"]
+    if not df.isStreaming:
+        # One pass: raw text has a key of its own, so that it is never a repeat.
+        own = F.when(F.col("digest").isNull(), F.monotonically_increasing_id())
+        return tagged.withColumn("_own", own).dropDuplicates([*keys, "_own"]).drop("digest", "_own")
+    docs = tagged.where(F.col("canonical").isNotNull())
+    docs = (docs.dropDuplicates(keys) if ts is None
+            else docs.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys))
+    return docs.unionByName(tagged.where(F.col("canonical").isNull())).drop("digest")

@@ -90,8 +90,21 @@ def test_int_guard(spark, text, want):
 
 
 def test_guard_document_keeps_big_integers(spark):
-    doc = one(spark, d=values.guard_document(F.lit('{"a": 9223372036854775808, "b": true}'))).d
-    assert doc == {"a": "9223372036854775808", "b": "true"}
+    text = ('{"b": true, "a": {"n": [9223372036854775808, -9223372036854775808, 1, "x,12345678901234567890,\\" y"]}, '
+            '"c": 12345678901234567890, "d": 1.5, "e": null}')
+    assert one(spark, d=values.guard_document(F.lit(text))).d == (
+        '{"a":{"n":["9223372036854775808",-9223372036854775808,1,"x,12345678901234567890,\\" y"]},"b":true,'
+        '"c":"12345678901234567890","d":1.5,"e":null}')
+    assert one(spark, d=values.guard_document(F.lit("no json"))).d is None
+
+
+@pytest.mark.parametrize("left,right,same", [
+    ('{"a":{"x":1,"y":2}}', '{ "a": {"y":2, "x":1} }', True), ('{"a":1}', '{"a":"1"}', False), ("[1]", "[ 1 ]", True),
+    ('{"a":[1,2]}', '{"a":[2,1]}', False), ('{"a":true}', '{"a":"true"}', False), ('{"a":null}', "{}", False),
+])
+def test_canonical_json_is_typed_at_every_level(spark, left, right, same):
+    row = one(spark, a=values.canonical_json(F.lit(left)), b=values.canonical_json(F.lit(right)))
+    assert row.a is not None and (row.a == row.b) == same
 
 
 def test_coercions(spark):
