@@ -124,7 +124,7 @@ def test_regex_filter_takes_operands_literally(spark):
 
 
 def test_domain_checks():
-    with pytest.raises(ValueError, match="'file' parameter"):
+    with pytest.raises(ValueError, match="name a file"):
         filters.check_domain(["A"], "A", needs_file=True)
     assert filters.check_domain(["A"], "A", file="NULLPriceFull7290000000001-1.xml") == "PRICE_FULL_FILE"
 
@@ -211,7 +211,7 @@ def test_topic_messages(spark, tmp_path):
     topic_sink.append(sent.unionByName(more), str(tmp_path / "topic"))
     got = topic.clean_topic(topic.read_messages(spark, str(tmp_path / "topic"))).collect()
     assert sorted(r.canonical or r.value for r in got) == [
-        "junk", "junk", '{"file_name":"f1","n":"1"}', '{"file_name":"f1","n":"2"}', '{"file_name":"f2","n":"3"}']
+        "junk", "junk", '{"file_name":"f1","n":1}', '{"file_name":"f1","n":2}', '{"file_name":"f2","n":3}']
 
 
 def test_batches_replace_their_own_output(spark, tmp_path):
