@@ -66,23 +66,48 @@ def file_fates(seen, downloads, to_parse, parses, by=("chain", "run")):
     one aggregation on (run, file), combined map-side, in place of four joins. ``n_seen`` is how
     often the run lists the file.
     """
-    flags = {"n_seen": "bigint", "_listed": "boolean", "_dl_ok": "boolean", "_dl_fail": "boolean",
-             "_ok": "boolean", "_fail": "boolean", "_dl_error": "string", "_error": "string"}
-
-    def facts(df, suffixes, **given):
-        return df.select(*by, strip_ext("file_name", suffixes).alias("file_name"), *[
-            given.get(n, F.lit(None)).cast(t).alias(n) for n, t in flags.items()])
-
-    got = is_ok("downloaded", "extracted")
-    done = is_ok("succeeded")
-    stacked = (
-        facts(seen, SCRAPED, n_seen=F.lit(1))
-        .unionByName(facts(downloads, SCRAPED, _dl_ok=got, _dl_fail=~got,
-                           _dl_error=F.when(~got, F.col("error"))))
-        .unionByName(facts(to_parse, STRIPPED, _listed=F.lit(True)))
-        .unionByName(facts(parses, STRIPPED, _ok=done, _fail=~done,
-                           _error=F.when(~done, error_label("error", "loaded"))))
-    )
+    parts = [(seen, seen_fact("file_name")),
+             (downloads, download_fact("file_name", is_ok("downloaded", "extracted"), F.col("error"))),
+             (to_parse, listed_fact("file_name")),
+             (parses, parse_fact("file_name", is_ok("succeeded"), error_label("error", "loaded")))]
+    return fates_of_facts(functools.reduce(
+        lambda a, b: a.unionByName(b), [df.select(*by, fact.alias("fact")) for df, fact in parts]), by)
+
+
+# What one log line says about a file: the fields of a fact.
+_FACT = {"n_seen": "bigint", "_listed": "boolean", "_dl_ok": "boolean", "_dl_fail": "boolean",
+         "_ok": "boolean", "_fail": "boolean", "_dl_error": "string", "_error": "string"}
+
+
+def _fact(name, suffixes, **given):
+    return F.struct(strip_ext(name, suffixes).alias("file_name"), *[
+        given.get(n, F.lit(None)).cast(t).alias(n) for n, t in _FACT.items()])
+
+
+def seen_fact(name):
+    """The run lists the file."""
+    return _fact(name, SCRAPED, n_seen=F.lit(1))
+
+
+def download_fact(name, ok, error):
+    """The file was fetched and unpacked, or not."""
+    return _fact(name, SCRAPED, _dl_ok=ok, _dl_fail=~ok, _dl_error=F.when(~ok, error))
+
+
+def listed_fact(name):
+    """The parser was given the file."""
+    return _fact(name, STRIPPED, _listed=F.lit(True))
+
+
+def parse_fact(name, ok, error):
+    """The file was parsed, or not."""
+    return _fact(name, STRIPPED, _ok=ok, _fail=~ok, _error=F.when(~ok, error))
+
+
+def fates_of_facts(facts, by=("chain", "run")):
+    """JN4 on rows with ``by`` and ``fact``, a null fact says nothing. Logs that lie in one table give
+    their facts in one scan: explode an array of them."""
+    stacked = facts.where(F.col("fact").isNotNull()).select(*by, "fact.*")
 
     def has(name):
         return F.coalesce(F.bool_or(name), F.lit(False)).alias(name)

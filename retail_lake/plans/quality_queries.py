@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from retail_lake.functions.values import error_label, is_ok
 from retail_lake.operators import access, catalog, merge, quality
 from retail_lake.plans.fixtures import table, view, with_views
 from retail_lake.plans.registry import query
@@ -22,15 +23,14 @@ _LOST = "stage IN ('fail_downloaded', 'fail_parsed')"
 
 
 def fates_of(spark, sf_dir):
-    """The four logs of a run, taken from the file view."""
+    """The four logs of a run, taken from the file view in one scan."""
     files = view(spark, sf_dir, "fx_doc_files")
-    seen = files.select("chain", "run", F.concat("file_name", F.lit(".xml.gz")).alias("file_name"))
-    downloads = files.select("chain", "run", F.concat("file_name", F.lit(".gz")).alias("file_name"),
-                             "downloaded", F.lit(True).alias("extracted"), "error")
-    parser = files.where("in_parser")
-    to_parse = parser.select("chain", "run", F.concat("file_name", F.lit(".xml")).alias("file_name"))
-    parses = parser.select("chain", "run", "file_name", F.col("parsed").alias("succeeded"), "loaded", "error")
-    return quality.file_fates(seen, downloads, to_parse, parses)
+    facts = F.array(
+        quality.seen_fact(F.concat("file_name", F.lit(".xml.gz"))),
+        quality.download_fact(F.concat("file_name", F.lit(".gz")), is_ok("downloaded"), F.col("error")),
+        F.when(F.col("in_parser"), quality.listed_fact(F.concat("file_name", F.lit(".xml")))),
+        F.when(F.col("in_parser"), quality.parse_fact("file_name", is_ok("parsed"), error_label("error", "loaded"))))
+    return quality.fates_of_facts(files.select("chain", "run", F.explode(facts).alias("fact")))
 
 
 @query("file_fates", with_views(["fx_doc_files"], (
@@ -50,8 +50,8 @@ def file_fates(spark, sf_dir):
     "GROUP BY f.chain, f.run")))
 def file_funnel(spark, sf_dir):
     """Files of every run by stage, and how many were new."""
-    seen = view(spark, sf_dir, "fx_doc_files").select("chain", "run", "file_name")
-    return (quality.funnel(fates_of(spark, sf_dir)).join(quality.new_files(seen), ["chain", "run"], "left")
+    fates = fates_of(spark, sf_dir)
+    return (quality.funnel(fates).join(quality.new_files(fates), ["chain", "run"], "left")
             .withColumn("new_files", F.coalesce("new_files", F.lit(0).cast("bigint"))))
 
 
@@ -114,9 +114,9 @@ def run_timestamps(spark, sf_dir):
 
 @query("asof_greedy", with_views(["fx_events"], (
     ", s AS (SELECT task_id, ts, row_number() OVER (PARTITION BY task_id ORDER BY ts) AS i FROM "
-    "(SELECT DISTINCT task_id, ts FROM fx_events WHERE status = 'view') a), "
+    "(SELECT DISTINCT task_id, ts FROM fx_events WHERE status IN ('view', 'error')) a), "
     "p AS (SELECT task_id, ts, row_number() OVER (PARTITION BY task_id ORDER BY ts) AS k FROM "
-    "(SELECT DISTINCT task_id, ts FROM fx_events WHERE status = 'purchase') b), "
+    "(SELECT DISTINCT task_id, ts FROM fx_events WHERE status NOT IN ('view', 'error')) b), "
     "lb AS (SELECT s.task_id, s.ts, s.i, 1 + count(p.ts) AS lb FROM s LEFT JOIN p ON p.task_id = s.task_id "
     "AND p.ts < s.ts GROUP BY s.task_id, s.ts, s.i), "
     "g AS (SELECT task_id, i, ts, lb AS k FROM lb WHERE i = 1 UNION ALL SELECT lb.task_id, lb.i, lb.ts, "
@@ -125,22 +125,22 @@ def run_timestamps(spark, sf_dir):
 def asof_greedy(spark, sf_dir):
     """JN2: each scrape takes the nearest unused parse at or after it."""
     events = view(spark, sf_dir, "fx_events").select("task_id", "status", "ts")
-    scrapes = events.where("status = 'view'").withColumnRenamed("ts", "scraped_at")
-    parses = events.where("status = 'purchase'").withColumnRenamed("ts", "parsed_at")
+    scrapes = events.where("status IN ('view', 'error')").withColumnRenamed("ts", "scraped_at")
+    parses = events.where("status NOT IN ('view', 'error')").withColumnRenamed("ts", "parsed_at")
     return quality.asof_greedy(scrapes, parses, ["task_id"], "scraped_at", "parsed_at")
 
 
 @query("pair_status", with_views(["fx_events"], (
     "SELECT c.task_id, c.day, c.event_id AS collected_event_id, d.event_id AS downloaded_event_id FROM "
-    "(SELECT task_id, CAST(ts AS DATE) AS day, min(event_id) AS event_id FROM fx_events WHERE status = 'view' "
+    "(SELECT task_id, CAST(ts AS DATE) AS day, min(event_id) AS event_id FROM fx_events WHERE status IN ('view', 'error') "
     "GROUP BY 1, 2) c JOIN (SELECT task_id, CAST(ts AS DATE) AS day, min(event_id) AS event_id FROM fx_events "
-    "WHERE status = 'click' GROUP BY 1, 2) d ON d.task_id = c.task_id AND d.day = c.day")))
+    "WHERE status NOT IN ('view', 'error') GROUP BY 1, 2) d ON d.task_id = c.task_id AND d.day = c.day")))
 def pair_status(spark, sf_dir):
     """JN3: the collected and the downloaded document of each run."""
     events = view(spark, sf_dir, "fx_events").select(
         "task_id", F.col("ts").cast("date").alias("day"), "event_id", "status")
-    return quality.pair_status(events.where("status = 'view'").drop("status"),
-                               events.where("status = 'click'").drop("status"),
+    return quality.pair_status(events.where("status IN ('view', 'error')").drop("status"),
+                               events.where("status NOT IN ('view', 'error')").drop("status"),
                                ["task_id", "day"], "event_id")
 
 
@@ -189,13 +189,16 @@ def missing_expected(spark, sf_dir):
 
 
 @query("chain_dimension", (
-    "SELECT n_name AS chain, count(s_suppkey) AS n_files, count(s_suppkey) FILTER (s_acctbal < -500) AS n_low "
-    "FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_acctbal < 0 GROUP BY n_name"))
+    "SELECT chain, count(s_suppkey) AS n_files, count(s_suppkey) FILTER (s_acctbal < -500) AS n_low FROM "
+    "(SELECT n_name AS chain, n_nationkey AS key FROM nation UNION ALL SELECT 'NEW ' || n_name, n_nationkey + 100 FROM nation) n "
+    "LEFT JOIN supplier ON s_nationkey = key GROUP BY chain"))
 def chain_dimension(spark, sf_dir):
     """JN5: counts per dump folder under the chain's name; chains without data still appear."""
-    dim = table(spark, sf_dir, "nation").select(
-        F.col("n_name").alias("chain"), F.concat(F.lit("Folder"), F.col("n_nationkey").cast("string")).alias("folder"))
-    data = (table(spark, sf_dir, "supplier").where("s_acctbal < 0")
+    nation = table(spark, sf_dir, "nation").select(F.explode(F.array(
+        F.struct(F.col("n_name").alias("chain"), F.col("n_nationkey").alias("key")),
+        F.struct(F.concat(F.lit("NEW "), "n_name").alias("chain"), (F.col("n_nationkey") + 100).alias("key")))).alias("n"))
+    dim = nation.select("n.chain", F.concat(F.lit("Folder"), F.col("n.key").cast("string")).alias("folder"))
+    data = (table(spark, sf_dir, "supplier")
             .groupBy(F.concat(F.lit("folder"), F.col("s_nationkey").cast("string")).alias("folder"))
             .agg(F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("s_acctbal") < -500).alias("n_low")))
     zero = F.lit(0).cast("bigint")
