@@ -172,7 +172,11 @@ def error_counts(fates, chain="chain"):
 
 def reconcile(source, stored, by=("table_name",), order="row_index"):
     """JN7: source rows against stored data rows per table: equal counts, last index = count - 1."""
-    left = source.groupBy(*by).agg(F.count(F.lit(1)).alias("source_rows"))
+    return reconcile_counts(source.groupBy(*by).agg(F.count(F.lit(1)).alias("source_rows")), stored, by, order)
+
+
+def reconcile_counts(left, stored, by=("table_name",), order="row_index"):
+    """JN7 from counts of the source: ``by`` and ``source_rows``."""
     right = stored.groupBy(*by).agg(F.count(F.lit(1)).alias("stored_rows"),
                                     F.max(order).alias("last_row"))
     joined = left.join(right, list(by), "full")

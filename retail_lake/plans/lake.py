@@ -129,8 +129,14 @@ class Lake:
         self._load_status(converting_status, "ParserStatus", "GlobalParserStatus", "parser", batch)
         commit = self.spark.createDataFrame([(as_of, batch)], COMMITS)
         store.write_batch(commit.coalesce(1), self._path("commits"), batch)
+        self._drop_scratch()
         return batch
 
+    def _drop_scratch(self):
+        """Remove the landing copies of this lake's loads; they are of no use once the load counts."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path("_scratch"))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def _load_rows(self, outputs, batch):
         """Number, fill, pack and write the rows past each table's mark.
 
@@ -139,7 +145,8 @@ class Lake:
         """
         progress = self.progress()
         groups = files.landing_groups(self.spark, outputs)
-        loads = [self._load_group(columns, paths, progress) for columns, paths in groups]
+        loads = [self._load_group(columns, paths, progress, f"{self._path('_scratch')}/batch-{batch}-{n}")
+                 for n, (columns, paths) in enumerate(groups)]
         if loads:
             packed = functools.reduce(lambda a, b: a.unionByName(b), [p for p, _ in loads])
             store.write_rows(packed.withColumn("batch_id", F.lit(batch)).select(*STORED_ROW.names),
@@ -150,10 +157,10 @@ class Lake:
                               .withColumn("batch_id", F.lit(batch)), self._path("quarantine"), batch)
         self._load_progress(progress, batch)
 
-    def _load_group(self, columns, paths, progress):
+    def _load_group(self, columns, paths, progress, scratch):
         """Rows past the mark of the files of one header: (packed rows, quarantined rows or None)."""
         content = [c for c in columns if c not in KEY_COLUMNS]
-        landed = files.read_csv_rows(self.spark, paths, columns)
+        landed = files.read_csv_rows(self.spark, paths, columns, folder=scratch)
         landed = (landed.withColumn("_t", names.split_table_name("table_name"))
                   .select("table_name", "_t.file_type", "_t.chain", "row_index", "found_folder", "file_name", *content))
         fresh = ingest.rows_after(self._with_enabled_chain(landed), progress)
@@ -352,11 +359,12 @@ class Lake:
 
     def reconcile(self, outputs):
         """JN7: rows of the landing files against stored rows, per table."""
-        landed = [files.read_csv_rows(self.spark, paths, columns).select("table_name", "row_index")
+        counts = [files.count_csv_rows(self.spark, paths, columns)
                   for columns, paths in files.landing_groups(self.spark, outputs)]
-        source = functools.reduce(lambda a, b: a.unionByName(b), landed)
+        source = (functools.reduce(lambda a, b: a.unionByName(b), counts)
+                  .groupBy("table_name").agg(F.sum("source_rows").alias("source_rows")))
         stored = self.rows().select(names.table_name("file_type", "chain").alias("table_name"), "row_index")
-        return quality.reconcile(source, stored)
+        return quality.reconcile_counts(source, stored)
 
     def missing_files(self, version=None):
         """JN8: files a version should list but does not."""

@@ -89,6 +89,18 @@ def read_csv_rows(spark, paths, columns, multi_line=None, folder=None):
         *[landed[f"`{c}`"] for c in columns])
 
 
+def count_csv_rows(spark, paths, columns):
+    """JN7: (table_name, source_rows) of CSV files; no cell is kept and nothing is written."""
+    broken = _broken_lines(spark, paths)
+    schema = ", ".join(f"`{c}` STRING" for c in columns)
+    every = {r.path for r in spark.read.format("binaryFile").load(list(paths)).select("path").toLocalIterator()}
+    counts = [spark.read.schema(schema).options(header=True, escape='"', multiLine=multi).csv(sorted(own))
+              .groupBy(table_of_path(F.col("_metadata.file_path")).alias("table_name"))
+              .agg(F.count(F.lit(1)).alias("source_rows"))
+              for own, multi in ((every - broken, False), (every & broken, True)) if own]
+    return functools.reduce(lambda a, b: a.unionByName(b), counts)
+
+
 def read_status_logs(spark, folder):
     """SRC4: every status JSON of a folder as one row per event: (source_file, part, seq, payload).
 

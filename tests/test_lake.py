@@ -139,7 +139,7 @@ def test_listing(lake):
         lake.list_files("Gamma")
     with pytest.raises(ValueError, match="no file type"):
         lake.list_files("Beta", "JUNK")
-    with pytest.raises(ValueError, match="required"):
+    with pytest.raises(ValueError, match="name a chain"):
         lake.list_files("")
 
 
