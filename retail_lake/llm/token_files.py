@@ -2,7 +2,7 @@
 
 Documents are range-partitioned by doc_id; each task encodes its range, appends the end id to every
 document, and packs the ids into one Arrow IPC file: record batches of fixed-size lists, one column of
-ids and one of masks. Batches lie uncompressed at fixed offsets, so a reader maps the file and takes any
+ids (16-bit where the vocabulary allows) and one of masks. Batches lie uncompressed at fixed offsets, so a reader maps the file and takes any
 sequence without a copy. Only the last sequence of a file is padded; its mask tells which ids count.
 
 Files get a name of their own per attempt; the index that names the valid ones is a table that Spark
@@ -36,16 +36,23 @@ END_ID = 2
 ROWS = 256
 
 
-def file_schema(length=SEQUENCE):
-    return pa.schema([("ids", pa.list_(pa.field("id", pa.uint32(), False), length)),
+def id_type(largest):
+    """The smallest unsigned type that holds all ids of the vocabulary."""
+    return pa.uint16() if largest < 1 << 16 else pa.uint32()
+
+
+def file_schema(length=SEQUENCE, kind=None):
+    return pa.schema([("ids", pa.list_(pa.field("id", kind or pa.uint32(), False), length)),
                       ("mask", pa.list_(pa.field("valid", pa.bool_(), False), length))])
 
 
 class SequenceWriter:
     """Packs ids into sequences and writes them by whole record batches."""
 
-    def __init__(self, sink, length=SEQUENCE):
-        self.length, self.schema = length, file_schema(length)
+    def __init__(self, sink, length=SEQUENCE, kind=None):
+        self.length, self.schema = length, file_schema(length, kind)
+        self.kind = self.schema.field(0).type.value_type
+        self.plain = self.kind.to_pandas_dtype()
         self.writer = pa.ipc.new_file(sink, self.schema)
         self.waiting, self.count, self.total = [], 0, 0
 
@@ -59,13 +66,14 @@ class SequenceWriter:
 
     def _flush(self, rows):
         data = np.frombuffer(b"".join(self.waiting), dtype="<u4")
+        small = data.astype(self.plain)
         size = rows * self.length
         valid = np.arange(size) < len(data)
-        whole = data[:size] if len(data) >= size else np.pad(data, (0, size - len(data)))
+        whole = small[:size] if len(data) >= size else np.pad(small, (0, size - len(data)))
         for at in range(0, rows, ROWS):
             cut = slice(at * self.length, min(rows, at + ROWS) * self.length)
             self.writer.write_batch(pa.RecordBatch.from_arrays([
-                pa.FixedSizeListArray.from_arrays(pa.array(whole[cut], type=pa.uint32()), type=self.schema.field(0).type),
+                pa.FixedSizeListArray.from_arrays(pa.array(whole[cut], type=self.kind), type=self.schema.field(0).type),
                 pa.FixedSizeListArray.from_arrays(pa.array(valid[cut]), type=self.schema.field(1).type)], schema=self.schema))
         rest = data[size:]
         self.waiting, self.count = [rest.tobytes()], len(rest)
@@ -137,7 +145,8 @@ def write_files(spark, docs, path, folder=None, length=SEQUENCE, end_id=END_ID):
             writer, row = None, 0
             for chunk in batches.chunks(parts, "text"):
                 if writer is None:
-                    writer = SequenceWriter(stack.enter_context(system.open_output_stream(f"{place}/{name}")), length)
+                    sink = stack.enter_context(system.open_output_stream(f"{place}/{name}"))
+                    writer = SequenceWriter(sink, length, id_type(max(len(cache.merges.tokens) - 1, end_id, *special.values(), 0)))
                 starts, counts = [], []
                 for ids in encode_texts(cache, pattern, special, [t or "" for t in chunk.column("text").to_pylist()]):
                     starts.append(writer.total)
