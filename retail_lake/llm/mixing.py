@@ -24,8 +24,9 @@ from retail_lake.llm.scratch import written
 WORD = r"[^\x20\x09-\x0D]+"
 REPEATS = 3
 WEIGHTS = (1, 2, 3)
-# Documents in one bucket of the shuffle key, and copies in one bucket of virtual time, about.
-BUCKET_ROWS = 1 << 16
+# Documents in one bucket of the shuffle key, and documents per bucket of virtual time, about.
+BUCKET_ROWS = 1 << 10
+SLOT_ROWS = 1 << 16
 KEY_BITS = 60
 
 
@@ -111,7 +112,7 @@ def _copies(queue, repeats):
 def last_taken(queue, budget, repeats=REPEATS):
     """(finish, rank, copy, key, doc_id, size) of the last copy within the budget, or None."""
     copies = _copies(queue, repeats)
-    per_unit = max(1, queue.count() // BUCKET_ROWS)
+    per_unit = max(1, queue.count() // SLOT_ROWS)
     copies = copies.withColumn("slot", F.floor(F.least(F.col("finish"), F.lit(4.0)) * per_unit))
     slots = copies.groupBy("slot").agg(F.sum("size").alias("slot_size"))
     upto = slots.withColumn("upto_slot", F.sum("slot_size").over(Window.orderBy("slot")))
