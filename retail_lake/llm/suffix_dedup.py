@@ -46,8 +46,8 @@ GRAM = 24
 WIDTHS = (LENGTH - GRAM + 1, 8, 1)
 # Text per run, text looked at in one step, text per range, about.
 RUN_BYTES = 8 << 20
-STEP_BYTES = 1 << 20
-RANGE_BYTES = 16 << 20
+STEP_BYTES = 128 << 10
+RANGE_BYTES = 8 << 20
 MAX_RANGES = 20_000
 SAMPLE_DOCUMENTS = 600
 SAMPLE_KEYS = 20_000
@@ -201,9 +201,9 @@ def front_coded(keys, ords, starts, offsets):
     shared = np.zeros(n, dtype=np.int64)
     if n > 1:
         shared[1:] = np.minimum((cellsof[1:] != cellsof[:-1]).argmax(axis=1), np.minimum(sizes[1:], sizes[:-1]))
-    columns = np.arange(width)
+    columns, shared, sizes = np.arange(width, dtype=np.uint8), shared.astype(np.uint8), sizes.astype(np.uint8)
     rest = cellsof[(columns >= shared[:, None]) & (columns < sizes[:, None])].tobytes()
-    body = b"".join([shared.astype(np.uint8).tobytes(), sizes.astype(np.uint8).tobytes(),
+    body = b"".join([shared.tobytes(), sizes.tobytes(),
                      np.array(offsets, dtype=np.uint8).tobytes(), np.array(starts, dtype="<i8").tobytes(),
                      np.array(ords, dtype="<i8").tobytes(), rest])
     return _HEAD.pack(n, len(body)) + zstandard.ZstdCompressor(level=3).compress(body)
@@ -231,12 +231,16 @@ def _run(keys, ords, starts, offsets, splitters):
     # Earliest first among equals: the order of (ord, start), then a stable sort.
     early = np.lexsort((starts, ords)).tolist()
     order = sorted(early, key=keys.__getitem__)
-    sorted_keys = [keys[i] for i in order]
-    again = [i > 0 and sorted_keys[i] == sorted_keys[i - 1] for i in range(len(order))]
-    repeats = [i for i, a in zip(order, again) if a]
+    kept, repeats, before = [], [], None
+    for i in order:
+        if keys[i] == before:
+            repeats.append(i)
+        else:
+            kept.append(i)
+            before = keys[i]
     yield from _decided([ords[i] for i in repeats], [starts[i] for i in repeats],
                         [starts[i] + keys[i][-1] for i in repeats])
-    kept = [i for i, a in zip(order, again) if not a]
+    del order, early, repeats
     sorted_keys = [keys[i] for i in kept]
     begin = 0
     for part, end in enumerate([*(bisect.bisect_left(sorted_keys, s) for s in splitters), len(kept)]):
@@ -272,46 +276,53 @@ def merge(runs):
     while n < len(runs):
         n *= 2
     iterators = [iter(r) for r in runs]
-    heads, lcp = [next(i, None) for i in iterators] + [None] * (n - len(runs)), [0] * n
-
-    def first(a, b):
-        """The winner of two heads; sets the shared prefix of the loser."""
-        x, y = heads[a], heads[b]
-        if x is None or y is None:
-            return (b, a) if x is None else (a, b)
-        p, r = lcp[a], lcp[b]
-        if p != r:
-            return (a, b) if p > r else (b, a)
-        left, right = x[0][p:], y[0][p:]
-        if left == right:
-            lcp_equal = p + len(left)
-            if (x[2], x[3]) <= (y[2], y[3]):
-                lcp[b] = lcp_equal
-                return a, b
-            lcp[a] = lcp_equal
-            return b, a
-        m = min(len(left), len(right))
-        differ = int.from_bytes(left[:m]) ^ int.from_bytes(right[:m])
-        same = p + m - (differ.bit_length() + 7) // 8
-        if left < right:
-            lcp[b] = same
-            return a, b
-        lcp[a] = same
-        return b, a
-
-    losers, winners = [0] * n, [0] * (2 * n)
-    for i in range(n):
-        winners[n + i] = i
+    heads = [next(i, None) for i in iterators] + [None] * (n - len(runs))
+    from_bytes = int.from_bytes
+    lcp = [-1 if h is None else 0 for h in heads]  # -1: the run has ended, and loses to all others
+
+    def play(a, b):
+        """(winner, loser) of two heads with equal shared prefixes; sets that of the loser."""
+        p, x, y = lcp[a], heads[a][0], heads[b][0]
+        # Most differ in the next few bytes; else the whole rest is looked at.
+        for end in (p + 8, 1 << 30):
+            left, right = x[p:end], y[p:end]
+            if left != right:
+                m = min(len(left), len(right))
+                differ = from_bytes(left[:m]) ^ from_bytes(right[:m])
+                same = p + m - (differ.bit_length() + 7) // 8
+                if left < right:
+                    lcp[b] = same
+                    return a, b
+                lcp[a] = same
+                return b, a
+        if heads[a][2:4] > heads[b][2:4]:
+            a, b = b, a
+        lcp[a], lcp[b] = p, len(x)
+        return a, b
+
+    losers, winners = [0] * n, [0] * n + list(range(n))
     for node in range(n - 1, 0, -1):
-        winners[node], losers[node] = first(winners[2 * node], winners[2 * node + 1])
+        a, b = winners[2 * node], winners[2 * node + 1]
+        if lcp[a] == lcp[b] >= 0:
+            a, b = play(a, b)
+        elif lcp[a] < lcp[b]:
+            a, b = b, a
+        winners[node], losers[node] = a, b
     winner = winners[1]
-    while (head := heads[winner]) is not None:
+    while lcp[winner] >= 0:
+        head = heads[winner]
         yield head[0], lcp[winner], head[2], head[3], head[4]
         heads[winner] = head = next(iterators[winner], None)
-        lcp[winner] = head[1] if head is not None else 0
+        lcp[winner] = mine = -1 if head is None else head[1]
         node = (n + winner) >> 1
         while node:
-            winner, losers[node] = first(winner, losers[node])
+            other = losers[node]
+            theirs = lcp[other]
+            if mine < theirs:
+                losers[node], winner, mine = winner, other, theirs
+            elif mine == theirs >= 0:
+                winner, losers[node] = play(winner, other)
+                mine = lcp[winner]
             node >>= 1
 
 
