@@ -17,9 +17,8 @@ than two grades are known, all weights are zero and every document is kept. Repe
 """
 
 import math
-import re
+import operator
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 from retail_lake.llm import batches
 
-SAMPLE = 20_000
+SAMPLE = 10_000
 BITS = 20
 GRADES = 3
 EPOCHS = 16
@@ -41,7 +40,6 @@ KEEP_PROBABILITY = 0.5
 # Beginnings of words that are features too, for inflected words; in bytes.
 STEMS = (4, 5, 6)
 
-_EDGES = re.compile(rb"^[^0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff]+$")
 _WHITE = bytes([0x20, *range(0x09, 0x0E)])
 _UPPER, _DIGITS = bytes(range(65, 91)), bytes(range(48, 58))
 _SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".,;:'\"-()")
@@ -52,28 +50,47 @@ def _step(share):
     return 0 if share <= 0 else 1 + max(0, min(9, int(10 + 1.5 * math.log2(share))))
 
 
+_MASK = (1 << BITS) - 1
+# Signs at the ends of words: all of ASCII but letters and digits.
+_EDGES = bytes(c for c in range(128) if not chr(c).isalnum())
+_TAILS = _SIGNS + b".,;:'\"-()"
+
+
+class _Words(dict):
+    """Feature ids of a word: itself, its stems, the signs at its end. Emptied at ``limit`` words."""
+
+    limit = 200_000
+
+    def __missing__(self, word):
+        core = word.strip(_EDGES)
+        found = [] if core == word else [b"s" + word[len(word.rstrip(_TAILS)):]]
+        if core:
+            low = core.lower()
+            found.append(b"w" + low)
+            found += [b"%d" % n + low[:n] for n in STEMS if len(low) > n]
+        if len(self) >= self.limit:
+            self.clear()
+        ids = self[word] = tuple(zlib.crc32(f) & _MASK for f in found)
+        return ids
+
+
+_words = _Words()
+
+
 def features(text):
     """Sorted distinct feature ids of a text in UTF-8."""
     words = text.split()
-    counts = Counter(words)
+    distinct = set(words)
     found = set()
-    for word in counts:
-        core = _EDGES.sub(b"", word)
-        if core != word:
-            found.add(b"s" + word[len(word.rstrip(_SIGNS + b".,;:'\"-()")):])
-        if core:
-            low = core.lower()
-            found.add(b"w" + low)
-            found.update(b"%d" % n + low[:n] for n in STEMS if len(low) > n)
+    found.update(*map(_words.__getitem__, distinct))
     size = max(1, len(text) - len(words))
     share = lambda signs: (len(text) - len(text.translate(None, signs))) / size
-    again = sum(a == b for a, b in zip(words, words[1:])) / max(1, len(words))
+    again = sum(map(operator.eq, words, words[1:])) / max(1, len(words))
     for name, value in ((b"upper", share(_UPPER)), (b"signs", share(_SIGNS)), (b"digits", share(_DIGITS)),
-                        (b"bars", share(b"|")), (b"again", again), (b"repeat", 1 - len(counts) / max(1, len(words)))):
-        found.add(b"r" + name + b"%d" % _step(value))
-    found.add(b"n%d" % min(4, len(words) // 5))
-    mask = (1 << BITS) - 1
-    return np.unique(np.fromiter((zlib.crc32(f) & mask for f in found), dtype=np.int32, count=len(found)))
+                        (b"bars", share(b"|")), (b"again", again), (b"repeat", 1 - len(distinct) / max(1, len(words)))):
+        found.add(zlib.crc32(b"r" + name + b"%d" % _step(value)) & _MASK)
+    found.add(zlib.crc32(b"n%d" % min(4, len(words) // 5)) & _MASK)
+    return np.sort(np.fromiter(found, dtype=np.int32, count=len(found)))
 
 
 def _sigmoid(x):
