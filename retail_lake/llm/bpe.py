@@ -10,6 +10,7 @@ through a heap instead; the order of merges, and so the result, is the same.
 """
 
 import base64
+import functools
 import heapq
 import itertools
 import json
@@ -71,7 +72,12 @@ class Merges:
         self.made = np.asarray(made, dtype=np.int32)  # by rank
         self.tokens = tokens  # bytes by id
         self.whole = whole or {}  # strings that are one id whatever the merges say
-        self.plain = {(a, b): r for (a, b), r in zip(pairs, ranks)}
+        self._pairs = np.array([(a, b, r) for (a, b), r in zip(pairs, ranks)], dtype=np.int32).reshape(-1, 3)
+
+    @functools.cached_property
+    def plain(self):
+        """Ranks by pair for the heap; made when the first long string comes."""
+        return {(a, b): r for a, b, r in self._pairs.tolist()}
 
     def encode(self, strings):
         """Ids of each byte string as little-endian 32-bit integers, in a list of bytes."""
@@ -225,20 +231,28 @@ def from_json(content):
 class PieceCache:
     """Ids of pre-tokens as little-endian 32-bit integers; unknown ones are encoded together.
 
-    The cache is emptied once it holds ``limit`` pre-tokens, so its memory is bounded.
+    Pre-tokens are kept in two generations of ``limit``: when the newer one is full the older one goes,
+    and what is used again moves to the newer. So memory is bounded and frequent words stay.
     """
 
-    def __init__(self, merges, limit=300_000):
-        self.merges, self.limit, self.known = merges, limit, {}
+    def __init__(self, merges, limit=150_000):
+        self.merges, self.limit, self.known, self.older = merges, limit, {}, {}
 
     def ids(self, pieces):
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
+        if len(self.known) > self.limit:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         found = list(map(known.get, pieces))
         if None in found:
             gaps = [i for i, x in enumerate(found) if x is None]
-            fresh = list({pieces[i] for i in gaps})
+            missing = {pieces[i] for i in gaps}
+            fresh = []
+            for piece in missing:
+                ids = older.get(piece)
+                if ids is None:
+                    fresh.append(piece)
+                else:
+                    known[piece] = ids
             known.update(zip(fresh, self.merges.encode(fresh)))
             for i in gaps:
                 found[i] = known[pieces[i]]

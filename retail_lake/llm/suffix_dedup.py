@@ -45,7 +45,7 @@ GRAM = 24
 # Offsets of a string in its class, by round: all, eight, one.
 WIDTHS = (LENGTH - GRAM + 1, 8, 1)
 # Text per run, text looked at in one step, text per range, about.
-RUN_BYTES = 8 << 20
+RUN_BYTES = 4 << 20
 STEP_BYTES = 128 << 10
 RANGE_BYTES = 8 << 20
 MAX_RANGES = 20_000
