@@ -10,7 +10,8 @@
    of a bucket a spanning forest goes on: no pair list grows with the square of a group.
 4. A bucket with more than ``HOT_ROWS`` fingerprints is not searched in one task. With radius 2 its
    rows take the exact way of ``_hot_links``: each goes to the 65 strings within one bit of it, and
-   two fingerprints within two bits share one; all that meet at a string are within two bits.
+   two fingerprints within two bits share one; all that meet at a string are within two bits. With any
+   other radius it is dealt into blocks, and every block meets every other in a task of its own.
 5. Links are joined to components, and each component is named after its smallest doc_id.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint zero and is linked
@@ -144,6 +145,8 @@ def _close(prints, table, left, right, radius):
         if not len(left):
             break
         kept = np.abs(table[left, p] - table[right, p]) <= radius
+        if kept.all():
+            break  # what one pivot keeps whole, the next hardly cuts: the bits decide
         left, right = left[kept], right[kept]
     kept = hamming(prints[left], prints[right]) <= radius
     return left[kept], right[kept]
@@ -172,14 +175,15 @@ def _link_large(prints, table, begin, end, radius, forest):
             forest.link(*_close(prints, table, np.full(len(others), order[i]), others, radius))
 
 
-def bucket_links(parts, words, radius, pivots):
-    """Record batches of (key, fp) in key order -> batches of (a, b, hot).
+def bucket_links(parts, words, radius, pivots, limit):
+    """Record batches of (key, fp) in key order -> batches of (a, b, hot, at).
 
-    ``a`` and ``b`` are linked; where ``hot`` is true, ``a`` is a row of an oversized bucket.
+    ``a`` and ``b`` are linked; where ``hot`` is not null, ``a`` is row ``at`` of the bucket ``hot``,
+    which has more than ``limit`` rows.
     """
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("hot", pa.bool_())])
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("hot", pa.int64()), ("at", pa.int64())])
     keys, prints = np.zeros(0, dtype=np.int64), np.zeros((0, words), dtype=np.uint64)
-    hot_key = None
+    hot_key, hot_rows = None, 0
 
     def found(keys, prints):
         cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -197,10 +201,12 @@ def bucket_links(parts, words, radius, pivots):
             _link_large(prints, table, b, b + n, radius, forest)
         if forest.edges:
             a, b = np.array(forest.edges).T
-            yield batches.records([to_bytes(prints[a]), to_bytes(prints[b]), [False] * len(a)], schema)
+            none = [None] * len(a)
+            yield batches.records([to_bytes(prints[a]), to_bytes(prints[b]), none, none], schema)
 
-    def hot(prints):
-        yield batches.records([to_bytes(prints), [None] * len(prints), [True] * len(prints)], schema)
+    def hot(key, prints, at):
+        n = len(prints)
+        yield batches.records([to_bytes(prints), [None] * n, np.full(n, key), np.arange(at, at + n)], schema)
 
     for part in parts:
         if not part.num_rows:
@@ -210,22 +216,22 @@ def bucket_links(parts, words, radius, pivots):
         if hot_key is not None:  # the bucket that was given up goes on
             n = int(np.searchsorted(keys, hot_key, side="right"))
             if n:
-                yield from hot(prints[:n])
-                keys, prints = keys[n:], prints[n:]
+                yield from hot(hot_key, prints[:n], hot_rows)
+                keys, prints, hot_rows = keys[n:], prints[n:], hot_rows + n
             if not len(keys):
                 continue
             hot_key = None
         last = int(np.searchsorted(keys, keys[-1], side="left"))
         cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        over = [(c, n) for c, n in zip(cuts.tolist(), np.diff(np.append(cuts, len(keys))).tolist()) if n > HOT_ROWS]
+        over = [(c, n) for c, n in zip(cuts.tolist(), np.diff(np.append(cuts, len(keys))).tolist()) if n > limit]
         begin = 0
         for c, n in over:
             if c > begin:
                 yield from found(keys[begin:c], prints[begin:c])
-            yield from hot(prints[c:c + n])
+            yield from hot(keys[c], prints[c:c + n], 0)
             begin = c + n
             if begin == len(keys):
-                hot_key = int(keys[-1])
+                hot_key, hot_rows = int(keys[-1]), n
         if hot_key is not None:
             keys, prints = keys[:0], prints[:0]
             continue
@@ -268,33 +274,29 @@ def links(prints, words=1, radius=RADIUS, tables=None, pivots=PIVOTS):
                         key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + (own[:, w] & mask[w]))
                     yield batches.records([key.view(np.int64), column], keyed_schema)
 
-    rows = batches.map_arrow(prints.select("fp"), keyed, "key bigint, fp binary")
-    rows = rows.repartition("key").sortWithinPartitions("key")
-    found = written(batches.map_arrow(rows, lambda parts: bucket_links(parts, words, radius, references),
-                                      "a binary, b binary, hot boolean"), "simhash-links")
-    edges = found.where(~F.col("hot")).select("a", "b")
-    if words == 1 and radius == 2:
-        return edges.unionAll(_hot_links(found.where("hot").select("a").distinct()))
-    return edges.unionAll(_likely_hot_links(found.where("hot").select("a").distinct(), words, radius, references))
+    limit = HOT_ROWS
 
+    def search(rows, limit):
+        rows = rows.repartition("key").sortWithinPartitions("key")
+        return batches.map_arrow(rows, lambda parts: bucket_links(parts, words, radius, references, limit),
+                                 "a binary, b binary, hot bigint, at bigint")
 
-def _likely_hot_links(rows, words, radius, references):
-    """Links among rows of oversized buckets where no exact way is known: sorted by the fingerprint,
-    blocks of HOT_ROWS are searched whole."""
-    def run(parts):
-        schema = pa.schema([("key", pa.int64()), ("fp", pa.binary())])
-        at = 0
-        def numbered():
-            nonlocal at
-            for part in parts:
-                n = part.num_rows
-                yield batches.records([(np.arange(at, at + n) // HOT_ROWS), part.column("a")], schema)
-                at += n
-        yield from bucket_links(numbered(), words, radius, references)
-
-    blocks = batches.map_arrow(rows.repartitionByRange("a").sortWithinPartitions("a"), run,
-                               "a binary, b binary, hot boolean")
-    return blocks.select("a", "b")
+    rows = batches.map_arrow(prints.select("fp"), keyed, "key bigint, fp binary")
+    found = written(search(rows, limit), "simhash-links")
+    edges, hot = found.where(F.col("hot").isNull()).select("a", "b"), found.where(F.col("hot").isNotNull())
+    if words == 1 and radius == 2:
+        return edges.unionAll(_hot_links(hot.select("a").distinct()))
+    # No group of two blocks is over the limit, so none is given up again.
+    return edges.unionAll(search(_block_pairs(hot, max(1, limit // 2)), float("inf")).select("a", "b"))
+
+
+def _block_pairs(rows, size):
+    """(key, fp): the rows of each oversized bucket in blocks of ``size``, once for every other block."""
+    blocks = rows.select("hot", F.col("a").alias("fp"), F.floor(F.col("at") / size).alias("own"))
+    last = blocks.groupBy("hot").agg(F.max("own").alias("last"))
+    pairs = blocks.join(last, "hot").select("hot", "fp", "own", F.explode(F.sequence(F.lit(0), "last")).alias("other"))
+    return pairs.where("own != other").select(
+        F.xxhash64("hot", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "fp")
 
 
 def document_prints(docs, shingle=SHINGLE, words=1):

@@ -179,6 +179,43 @@ def test_dense_group_of_fingerprints_loses_no_link(spark, monkeypatch, hot):
     assert [got[bytes(d[1])] for d in data] == want
 
 
+def wide_prints(n, seed, flips):
+    """Fingerprints of 256 bits that differ from one another in about 2 * ``flips`` bits at most."""
+    rng = np.random.default_rng(seed)
+    center, out = rng.integers(0, 2, 256), []
+    for _ in range(n):
+        own = center.copy()
+        own[rng.choice(256, size=flips, replace=False)] ^= 1
+        out.append(np.packbits(own).tobytes())
+    return out
+
+
+def test_hot_buckets_of_a_wide_radius_lose_no_link(spark, monkeypatch):
+    """One bucket for all rows: links of fingerprints must not depend on where a row stands in it."""
+    values = wide_prints(90, 5, 21)
+    numbers = [int.from_bytes(v, "big") for v in values]
+    want = brute.components(numbers, lambda a, b: (a ^ b).bit_count() <= 30)
+    assert 1 < len(set(want)) < len(want)
+    df = spark.createDataFrame([(i, bytearray(v)) for i, v in enumerate(values)], "doc_id bigint, fp binary").repartition(3)
+    for hot in (4096, 89, 20, 7):
+        monkeypatch.setattr(simhash, "HOT_ROWS", hot)
+        tables = np.zeros((1, 4), dtype=np.uint64)
+        got = {bytes(k): v for k, v in rows(simhash.groups(df, 4, 30, tables), "fp", "component_id")}
+        assert [got[v] for v in values] == want, hot
+
+
+def test_a_bucket_over_the_limit_is_searched_whole(spark):
+    values = wide_prints(simhash.HOT_ROWS + 200, 6, 21)
+    prints = np.array([np.frombuffer(v, dtype=">u8") for v in values]).astype(np.uint64)
+    forest = simhash.Forest(len(values))
+    for i in range(len(values)):
+        near = i + 1 + np.flatnonzero(simhash.hamming(prints[i + 1:], prints[i]) <= 26)
+        forest.link(np.full(len(near), i), near)
+    df = spark.createDataFrame([(i, bytearray(v)) for i, v in enumerate(values)], "doc_id bigint, fp binary").repartition(3)
+    got = {bytes(k): v for k, v in rows(simhash.groups(df, 4, 26, np.zeros((1, 4), dtype=np.uint64)), "fp", "component_id")}
+    assert [got[v] for v in values] == [forest.root(i) for i in range(len(values))]
+
+
 def test_repeated_ids_stay_apart(spark):
     data = [(1, prose(50, 1)), (1, prose(50, 2)), (1, prose(50, 2)), (None, prose(50, 3)), (2, prose(50, 3)), (None, None)]
     df = spark.createDataFrame(data, "doc_id bigint, text string").withColumn("size", F.lit(1))
