@@ -216,6 +216,50 @@ def test_a_bucket_over_the_limit_is_searched_whole(spark):
     assert [got[v] for v in values] == [forest.root(i) for i in range(len(values))]
 
 
+def shingle_set(text):
+    words = text.lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b)
+
+
+def edited(words, spans, rng):
+    """``words`` with whole runs of words replaced: each run of n costs n + 4 shingles."""
+    out = list(words)
+    for begin, n in spans:
+        out[begin:begin + n] = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    return out
+
+
+def families(seed):
+    """Families that share some 0.5 to 0.75 with one another, with near copies of single members."""
+    rng, texts = random.Random(seed), []
+    for part in (0.15, 0.2, 0.25):
+        body = [f"w{rng.randrange(10**9)}" for _ in range(300)]
+        for k in range(25):
+            own = edited(body, [(0, int(300 * part))], rng)
+            texts.append(" ".join(own))
+            if k % 8 == 0:
+                texts.append(" ".join(edited(own, [(280, 15)], rng)))
+    return texts
+
+
+def test_distinct_documents_of_a_family_stay(spark, monkeypatch):
+    """Links stand for a similarity of 0.8 and nothing less, also where candidates hang together."""
+    texts = families(1)
+    sets = [shingle_set(t) for t in texts]
+    want = sorted(set(brute.components(sets, lambda a, b: similarity(a, b) >= 0.8)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    assert set(want) <= {d for (d,) in rows(simhash.near_unique(df), "doc_id")}
+    tables = np.zeros((1, 4), dtype=np.uint64)  # all are candidates of one another
+    for size in (simhash.BLOCK_BYTES, 60_000):
+        monkeypatch.setattr(simhash, "BLOCK_BYTES", size)
+        got = [d for (d,) in rows(simhash.near_unique(df, radius=70, tables=tables), "doc_id")]
+        assert sorted(got) == want, size
+
+
 def test_repeated_ids_stay_apart(spark):
     data = [(1, prose(50, 1)), (1, prose(50, 2)), (1, prose(50, 2)), (None, prose(50, 3)), (2, prose(50, 3)), (None, None)]
     df = spark.createDataFrame(data, "doc_id bigint, text string").withColumn("size", F.lit(1))
