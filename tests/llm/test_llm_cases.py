@@ -260,6 +260,20 @@ def test_distinct_documents_of_a_family_stay(spark, monkeypatch):
         assert sorted(got) == want, size
 
 
+@pytest.mark.parametrize("n, least, wanted", [(29, 0.80, 0.97), (20, 0.85, 0.99)])
+def test_near_copies_are_found(spark, n, least, wanted):
+    rng, texts = random.Random(n), []
+    for _ in range(200):
+        body = [f"w{rng.randrange(10**9)}" for _ in range(304)]
+        texts += [" ".join(body), " ".join(edited(body, [(120, n)], rng))]
+    sets = [shingle_set(t) for t in texts]
+    assert all(least <= similarity(a, b) < least + 0.01 for a, b in zip(sets[::2], sets[1::2]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    kept = {d for (d,) in rows(simhash.near_unique(df), "doc_id")}
+    assert kept >= set(range(0, 400, 2))
+    assert 400 - len(kept) >= wanted * 200
+
+
 def test_repeated_ids_stay_apart(spark):
     data = [(1, prose(50, 1)), (1, prose(50, 2)), (1, prose(50, 2)), (None, prose(50, 3)), (2, prose(50, 3)), (None, None)]
     df = spark.createDataFrame(data, "doc_id bigint, text string").withColumn("size", F.lit(1))
