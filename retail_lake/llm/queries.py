@@ -5,7 +5,7 @@ import public_tokenizers
 import corpus_pipeline
 
 from retail_lake.llm import (
-    byte_bpe, hnsw, mixing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, token_counts, token_files,
+    byte_bpe, conversations, hnsw, mixing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, token_counts, token_files,
 )
 
 QUERIES = {}
@@ -78,6 +78,11 @@ def op7_suffix_dedup(spark, sf_dir):
     return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
 
 
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark, sf_dir):
+    return conversations.repaired(table(spark, sf_dir, "conversations"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import xxhash
@@ -87,3 +88,69 @@ def nearest_rows(rows, every=100, k=10):
             near = sorted((float(np.sqrt(((v - own) ** 2).sum())), i) for i, v in fine if i != q and len(v) == len(own))
             out += [(q, n + 1, i, s) for n, (s, i) in enumerate(near[:k])]
     return sorted(set(out))
+
+
+def damaged_rows(rows):
+    """(conv_id, turn, role, text) rows after the damage, in the order of the contract."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind:
+            text = {1: "", 2: re.sub("[.!?]", "", text)}.get(kind, text)
+            out += [(conv, turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return sorted(out, key=lambda r: (r[1] is not None, r[1] or 0, r[2], hashlib.md5(r[3].encode()).hexdigest()))
+
+
+def repair(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, hash) of the damaged rows of one conversation.
+
+    A table of the least (cost, audit) and its repaired rows for each state, row by row.
+    """
+    seen, faults = set(), []
+    for _, _, role, text in rows:
+        shown = re.sub(r"[\x20\x09-\x0D]+\Z", "", text)
+        faults.append("blank" if not shown else "duplicate" if (role, text) in seen else
+                      "truncated" if shown[-1] not in ".!?" else "")
+        seen.add((role, text))
+    turns = {r[1] for r in rows if r[1] is not None}
+    initials = [r[2][:1] or " " for r in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    step = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("a", "u"): "u", ("u", "a"): "a"}
+
+    def inserted(best):
+        for _ in range(4):
+            for state, (cost, audit, kept) in list(best.items()):
+                for role in ("user", "assistant"):
+                    to = step.get((state, role[0]))
+                    if to and (to not in best or (cost + 5, audit + "I") < best[to][:2]):
+                        best[to] = cost + 5, audit + "I", [*kept, role + ":"]
+        return best
+
+    best = inserted({"": (0, "", [])})
+    for (_, _, role, text), fault in zip(rows, faults):
+        found = {}
+        for state, (cost, audit, kept) in best.items():
+            ways = [(state, cost + 2, audit + "D", kept)]
+            if fault not in ("blank", "duplicate"):
+                more = 5 if fault == "truncated" else 0
+                ways.append((step.get((state, role[:1])), cost + more, audit + "K", [*kept, f"{role}:{text}"]))
+                ways += [(step.get((state, new[0])), cost + 1 + more, audit + "R", [*kept, f"{new}:{text}"]) for new in ("user", "assistant")]
+            for to, *way in ways:
+                if to is not None and (to not in found or tuple(way[:2]) < found[to][:2]):
+                    found[to] = tuple(way)
+        best = inserted(found)
+    cost, audit, kept = min(best[s] for s in ("", "a") if s in best)
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    return (gaps, faults.count("blank"), faults.count("duplicate"), faults.count("truncated"), illegal, cost, audit,
+            hashlib.sha256("\n".join(kept).encode()).hexdigest())
+
+
+def repair_rows(rows):
+    """One tuple per conversation of (conv_id, turn, role, text) rows, as ``op11`` returns it."""
+    after, out = {}, []
+    for row in damaged_rows(rows):
+        after.setdefault(row[0], []).append(row)
+    for conv in {r[0] for r in rows}:
+        out.append((conv, *repair(after.get(conv, []))))
+    return sorted(out, key=repr)
