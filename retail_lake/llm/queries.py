@@ -5,7 +5,7 @@ import public_tokenizers
 import corpus_pipeline
 
 from retail_lake.llm import (
-    byte_bpe, conversations, hnsw, lexical_search, mixing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, token_counts, token_files,
+    byte_bpe, conversations, hnsw, jaccard_join, lexical_search, mixing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, token_counts, token_files,
 )
 
 QUERIES = {}
@@ -88,6 +88,11 @@ def op12_lexical_search(spark, sf_dir):
     return lexical_search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op13_jaccard_join")
+def op13_jaccard_join(spark, sf_dir):
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
