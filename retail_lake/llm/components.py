@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from retail_lake.llm.scratch import written
+from retail_lake.llm.scratch import drop, written_at
 
 
 def _large(edges):
@@ -25,14 +25,20 @@ def _small(edges):
 
 
 def components(edges, rounds=60):
-    """(a, b): every node of ``edges`` (a, b of one type) but the least of its component, and that least."""
+    """(a, b): every node of ``edges`` (a, b of one type) but the least of its component, and that least.
+
+    The tables of earlier rounds are dropped. ``rounds`` is no bound in practice: a chain of n links in a row
+    takes about log2(n) rounds, so 60 are enough for any table; more mean a fault, and raise RuntimeError.
+    """
+    spark = edges.sparkSession
     ends = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
-    current = written(edges.where(F.col("a") != F.col("b")).select(*ends).distinct(), "edges")
+    current, path = written_at(edges.where(F.col("a") != F.col("b")).select(*ends).distinct(), "edges")
     mark = None
     for _ in range(rounds):
         row = current.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if row["n"] == 0 or (row["n"], row["s"]) == mark:
             return current
-        mark = row["n"], row["s"]
-        current = written(reduce(lambda e, step: step(e), (_large, _small), current), "edges")
+        mark, before = (row["n"], row["s"]), path
+        current, path = written_at(reduce(lambda e, step: step(e), (_large, _small), current), "edges")
+        drop(spark, [before])
     raise RuntimeError(f"components are not settled after {rounds} rounds")

@@ -2,13 +2,36 @@
 
 from retail_lake.session import shared_dir
 
+# Folders written in this session and not dropped yet, oldest first.
+_held = []
 
-def written(df, name):
-    """Write ``df`` once as Parquet under the shared scratch folder and read it back.
+
+def written_at(df, name):
+    """``df`` written once as Parquet under the shared scratch folder and read back, and its folder.
 
     What follows no longer depends on the lineage before, so a lost executor costs no more than its
     own tasks. The folder comes from ``spark.checkpoint.dir``.
     """
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _held.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def written(df, name):
+    """As ``written_at``, without the folder."""
+    return written_at(df, name)[0]
+
+
+def drop(spark, paths):
+    """Delete folders that nothing reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _held.remove(path)
+
+
+def held():
+    """The folders written so far. A stage of the pipeline drops those of the stages before it, as its
+    input has been written outside of them."""
+    return list(_held)

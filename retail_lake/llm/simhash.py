@@ -24,17 +24,15 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import functions as F
 
 from retail_lake.llm import batches
 from retail_lake.llm.components import components
 from retail_lake.llm.scratch import written
+from retail_lake.llm.shingles import mix, shingle_hashes
 
 SHINGLE = 3
 RADIUS = 2
-SEED = 42
 PIVOTS = 16
 HOT_ROWS = 4096
 # Buckets up to this size are searched together, larger ones one by one.
@@ -42,32 +40,13 @@ SMALL = 32
 _SLICE = 1 << 15
 
 
-def _mix(x):
-    """A second hash of 64-bit hashes (steps of the splitmix generator)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _shingle_hashes(text, shingle):
-    words = text.lower().split()  # of bytes: lowers A-Z and splits at white space of ASCII only
-    if not words:
-        return []
-    joined = b" ".join(words)
-    if len(words) <= shingle:
-        return [xxhash.xxh64_intdigest(joined, SEED)]
-    ends = list(itertools.accumulate(map(len, words), lambda a, b: a + b + 1))
-    begins = [0, *(e + 1 for e in ends[:len(words) - shingle])]
-    digest = xxhash.xxh64_intdigest
-    return [digest(joined[a:b], SEED) for a, b in zip(begins, ends[shingle - 1:])]
-
-
 def fingerprints(texts, shingle=SHINGLE, words=1):
     """(n, words) array of 64-bit words: the fingerprint of each text (bytes)."""
-    return _prints((np.array(_shingle_hashes(text, shingle), dtype=np.uint64) for text in texts), len(texts), words)
+    return from_hashes((np.array(shingle_hashes(text, shingle), dtype=np.uint64) for text in texts), len(texts), words)
 
 
-def _prints(shingles, n, words):
+def from_hashes(shingles, n, words):
+    """The same of ``n`` arrays of shingle hashes."""
     out = np.zeros((n, words), dtype=np.uint64)
     for row, hashes in enumerate(shingles):
         if not len(hashes):
@@ -79,7 +58,7 @@ def _prints(shingles, n, words):
                 counts += bits.sum(axis=0, dtype=np.int64)
             out[row, w] = np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0]
             if w + 1 < words:
-                hashes = _mix(hashes + np.uint64(0x9E3779B97F4A7C15))
+                hashes = mix(hashes + np.uint64(0x9E3779B97F4A7C15))
     return out
 
 
@@ -263,7 +242,7 @@ def links(prints, words=1, radius=RADIUS, tables=None, pivots=PIVOTS):
     """(a, b) of fingerprints in ``prints`` (fp, distinct) within ``radius`` bits: enough of them to
     connect all that are connected, where the tables are sure; see ``likely_tables`` otherwise."""
     masks = sure_tables(radius) if tables is None else tables
-    salts = _mix(np.arange(1, len(masks) + 1, dtype=np.uint64))
+    salts = mix(np.arange(1, len(masks) + 1, dtype=np.uint64))
     references = pivot_prints(words, pivots)
     keyed_schema = pa.schema([("key", pa.int64()), ("fp", pa.binary())])
 
@@ -275,7 +254,7 @@ def links(prints, words=1, radius=RADIUS, tables=None, pivots=PIVOTS):
                 for mask, salt in zip(masks, salts):
                     key = np.full(len(own), salt, dtype=np.uint64)
                     for w in range(words):
-                        key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + (own[:, w] & mask[w]))
+                        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + (own[:, w] & mask[w]))
                     yield batches.records([key.view(np.int64), column], keyed_schema)
 
     limit = HOT_ROWS
@@ -334,195 +313,3 @@ def near_duplicates(docs, shingle=SHINGLE, words=1, radius=RADIUS, tables=None):
     prints = written(document_prints(docs, shingle, words), "simhash-prints")
     named = groups(prints, words, radius, tables).select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
-
-
-# A similarity of 0.8 on sets of five-word shingles is an angle of 0.48, or 39 of 256 bits on average.
-WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS = 5, 4, 40
-# The count scatters by 5.7 bits about that average: of such pairs, 1 in 10,000 differs in more than 60.
-CANDIDATE_RADIUS = WIDE_RADIUS + 20
-# Some one of 96 masks of 16 bits brought 99.3 % of 1,500 random pairs at 0.8 together, and 99.9 % at 0.85.
-WIDE_BITS, WIDE_TABLES = 16, 96
-# Bytes of shingle hashes, with ROW_BYTES more for each set, that a block of a group holds.
-BLOCK_BYTES, ROW_BYTES = 4 << 20, 2048
-
-
-def _similar(both, one, other):
-    """Whether two sets of sizes ``one`` and ``other`` with ``both`` common members have a similarity of 0.8."""
-    return 9 * both >= 4 * (one + other)
-
-
-def _sets(texts, shingle):
-    """The distinct shingle hashes of each text (bytes), sorted, and a 16-byte name of that set."""
-    sets = [np.unique(np.array(_shingle_hashes(text, shingle), dtype=np.uint64)) for text in texts]
-    return sets, [xxhash.xxh3_128_digest(own.tobytes()) for own in sets]
-
-
-def set_prints(docs, shingle, words):
-    """doc_id, fp and node of every document; ``node`` names its set of shingles, of which ``fp`` is made."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.binary()), ("node", pa.binary())])
-
-    def run(parts):
-        for part in batches.chunks(parts, "text"):
-            texts = [t or b"" for t in part.column("text").to_pylist()]
-            sets, names = _sets(texts, shingle)
-            yield batches.records([part.column("doc_id"), to_bytes(_prints(sets, len(sets), words)), names], schema)
-
-    return batches.map_arrow(_texts(docs), run, "doc_id bigint, fp binary, node binary")
-
-
-def _texts(docs):
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string").cast("binary").alias("text"))
-
-
-def _shingle_sets(docs, inside, shingle):
-    """``inside`` (node, doc_id, ..) with the shingle hashes of each node, cut anew from one of its texts."""
-    schema = pa.schema([("node", pa.binary()), ("shingles", pa.list_(pa.int64()))])
-
-    def run(parts):
-        for part in batches.chunks(parts, "text"):
-            sets, names = _sets([t or b"" for t in part.column("text").to_pylist()], shingle)
-            yield batches.records([names, [own.view(np.int64) for own in sets]], schema)
-
-    texts, ids = _texts(docs), inside.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    texts = texts.join(ids, "doc_id", "left_semi").unionAll(texts.where("doc_id IS NULL"))
-    sets = batches.map_arrow(texts, run, "node binary, shingles array<bigint>")
-    return inside.drop("doc_id").join(sets, "node").dropDuplicates(["node"])
-
-
-def exact_links(parts, words, radius):
-    """Record batches of (key, node, fp, part, shingles) in key order -> batches of (a, b).
-
-    Rows of one key with different ``part`` and fingerprints within the radius are linked if their sets are
-    similar; once linked their parts are one, so there are fewer links than rows.
-    """
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-
-    def found(held):
-        table = pa.Table.from_batches(held).combine_chunks()
-        prints = _from_column(table.column("fp"), words)
-        labels = np.unique(np.array(table.column("part").to_pylist(), dtype=object), return_inverse=True)[1]
-        shingles = table.column("shingles").combine_chunks()
-        lengths = pc.list_value_length(shingles).to_numpy()
-        codes = np.unique(shingles.flatten().to_numpy(), return_inverse=True)[1]
-        begins = np.cumsum(lengths) - lengths
-        own, a, b = np.zeros(len(codes) + 1, dtype=bool), [], []
-        for i in range(len(labels) - 1):
-            others = i + 1 + np.flatnonzero(labels[i + 1:] != labels[i])
-            others = others[_similar(np.minimum(lengths[others], lengths[i]), lengths[others], lengths[i])]
-            others = others[hamming(prints[others], prints[i]) <= radius]
-            if not len(others):
-                continue
-            mine = codes[begins[i]:begins[i] + lengths[i]]
-            own[mine] = True
-            sizes = lengths[others]
-            ends = np.cumsum(sizes)
-            at = np.repeat(begins[others] - (ends - sizes), sizes) + np.arange(ends[-1])
-            both = np.add.reduceat(own[codes[at]].astype(np.int64), ends - sizes)
-            own[mine] = False
-            for j in others[_similar(both, sizes, lengths[i])].tolist():
-                if labels[j] != labels[i]:
-                    labels[labels == labels[j]] = labels[i]
-                    a.append(i)
-                    b.append(j)
-        if a:
-            nodes = table.column("node")
-            yield batches.records([nodes.take(a).combine_chunks(), nodes.take(b).combine_chunks()], schema)
-
-    key, held = None, []
-    for part in parts:
-        keys = part.column("key").to_numpy()
-        cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else []
-        for c, n in zip(cuts, np.diff(np.append(cuts, len(keys)))):
-            if held and keys[c] != key:
-                yield from found(held)
-                held = []
-            key = keys[c]
-            held.append(part.slice(c, n))
-    if held:
-        yield from found(held)
-
-
-def _open_pairs(sets, verified):
-    """Rows of ``sets`` (node, fp, root, shingles) for ``exact_links``: all candidates that could still be linked.
-
-    A candidate group that ``verified`` makes one is done. Of any other, the rows are dealt into blocks and
-    each block meets each; only blocks of its largest part, which are linked already, do not meet each other.
-    """
-    parts = sets.join(verified.select(F.col("a").alias("node"), F.col("b").alias("part")), "node", "left")
-    parts = parts.withColumn("part", F.coalesce("part", "node"))
-    weight = F.sum(F.lit(ROW_BYTES) + 8 * F.size("shingles"))
-    whole = parts.groupBy("root", "part").agg(weight.alias("bytes")).groupBy("root").agg(
-        F.max_by("part", F.struct("bytes", "part")).alias("major"), F.max("bytes").alias("most"), F.sum("bytes").alias("bytes"),
-        F.count(F.lit(1)).alias("n")).where("n > 1")
-    small = F.col("bytes") <= BLOCK_BYTES
-    whole = whole.select(
-        "root", "major", F.when(small, 0).otherwise(F.ceil((F.col("bytes") - F.col("most")) / BLOCK_BYTES)).alias("minors"),
-        F.when(small, 1).otherwise(F.ceil(F.col("bytes") / BLOCK_BYTES) + 1).alias("blocks"))
-    # Blocks under ``minors`` hold the other parts, those from there on the largest one.
-    rows = parts.join(whole, "root").withColumn("hash", F.xxhash64("node")).withColumn("own", F.when(
-        (F.col("part") == F.col("major")) | (F.col("minors") == 0), F.col("minors") + F.expr("pmod(hash, blocks - minors)")
-    ).otherwise(F.expr("pmod(hash, minors)")))
-    reach = F.when(F.col("own") < F.col("minors"), F.col("blocks")).otherwise(F.greatest("minors", F.lit(1))) - 1
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), reach.cast("bigint"))))
-    rows = rows.where("own != other OR blocks = 1")
-    key = F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.select(key.alias("key"), "node", "fp", "part", "shingles")
-
-
-def similar_groups(docs, nodes, shingle, words, radius, tables):
-    """(node, root) of each node (node, fp, doc_id) that has a similar one; ``root`` names its component.
-
-    Fingerprints only bring candidates. The spanning links among them are checked by their sets of shingles
-    first; where that leaves a group of candidates in parts, its pairs between parts are checked as well.
-    """
-    candidates = written(links(nodes.select("fp").distinct(), words, radius, tables).distinct(), "simhash-candidates")
-    stars = components(candidates).select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    rooted = nodes.join(stars, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    several = rooted.groupBy("root").count().where("count > 1").select("root")
-    inside = written(rooted.join(several, "root", "left_semi").select("node", "doc_id", "fp", "root"), "simhash-inside")
-    sets = written(_shingle_sets(docs, inside, shingle), "simhash-sets")
-    least = inside.groupBy("fp").agg(F.min("node").alias("least"))
-    spanning = candidates.join(least.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a").join(
-        least.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b").select("x", "y")
-    spanning = spanning.unionAll(inside.join(least, "fp").where("node != least").select("least", "node"))
-    one = sets.select(F.col("node").alias("x"), F.col("shingles").alias("left"))
-    other = sets.select(F.col("node").alias("y"), F.col("shingles").alias("right"))
-    both = F.size(F.array_intersect("left", "right"))
-    checked = spanning.join(one, "x").join(other, "y").where(_similar(both, F.size("left"), F.size("right")))
-    checked = written(checked.select(F.col("x").alias("a"), F.col("y").alias("b")), "simhash-checked")
-    rows = _open_pairs(sets, components(checked)).repartition("key").sortWithinPartitions("key")
-    more = batches.map_arrow(rows, lambda parts: exact_links(parts, words, radius), "a binary, b binary")
-    return components(checked.unionAll(more)).select(F.col("a").alias("node"), F.col("b").alias("root"))
-
-
-def near_unique(docs, shingle=WIDE_SHINGLE, words=WIDE_WORDS, radius=CANDIDATE_RADIUS, tables=None):
-    """The documents, with all columns, that come first by doc_id in their group of near copies.
-
-    Two documents are linked if their sets of shingles have a similarity (Jaccard) of at least 0.8, checked
-    exactly. Candidates are fingerprints of 256 bits within ``radius``; as no sure set of masks covers a wide
-    radius, they come from ``likely_tables``. Texts without words are copies of each other and of no other.
-    """
-    if tables is None and radius > RADIUS:
-        tables = likely_tables(words, WIDE_BITS, WIDE_TABLES)
-    prints = written(set_prints(docs, shingle, words), "simhash-prints")
-    nodes = written(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("doc_id")), "simhash-nodes")
-    named = similar_groups(docs, nodes, shingle, words, radius, tables)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
-    # One row per component: pre-aggregated by node before the join, so copies cost one row.
-    least = prints.groupBy("node").agg(first.alias("first")).join(named, "node", "left").groupBy(
-        F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    kept = least.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.node").alias("_kept_node"))
-    twice = prints.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull()).limit(1).count()
-    if not twice:
-        return docs.join(kept, docs["doc_id"].cast("bigint") == kept["_kept_id"], "left_semi").select(*docs.columns)
-    # Rows that share a doc_id are told apart by their sets; of rows with both alike one stays.
-    batches.importable(docs.sparkSession)
-
-    @F.arrow_udf("binary")
-    def set_name(texts: pa.Array) -> pa.Array:
-        return pa.array(_sets([t or b"" for t in texts.to_pylist()], shingle)[1], type=pa.binary())
-
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("bigint").alias("_id"),
-                       set_name(F.col("text").cast("string").cast("binary")).alias("_node"))
-    rows = rows.join(kept, (F.col("_node") == F.col("_kept_node")) & F.col("_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    return rows.groupBy("_node", "_id").agg(F.first("_row").alias("_row")).select("_row.*")

@@ -221,16 +221,27 @@ def remaining(sets, groups, parts, percent):
     return batches.map_arrow(rows, lambda parts: _block_links(parts, percent), "a bigint, b bigint")
 
 
-def similar_components(docs, nodes, edges, shingle, percent):
+def _confirmed_sets(docs, nodes, pairs, shingle, percent):
+    """The sets of all nodes of ``pairs`` and the links among the pairs, both written."""
+    inside = pairs.select(F.explode(F.array("hub", "other")).alias("node")).distinct().join(nodes, "node")
+    sets = written(shingle_sets(docs, written(inside, "candidate-nodes"), shingle), "candidate-sets")
+    return sets, written(confirmed(pairs, sets, percent), "confirmed-links")
+
+
+def similar_groups(docs, nodes, pairs, shingle, percent):
     """(a, b): each node with a similar one but the least of its component, and that least.
 
-    ``nodes`` (node, doc_id) are the sets of ``docs``, ``edges`` (list, hub, other) the stars of all lists of
-    candidates, written and distinct.
+    ``nodes`` (node, doc_id) are the sets of ``docs``. ``pairs`` (hub, other), written and distinct, connect
+    groups of candidates, all of whose pairs count as candidates.
     """
-    pairs = edges.select("hub", "other").distinct()
-    inside = pairs.select(F.explode(F.array("hub", "other")).alias("node")).distinct().join(nodes, "node")
-    sets = written(shingle_sets(docs, written(inside, "candidate-nodes"), shingle), "candidate-sets")
-    links = written(confirmed(pairs, sets, percent), "confirmed-links")
+    sets, links = _confirmed_sets(docs, nodes, pairs, shingle, percent)
+    groups = components(pairs.select(F.col("hub").alias("a"), F.col("other").alias("b")))
+    return components(links.unionAll(remaining(sets, groups, components(links), percent)))
+
+
+def similar_components(docs, nodes, edges, shingle, percent):
+    """As ``similar_groups`` for ``edges`` (list, hub, other): the stars of lists whose pairs are the candidates."""
+    sets, links = _confirmed_sets(docs, nodes, edges.select("hub", "other").distinct(), shingle, percent)
     parts = components(links)
     part_of = parts.select(F.col("a").alias("node"), F.col("b").alias("part"))
     large = edges.where("list IS NOT NULL")
@@ -239,5 +250,4 @@ def similar_components(docs, nodes, edges, shingle, percent):
         large = large.join(own, end, "left").withColumn(f"{end}_part", F.coalesce(f"{end}_part", end))
     lists = large.groupBy("list").agg(F.max(F.col("hub_part") != F.col("other_part")).alias("open")).where("open").select("list")
     groups = components(large.join(lists, "list", "left_semi").select(F.col("hub").alias("a"), F.col("other").alias("b")))
-    more = remaining(sets, groups, parts, percent)
-    return components(links.unionAll(more))
+    return components(links.unionAll(remaining(sets, groups, parts, percent)))

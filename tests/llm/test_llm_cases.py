@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from retail_lake.llm import (
-    bpe, byte_bpe, components, hnsw, mixing, pretokens, quality_classifier, quality_rules, sharding, simhash, suffix_dedup,
-    token_counts, token_files, vocabularies,
+    bpe, byte_bpe, components, hnsw, mixing, near_dedup, pretokens, quality_classifier, quality_rules, sharding, simhash, suffix_dedup,
+    token_counts, token_files, verified_links, vocabularies,
 )
 
 CLASHING = ["ord", "key", "size", "part", "fp", "bucket", "rank", "start", "kind", "shard", "finish", "copy", "row"]
@@ -150,8 +150,8 @@ def test_one_hash_over_the_limit_is_cut(spark):
 def test_simhash_cases(docs, none, monkeypatch):
     want = brute.simhash_rows(list(enumerate(TEXTS)))
     assert rows(simhash.near_duplicates(docs), "doc_id", "fingerprint", "component_id") == sorted(want, key=repr)
-    assert rows(simhash.near_duplicates(none)) == [] and rows(simhash.near_unique(none)) == []
-    kept = simhash.near_unique(docs)
+    assert rows(simhash.near_duplicates(none)) == [] and rows(near_dedup.near_unique(none)) == []
+    kept = near_dedup.near_unique(docs)
     assert kept.columns == docs.columns
     ids = sorted(r["doc_id"] for r in kept.collect())
     assert 5 in ids and 6 not in ids and 4 in ids and sum(i in ids for i in (0, 1, 2)) == 1
@@ -252,14 +252,58 @@ def test_distinct_documents_of_a_family_stay(spark, monkeypatch):
     sets = [shingle_set(t) for t in texts]
     want = sorted(set(brute.components(sets, lambda a, b: similarity(a, b) >= 0.8)))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
-    assert set(want) <= {d for (d,) in rows(simhash.near_unique(df), "doc_id")}
-    tables = np.zeros((1, 4), dtype=np.uint64)  # all are candidates of one another
-    for size in (simhash.BLOCK_BYTES, 60_000):
-        monkeypatch.setattr(simhash, "BLOCK_BYTES", size)
-        got = [d for (d,) in rows(simhash.near_unique(df, radius=70, tables=tables), "doc_id")]
+    assert set(want) <= {d for (d,) in rows(near_dedup.near_unique(df), "doc_id")}
+    masks = np.zeros((1, 2), dtype=np.uint64)  # all are candidates of one another
+    for size, hot, block in ((verified_links.BLOCK_BYTES, 4096, 2048), (60_000, 40, 17)):
+        monkeypatch.setattr(verified_links, "BLOCK_BYTES", size)
+        small_buckets(monkeypatch, hot, block)
+        got = [d for (d,) in rows(near_dedup.near_unique(df, radius=70, masks=masks), "doc_id")]
         assert sorted(got) == want, size
 
 
+def small_buckets(monkeypatch, hot, block):
+    """Let workers, too, take smaller buckets: they import the module anew."""
+    plain = near_dedup.bucket_edges
+
+    def run(parts, radius, pivots):
+        near_dedup.HOT_ROWS = hot
+        return plain(parts, radius, pivots)
+
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", block)
+    monkeypatch.setattr(near_dedup, "bucket_edges", run)
+
+
+@pytest.mark.parametrize("hot, block", [(4096, 2048), (50, 20), (20, 7)])
+def test_hot_buckets_connect_all_candidates(spark, monkeypatch, hot, block):
+    rng = np.random.default_rng(8)
+    centers = rng.integers(0, 2, (3, 128))
+    bits = np.concatenate([np.array([c ^ (rng.random(128) < p) for _ in range(60)]) for c, p in zip(centers, (0.05, 0.12, 0.2))])
+    halves = np.packbits(bits, axis=1).view(">u8").astype(np.uint64)
+    want = brute.components(list(halves), lambda a, b: simhash.hamming(a, b) <= 30)
+    assert 1 < len(set(want)) < len(want)
+    small_buckets(monkeypatch, hot, block)
+    data = [(i, *map(int, row)) for i, row in enumerate(halves.view(np.int64))]
+    nodes = spark.createDataFrame(data, "node bigint, hi bigint, lo bigint").repartition(3)
+    edges = near_dedup.candidate_edges(nodes, radius=30, masks=np.zeros((1, 2), dtype=np.uint64))
+    got = dict(rows(components.components(edges.selectExpr("hub as a", "other as b"))))
+    assert [got.get(i, i) for i in range(len(halves))] == want
+    assert edges.count() < 2 * len(halves)
+
+
+def test_pivots_discard_pairs():
+    """Pivots in the middle of a dense group tell its members from all others; random ones tell nothing."""
+    rng = np.random.default_rng(9)
+    center = rng.integers(0, 2, 128)
+    bits = np.concatenate([[center ^ (rng.random(128) < 0.08) for _ in range(200)], rng.integers(0, 2, (400, 128))])
+    prints = np.packbits(bits.astype(np.uint8), axis=1).view(">u8").astype(np.uint64)
+    pivots = prints[::2][near_dedup.dense_pivots(prints[::2])]
+    table = np.stack([simhash.hamming(prints, p) for p in pivots], axis=1)
+    left, right = np.triu_indices(len(prints), 1)
+    a, b, discarded = near_dedup.close(prints, table, left, right, near_dedup.RADIUS)
+    assert discarded > 0.3 * len(left)
+    assert len(a) == (simhash.hamming(prints[left], prints[right]) <= near_dedup.RADIUS).sum()
+
+
 @pytest.mark.parametrize("n, least, wanted", [(29, 0.80, 0.97), (20, 0.85, 0.99)])
 def test_near_copies_are_found(spark, n, least, wanted):
     rng, texts = random.Random(n), []
@@ -269,7 +313,7 @@ def test_near_copies_are_found(spark, n, least, wanted):
     sets = [shingle_set(t) for t in texts]
     assert all(least <= similarity(a, b) < least + 0.01 for a, b in zip(sets[::2], sets[1::2]))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
-    kept = {d for (d,) in rows(simhash.near_unique(df), "doc_id")}
+    kept = {d for (d,) in rows(near_dedup.near_unique(df), "doc_id")}
     assert kept >= set(range(0, 400, 2))
     assert 400 - len(kept) >= wanted * 200
 
@@ -277,7 +321,7 @@ def test_near_copies_are_found(spark, n, least, wanted):
 def test_repeated_ids_stay_apart(spark):
     data = [(1, prose(50, 1)), (1, prose(50, 2)), (1, prose(50, 2)), (None, prose(50, 3)), (2, prose(50, 3)), (None, None)]
     df = spark.createDataFrame(data, "doc_id bigint, text string").withColumn("size", F.lit(1))
-    kept = rows(simhash.near_unique(df), "doc_id", "text")
+    kept = rows(near_dedup.near_unique(df), "doc_id", "text")
     assert kept == sorted([(1, prose(50, 1)), (1, prose(50, 2)), (2, prose(50, 3)), (None, None)], key=repr)
     cut = suffix_dedup.deduplicated(df).collect()
     assert len(cut) == 6
