@@ -27,17 +27,106 @@ def int_guard(col):
                     F.when(number.isNull(), _text(col)).alias("text_value"))
 
 
+# Tokens of JSON: a string, a number, a word, a mark. Strings are matched without backtracking, whatever their length.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
+_JSON_TOKEN = rf"(?s){_STRING}|{_NUMBER}|true|false|null|[{{}}\[\]:,]"
+# The same, and what stands between strings and numbers as it is.
+_ANY_TOKEN = rf'(?s){_STRING}|{_NUMBER}|[^"0-9-]++|.'
+# Parts of canonical JSON.
+_PARTS = rf'(?s){_STRING}|[^"]++'
+
+
+def _is_string(token):
+    return token.startswith('"') & (F.length(token) > 1)
+
+
+def _is_number(token):
+    return F.rlike(token, F.lit("^-?[0-9]"))
+
+
+def _sorted_document(text):
+    """Canonical JSON by the variant parser, which sorts keys; null where it refuses the text.
+
+    The parser would round numbers, so they pass as strings, told from real ones by a first letter. In
+    brackets nothing may stand behind the document.
+    """
+    marked = F.array_join(F.transform(
+        F.regexp_extract_all(text, F.lit(_ANY_TOKEN), F.lit(0)),
+        lambda t: F.when(_is_string(t), F.concat(F.lit('"s'), F.substring(t, 2, 1 << 30)))
+        .when(_is_number(t), F.concat(F.lit('"n'), t, F.lit('"'))).otherwise(t)), "")
+    parsed = F.to_json(F.try_parse_json(F.concat(F.lit("["), marked, F.lit("]"))))
+    plain = F.array_join(F.transform(
+        F.regexp_extract_all(parsed, F.lit(_PARTS), F.lit(0)),
+        lambda t: F.when(t.startswith('"s'), F.concat(F.lit('"'), F.substring(t, 3, 1 << 30)))
+        .when(t.startswith('"n'), F.substr(t, F.lit(3), F.length(t) - 3))
+        .otherwise(t)), "")
+    # An array of one member, or the text was none or several documents.
+    return F.when(F.json_array_length(parsed) == 1, F.substr(plain, F.lit(2), F.length(plain) - 2))
+
+
+_FRAME = "struct<is_object:boolean,keys:array<string>,items:array<string>>"
+
+
+def _frame(is_object, keys, items):
+    return F.struct(is_object.alias("is_object"), keys.alias("keys"), items.alias("items")).cast(_FRAME)
+
+
+def _closed(frame):
+    """Canonical text of a frame: keys in order, of doubled ones the last."""
+    names, items = frame["keys"], frame["items"]
+    pairs = F.transform(F.array_sort(F.array_distinct(names)), lambda k: F.concat(
+        k, F.lit(":"), F.element_at(F.filter(items, lambda _, i: F.get(names, i) == k), -1)))
+    return F.when(frame["is_object"], F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))).otherwise(
+        F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")))
+
+
+def _folded_document(text):
+    """Canonical JSON by a fold over the tokens with a stack of open objects and arrays: for doubled keys."""
+    none = F.array().cast("array<string>")
+    tokens = F.transform(F.regexp_extract_all(text, F.lit(_JSON_TOKEN), F.lit(0)),
+                         lambda t: F.when(_is_string(t), F.to_json(F.try_parse_json(t))).otherwise(t))
+    start = F.array(_frame(F.lit(False), none, none)).cast(f"array<{_FRAME}>")
+
+    def step(stack, t):
+        top, below = F.element_at(stack, -1), F.slice(stack, 1, F.size(stack) - 1)
+        closed, parent = _closed(top), F.get(stack, F.size(stack) - 2)
+        lower = F.slice(stack, 1, F.greatest(F.size(stack) - 2, F.lit(0)))
+
+        def on(frames, frame):
+            return F.concat(frames, F.array(frame).cast(f"array<{_FRAME}>"))
+
+        named = _frame(top["is_object"], F.concat(top["keys"], F.array(F.element_at(top["items"], -1))),
+                       F.slice(top["items"], 1, F.size(top["items"]) - 1))
+        return (F.when(t.isin("{", "["), on(stack, _frame(t == "{", none, none)))
+                .when(t.isin("}", "]"), on(lower, _frame(parent["is_object"], parent["keys"], F.concat(parent["items"], F.array(closed)))))
+                .when(t == ":", on(below, named)).when(t == ",", stack)
+                .otherwise(on(below, _frame(top["is_object"], top["keys"], F.concat(top["items"], F.array(t))))))
+
+    folded = F.aggregate(tokens, start, lambda stack, t: step(stack, t).cast(f"array<{_FRAME}>"))
+    # Only texts that are JSON, and one document, are folded.
+    whole = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    return F.when(whole & F.rlike(F.regexp_replace(text, _JSON_TOKEN, ""), F.lit(r"\A\s*\z")), folded[0]["items"][0])
+
+
 def canonical_json(doc):
-    """A JSON document with its keys sorted and types kept at every level; null where it is no JSON.
+    """A JSON document with its keys sorted at every level; null where the text is not one JSON document.
 
-    Two texts have one canonical form if, and only if, they are the same document whatever the order of
-    keys and the white space: ``1`` and ``"1"`` differ, ``{"a":{"x":1,"y":2}}`` and its swapped form do not.
+    Any JSON value has a form: objects, arrays, text, numbers, ``true`` and ``null``. Numbers stay as written,
+    so ``1``, ``1.0`` and ``"1"`` are three documents and integers of any length are told apart; order of keys,
+    white space and escapes make no difference; of doubled keys the last one counts.
     """
-    return F.to_json(F.try_parse_json(_text(doc)))
+    text = _text(doc)
+    return F.coalesce(_sorted_document(text), _folded_document(text))
+
 
+def identity(doc):
+    """What two documents have in common if, and only if, they are the same: never null.
 
-# A token of canonical JSON: a string, a number, or what stands between.
-_JSON_TOKEN = r'"(?:[^"\\]|\\.)*"|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|[^"0-9-]+'
+    The canonical form of JSON, else the text as it is; a first letter tells the two apart.
+    """
+    text = _text(doc)
+    return F.coalesce(F.concat(F.lit("j"), canonical_json(text)), F.concat(F.lit("t"), text), F.lit("n"))
 
 
 def guard_document(doc):
@@ -45,7 +134,7 @@ def guard_document(doc):
 
     The result is the canonical form of the document; null where it is no JSON.
     """
-    tokens = F.regexp_extract_all(canonical_json(doc), F.lit(_JSON_TOKEN), F.lit(0))
+    tokens = F.regexp_extract_all(canonical_json(doc), F.lit(_ANY_TOKEN), F.lit(0))
     return F.array_join(F.transform(tokens, lambda t: F.when(
         F.rlike(t, F.lit("^-?[0-9]+$")) & t.try_cast("bigint").isNull(), F.concat(F.lit('"'), t, F.lit('"'))).otherwise(t)), "")
 

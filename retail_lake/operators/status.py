@@ -18,11 +18,13 @@ def with_digest(events, fields, source="source_file"):
 def new_events(events, ledger, seq=None):
     """JN1/ST2: events whose digest the ledger does not hold for their file, each once.
 
-    Events and global rows of a file share the ledger; ``seq`` says which copy of a digest is kept.
+    A missing file or digest counts as a value of its own. Events and global rows of a file share the ledger; ``seq`` says which copy of a digest is kept.
     """
     keys = ["source_file", "digest"]
     once = events.dropDuplicates(keys) if seq is None else first_per_key(events, keys, seq)
-    return once.join(ledger.select(*keys), keys, "left_anti").select(*events.columns)
+    held = ledger.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = F.col(keys[0]).eqNullSafe(F.col(f"_{keys[0]}")) & F.col(keys[1]).eqNullSafe(F.col(f"_{keys[1]}"))
+    return once.join(held, same, "left_anti").select(*events.columns)
 
 
 def by_task(events, global_events, order, fields, task="task_id", size=LIST_ROWS, bits=TIME_BITS):

@@ -6,6 +6,8 @@ evaluates it in the scan stage, and the same text opens the check SQL.
 
 import os
 
+from pyspark.sql import functions as F
+
 _CHAIN20 = "'chain' || CAST({k} % 20 AS STRING)"
 _ORDER_CHAIN = _CHAIN20.format(k="o_orderkey")
 _STARTS = "(o_orderkey < 20 OR o_custkey % 7 = 0)"
@@ -90,3 +92,33 @@ def with_views(names, body):
     """Check SQL over the named views."""
     heads = ", ".join(f"{n} AS ({view_sql(n)})" for n in names)
     return f"WITH RECURSIVE {heads} {body}"
+
+
+def log_lines(events, log, order, is_global, event):
+    """(log, part, at, value): the lines of status logs, one event a line; in this order they are the files.
+
+    ``order`` is unique in a log. No list of events is gathered: a comma stands before every event but the first.
+    """
+    body = events.select(log.alias("log"), is_global.cast("int").alias("part"), order.cast("bigint").alias("at"),
+                         F.to_json(event).alias("text"))
+    first = body.groupBy("log", "part").agg(F.min("at").alias("at")).withColumn("first", F.lit(True))
+    body = body.join(first, ["log", "part", "at"], "left").select(
+        "log", "part", "at", F.when(F.col("first"), F.col("text")).otherwise(F.concat(F.lit(","), F.col("text"))).alias("value"))
+    marks = [(0, '{"events":['), (1, '],"global_status":['), (2, "]}")]
+    frame = F.explode(F.array(*[F.struct(F.lit(n).alias("part"), F.lit(-1).cast("bigint").alias("at"), F.lit(v).alias("value"))
+                                for n, v in marks])).alias("m")
+    return body.unionByName(body.select("log").distinct().select("log", frame).select("log", "m.*"))
+
+
+def give_names(spark, source, target, suffix):
+    """Move the one file of every folder ``dir=NAME`` of ``source`` to ``target/NAME.suffix``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(target))
+    for folder in system.listStatus(path(source)):
+        name = folder.getPath().getName()
+        if name.startswith("dir="):
+            parts = [f.getPath() for f in system.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+            if len(parts) != 1:
+                raise ValueError(f"{len(parts)} files in {name}")
+            system.rename(parts[0], path(f"{target}/{name.removeprefix('dir=')}.{suffix}"))

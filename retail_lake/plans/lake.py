@@ -16,7 +16,7 @@ from retail_lake.schemas import (
     STATUS_TABLES, STORED_MARKER, STORED_ROW,
 )
 from retail_lake.sinks import snapshot, store
-from retail_lake.sources import files, tables
+from retail_lake.sources import files, status_logs, tables
 
 TABLE = ["table_name", "file_type", "chain"]
 LEDGER = "source_file string, digest string, kind string, batch_id bigint"
@@ -84,7 +84,7 @@ class Lake:
         return held.join(latest, ["table_name", "batch_id"]).select(*held.columns)
 
     def broken_logs(self):
-        """SRC4: status files of the last load that are no JSON: name and text."""
+        """SRC4: status files of the last load that are no status log: name and beginning."""
         return self._stored("broken_logs", BROKEN).where(F.col("batch_id") == self.last_batch())
 
     def registry(self):
@@ -207,9 +207,9 @@ class Lake:
         return known.where(F.col("kind") == kind).select("source_file", "digest")
 
     def _load_status(self, folder, table, global_table, kind, batch):
-        logs = files.read_status_logs(self.spark, folder)
+        logs, broken = status_logs.read_logs(self.spark, folder, f"{self._path('_scratch')}/logs-{batch}-{kind}")
         # Logs grow, so a broken one is set aside by every load until it can be read.
-        (files.malformed_logs(self.spark, folder).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (broken.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .parquet(f"{self._path('broken_logs')}/batch_id={batch}/kind={kind}"))
         event = F.from_json("payload", "map<string,string>")
         # Older events name chain and type in a composite index only.
@@ -219,7 +219,7 @@ class Lake:
             F.coalesce(event["requested_store_enum"], event["chain"], event["scraper"], index["chain"]).alias("chain"),
             F.coalesce(event["requested_file_type"], event["file_type"], F.nullif(index["file_type"], F.lit("")))
             .alias("file_type"),
-            F.sha2(F.concat("source_file", F.lit("\u0001"), values.canonical_json("payload")), 256).alias("digest"))
+            F.sha2(F.concat("source_file", F.lit("\u0001"), values.identity("payload")), 256).alias("digest"))
         fresh = status.new_events(events, self.ledger(kind), "seq")
         for part, target in (("events", table), ("global_status", global_table)):
             docs = fresh.where(F.col("part") == part).select(

@@ -153,12 +153,25 @@ def topic_flush(spark, sf_dir):
 
 @query("topic_clean", with_views(["fx_events"], (
     "SELECT CAST(event_id AS STRING) AS id, status FROM fx_events UNION ALL "
-    "SELECT 'broken ' || CAST(event_id AS STRING), NULL FROM fx_events WHERE status = 'error'")))
+    "SELECT 'broken ' || CAST(event_id AS STRING), NULL FROM fx_events WHERE status = 'error' UNION ALL "
+    "SELECT CAST(event_id AS STRING) || n, 'long' FROM fx_events, (VALUES ('1234567890123456789012345678901234567890'), "
+    "('1234567890123456789012345678901234567891'), ('.0'), ('.00')) v(n) WHERE status = 'signup'")))
 def topic_clean(spark, sf_dir):
-    """SRC7, F3, S5, ST5, X12: control messages dropped, each document once, raw text passed on."""
-    clean = topic_source.clean_topic(topic_rows(spark, sf_dir))
+    """SRC7, F3, S5, ST5, X12: control messages dropped, each document once, raw text passed on.
+
+    Signups also send long integers and decimals that differ only as written, once plain and once with white
+    space and a doubled key.
+    """
+    signups = view(spark, sf_dir, "fx_events").where("status = 'signup'")
+    ends = ["1234567890123456789012345678901234567890", "1234567890123456789012345678901234567891", ".0", ".00"]
+    numbers = F.array(*[F.concat(F.col("event_id").cast("string"), F.lit(end)) for end in ends])
+    exact = signups.select(F.lit("ScraperStatus").alias("topic"), F.col("source_file").alias("key"), F.explode(numbers).alias("n"))
+    exact = exact.select("topic", "key", F.explode(F.array(
+        F.concat(F.lit('{"status":"long","event_id":'), "n", F.lit("}")),
+        F.concat(F.lit('{ "event_id": 0, "event_id": '), "n", F.lit(', "status": "long" }')))).alias("value"))
+    clean = topic_source.clean_topic(topic_rows(spark, sf_dir).unionByName(exact))
     return clean.select(
-        F.coalesce(F.get_json_object("canonical", "$.event_id"), F.col("value")).alias("id"),
+        F.coalesce(F.regexp_extract("canonical", '"event_id":([0-9.]+)', 1), F.col("value")).alias("id"),
         F.get_json_object("canonical", "$.status").alias("status"))
 
 

@@ -5,18 +5,18 @@ from pyspark.sql import functions as F
 from retail_lake.functions.names import matches_file, snapshot_message
 from retail_lake.operators import access, catalog, filters, versions
 from retail_lake.operators.status import with_digest
-from retail_lake.plans.fixtures import VIEWS, table, view, with_views
+from retail_lake.plans.fixtures import VIEWS, give_names, log_lines, table, view, with_views
 from retail_lake.plans.ingest_queries import _MARKERS, _RUNS, MARK
 from retail_lake.plans.registry import query
 from retail_lake.plans.status_queries import FIELDS, copied as copied_events, topic_rows
 from retail_lake.session import shared_dir
 from retail_lake.sinks import snapshot, store
 from retail_lake.sources import files, tables
+from retail_lake.sources.status_logs import read_logs
 from retail_lake.streaming import events as event_stream
 from retail_lake.streaming import markers as marker_stream
 
 SLICE = 5000
-LOG_EVENTS = 1000
 
 
 @query("csv_rows", with_views(["fx_rows"], (
@@ -55,20 +55,15 @@ def xml_rows(spark, sf_dir):
     "SELECT CAST(event_id AS STRING) AS event_id, CASE WHEN status = 'error' THEN 'global_status' ELSE 'events' END AS part, "
     "status, task_id FROM fx_events")))
 def status_logs(spark, sf_dir):
-    """SRC4, X12: status logs, one JSON object with two arrays per file, as one row per event.
-
-    A log holds at most a thousand events, as a run writes them.
-    """
-    events = view(spark, sf_dir, "fx_events").select(
-        F.floor(F.col("event_id") / LOG_EVENTS).alias("log"), F.struct("event_id", "status", "task_id").alias("e"))
-    is_global = F.col("e.status") == "error"
-    logs = events.groupBy("log").agg(
-        F.collect_list(F.when(~is_global, F.col("e"))).alias("events"),
-        F.collect_list(F.when(is_global, F.col("e"))).alias("global_status"))
-    folder = shared_dir(spark, "logs")
-    logs.repartition("log").write.partitionBy("log").json(folder)
+    """SRC4, X12: one status log that holds all events, read in blocks as one row per event."""
+    events, folder = view(spark, sf_dir, "fx_events"), shared_dir(spark, "logs")
+    lines = log_lines(events, F.lit("all"), F.col("event_id"), F.col("status") == "error", F.struct("event_id", "status", "task_id"))
+    (lines.withColumnRenamed("log", "dir").repartition("dir").sortWithinPartitions("dir", "part", "at")
+     .select("dir", "value").write.partitionBy("dir").text(f"{folder}/parts"))
+    give_names(spark, f"{folder}/parts", f"{folder}/files", "json")
+    rows, _ = read_logs(spark, f"{folder}/files")
     event = F.from_json("payload", "map<string,string>")
-    return files.read_status_logs(spark, folder).select(
+    return rows.select(
         event["event_id"].alias("event_id"), "part", event["status"].alias("status"), event["task_id"].alias("task_id"))
 
 

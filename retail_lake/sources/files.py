@@ -1,4 +1,4 @@
-"""Landing files: CSV with row positions, JSON status logs, XML dumps, dataset listings (SRC1-SRC5, SRC8, SRC9)."""
+"""Landing files: CSV with row positions, status documents, XML dumps, dataset listings (SRC1-SRC5, SRC8, SRC9)."""
 
 import functools
 
@@ -101,32 +101,6 @@ def count_csv_rows(spark, paths, columns):
     return functools.reduce(lambda a, b: a.unionByName(b), counts)
 
 
-def read_status_logs(spark, folder):
-    """SRC4: every status JSON of a folder as one row per event: (source_file, part, seq, payload).
-
-    A file is one JSON object with the arrays ``events`` and ``global_status``; the payload keeps
-    the text of the event, whatever its shape. ``seq`` orders events before global rows. A file that is
-    no JSON gives no event; see ``malformed_logs``.
-    """
-    docs = (spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
-            .select(base_name(F.col("_metadata.file_path")).alias("source_file"),
-                    F.from_json("value", "events array<string>, global_status array<string>").alias("doc")))
-    parts = F.array(
-        F.struct(F.lit("events").alias("part"), F.lit(0).cast("bigint").alias("base"), F.col("doc.events").alias("items")),
-        F.struct(F.lit("global_status").alias("part"), F.lit(1 << 32).alias("base"),
-                 F.col("doc.global_status").alias("items")))
-    return (docs.select("source_file", F.explode(parts).alias("p"))
-            .select("source_file", "p.part", "p.base", F.posexplode("p.items").alias("at", "payload"))
-            .select("source_file", "part", (F.col("base") + F.col("at")).alias("seq"), "payload"))
-
-
-def malformed_logs(spark, folder):
-    """SRC4: name and text of the status files that are no JSON, and so hold events that cannot be read."""
-    return (spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
-            .select(base_name(F.col("_metadata.file_path")).alias("source_file"), "value")
-            .where(F.try_parse_json("value").isNull()))
-
-
 def read_status_documents(spark, folder, schema):
     """SRC4 for documents of a known shape, one JSON document per file."""
     return (spark.read.schema(schema).option("multiLine", True)

@@ -71,6 +71,8 @@ def landing(folder):
     (folder / "scraper" / "alpha.json").write_text(json.dumps({"events": [
         event, event | {"v": "1"}, dict(reversed(event.items()))], "global_status": []}))
     (folder / "scraper" / "beta.json").write_text('{"events": [{"index": ')
+    (folder / "scraper" / "gamma.json").write_text('{"events": ["one", "two", {"v": 1.0}, {"v": 1}, {"v": 2, "v": 1}], "note": {"events": []}}')
+    (folder / "scraper" / "delta.json").write_text("[1,2]")
     return [str(folder / n) for n in ("outputs", "scraper", "parser")]
 
 
@@ -82,8 +84,8 @@ def test_two_loads_of_awkward_files(spark, tmp_path):
         got = sorted((r.row_index, r.content["name"]) for r in lake.rows().collect())
         assert got == [(0, 'two\nlines, "quoted"'), (1, "plain"), (2, 'a "b" c')]
         assert sorted((r.chain, r.row_index) for r in lake.quarantined().collect()) == [("BETA", 0), ("BETA", 1)]
-        assert lake.status("ScraperStatus").count() == 2
-        assert tuples(lake.broken_logs().select("source_file", "kind")) == [("beta.json", "scraper")]
+        assert sorted(r.source_file for r in lake.status("ScraperStatus").collect()) == ["alpha.json"] * 2 + ["gamma.json"] * 4
+        assert tuples(lake.broken_logs().select("source_file", "kind")) == [("beta.json", "scraper"), ("delta.json", "scraper")]
     assert tuples(lake.reconcile(folders[0]).select("table_name", "source_rows", "stored_rows", "matches")) == [
         ("price_file_alpha", 3, 3, True), ("price_file_beta", 2, 0, False)]
 

@@ -1,6 +1,9 @@
 import datetime as dt
+import json
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from retail_lake.functions import names, values
@@ -101,12 +104,35 @@ def test_guard_document_keeps_big_integers(spark):
 @pytest.mark.parametrize("left,right,same", [
     ('{"a":{"x":1,"y":2}}', '{ "a": {"y":2, "x":1} }', True), ('{"a":1}', '{"a":"1"}', False), ("[1]", "[ 1 ]", True),
     ('{"a":[1,2]}', '{"a":[2,1]}', False), ('{"a":true}', '{"a":"true"}', False), ('{"a":null}', "{}", False),
+    ('{"a":1.0}', '{"a":1}', False), ("1" * 45, "1" * 44 + "2", False), ('"x"', ' "x" ', True), ('"1"', "1", False), ('"n1"', "1", False),
+    ('{"a":1,"a":2}', '{"a":2}', True), ('[{"b":{"y":1,"x":2,"y":3},"a":"}"}]', '[{"a":"}","b":{"x":2,"y":3}}]', True),
+    ('{"a":1,"b":[{},[],""],"a":1e5}', '{"b":[{}, [],"" ],"a":1e5}', True), ('{"a":1,"a":2}', '{"a":1}', False),
+    ('"\\u0041"', '"A"', True), ("null", "null ", True), ('{"a":"' + "x" * 50_000 + '"}', '{"a" :"' + "x" * 50_000 + '"}', True),
 ])
 def test_canonical_json_is_typed_at_every_level(spark, left, right, same):
     row = one(spark, a=values.canonical_json(F.lit(left)), b=values.canonical_json(F.lit(right)))
     assert row.a is not None and (row.a == row.b) == same
 
 
+@pytest.mark.parametrize("text", ["", "no json", "1 2", "1,2", '{"a":1} x', '{"a":1', "01", "{'a':1}", '{"a":1,}', '"open', "-", None])
+def test_what_is_no_document_has_no_form_but_an_identity(spark, text):
+    col = F.lit(text).cast("string")
+    row = one(spark, c=values.canonical_json(col), i=values.identity(col))
+    assert row.c is None and row.i == ("n" if text is None else "t" + text)
+
+
+@given(st.recursive(st.none() | st.booleans() | st.integers(-10**30, 10**30) | st.text(alphabet='a"\\{}[]:,n s1é', max_size=6),
+                    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.text(alphabet='ab"', max_size=2), inner, max_size=3),
+                    max_leaves=12))
+@settings(max_examples=15, deadline=None)
+def test_canonical_json_is_the_document_with_sorted_keys(spark, doc):
+    """Both ways, the parser's and the fold's, against a JSON library."""
+    text = json.dumps(doc, indent=1, ensure_ascii=False)
+    row = one(spark, a=values.canonical_json(F.lit(text)), b=values._folded_document(F.lit(text)))
+    want = json.dumps(doc, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    assert json.loads(row.a) == doc and row.a == row.b and len(row.a) == len(want)
+
+
 def test_coercions(spark):
     row = one(spark, a=values.coerce_store(F.lit(7)), b=values.coerce_limit(F.lit("")),
               c=values.coerce_limit(F.lit("5")), d=values.coerce_links(F.lit("")),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from retail_lake.operators import access, filters, status, versions
 from retail_lake.sinks import store, topic as topic_sink
-from retail_lake.sources import files, tables, topic
+from retail_lake.sources import files, status_logs, tables, topic
 
 
 def write(path, text):
@@ -79,7 +79,7 @@ def test_status_logs(spark, tmp_path):
     doc = {"events": [{"task_id": "t", "n": 2 ** 63}, {"task_id": "u"}], "global_status": [{"task_id": "t", "status": "started"}]}
     write(tmp_path / "alpha.json", json.dumps(doc, indent=2))
     write(tmp_path / "alpha.txt", "no")
-    rows = files.read_status_logs(spark, str(tmp_path)).orderBy("seq").collect()
+    rows = status_logs.read_logs(spark, str(tmp_path))[0].orderBy("seq").collect()
     assert [(r.source_file, r.part) for r in rows] == [
         ("alpha.json", "events"), ("alpha.json", "events"), ("alpha.json", "global_status")]
     assert json.loads(rows[0].payload) == {"task_id": "t", "n": 2 ** 63}
