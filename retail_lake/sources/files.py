@@ -6,12 +6,9 @@ from pyspark.sql import functions as F
 
 from retail_lake.functions.names import base_name, file_glob, table_of_path
 from retail_lake.operators.scan import running
-from retail_lake.operators.sizing import broadcast_if_small
 from retail_lake.schemas import MISSING_CELLS
 from retail_lake.session import shared_dir
-
-# Blocks of a file are scanned in groups of 128 GB.
-BLOCK_BITS = (37,)
+from retail_lake.sources.blocks import place
 
 
 def _listed(spark, folder, glob, recursive=False):
@@ -47,58 +44,87 @@ def _broken_lines(spark, paths):
     return {r.path for r in lines.where(odd % 2 == 1).select("path").distinct().toLocalIterator()}
 
 
-def read_csv_rows(spark, paths, columns, multi_line=None, folder=None):
+def _records(spark, paths, folder):
+    """_path, record, text of the records of CSV files whose cells may hold line breaks; no file is one task.
+
+    Lines are read in blocks. Whether a line begins inside quotes is told by the parity of all quotes before it
+    in its file; the lines from one that begins outside to the next such line are a record. Blank lines
+    between records are none. A file with a quote that is never closed is one record from there on.
+    """
+    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"))
+    lines = place(lines, f"{folder}/lines")
+    quotes = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).cast("bigint")
+    marked = running(lines.select("_path", "pos", quotes.alias("quotes"), F.trim(F.translate("value", "\r\t", "")).alias("shown")),
+                     ["_path"], "pos", {"before": ("sum", F.col("quotes"), False)})
+    begins = (F.col("before") % 2 == 0) & ((F.col("shown") != "") | (F.col("quotes") > 0))
+    marked = marked.select("_path", "pos", begins.cast("bigint").alias("begins"), (F.col("before") % 2 == 0).alias("outside"))
+    marked.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/marked")
+    marked = running(spark.read.parquet(f"{folder}/marked"), ["_path"], "pos", {"record": ("sum", F.col("begins"), True)})
+    marked = marked.where("NOT outside OR begins = 1")
+    return marked.join(lines, ["_path", "pos"]).groupBy("_path", "record").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("lines")).select(
+        "_path", "record", F.regexp_replace(F.array_join(F.col("lines")["value"], "\n"), r"\r\z", "").alias("text"))
+
+
+def _broken_rows(spark, paths, columns, folder):
+    """The rows of ``read_csv_rows`` for files with a line break inside quotes; the first record is the header."""
+    schema = ", ".join(f"`{c}` STRING" for c in columns)
+    rows = _records(spark, paths, folder).where("record > 1").select(
+        base_name("_path").alias("source_file"), table_of_path("_path").alias("table_name"),
+        (F.col("record") - 2).alias("row_index"), F.from_csv("text", schema, {"escape": '"'}).alias("_row"))
+    cell = F.col("_row")
+    return rows.select("source_file", "table_name", "row_index",
+                       *[F.when(~cell[c].isin(*MISSING_CELLS), cell[c]).alias(c) for c in columns])
+
+
+def read_csv_rows(spark, paths, columns, folder=None):
     """SRC1: CSV rows as text with (source_file, table_name, row_index).
 
-    ``row_index`` is the position of the row in its file, header excluded. A file is read in blocks
-    by many tasks; ids rise within a block, so the position is the id relative to the first one of
-    the block plus the rows of all earlier blocks. The rows are written to ``folder`` (by default a
-    new shared one) with block and id, in the one pass that reads CSV; block offsets come from what
-    was written, so they hold however the files were split, and no row is shuffled to be numbered.
-    ``multi_line`` allows line breaks inside quotes, at the price of one task per file; by default only
-    the files that have such a break are read that way. A quote in a cell is doubled; cells such as
-    ``NULL`` or ``NaN`` are missing.
+    ``row_index`` is the position of the row in its file, header excluded. Every file is read in blocks by
+    many tasks; ids rise within a block, so the position is the id relative to the first one of the block
+    plus the rows of all earlier blocks. The rows are written to ``folder`` (by default a new shared one) with
+    block and id, in the one pass that reads CSV; block offsets come from what was written, so they hold
+    however the files were split, and no row is shuffled to be numbered. Files with a line break inside quotes
+    are cut into records first (``_records``). A quote in a cell is doubled; cells such as ``NULL`` or ``NaN``
+    are missing.
     """
     folder = folder or shared_dir(spark, "landing")
-    if multi_line is None:
-        listed = [paths] if isinstance(paths, str) else list(paths)
-        broken = _broken_lines(spark, listed)
-        if broken:
-            every = {r.path for r in spark.read.format("binaryFile").load(listed).select("path").toLocalIterator()}
-            parts = [(sorted(every - broken), False, "whole"), (sorted(every & broken), True, "broken")]
-            frames = [read_csv_rows(spark, own, columns, multi, f"{folder}/{name}") for own, multi, name in parts if own]
-            return functools.reduce(lambda a, b: a.unionByName(b), frames)
-        multi_line = False
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    broken = _broken_lines(spark, listed)
+    if broken:
+        every = {r.path for r in spark.read.format("binaryFile").load(listed).select("path").toLocalIterator()}
+        rows = _broken_rows(spark, sorted(every & broken), columns, f"{folder}/broken")
+        whole = sorted(every - broken)
+        return rows.unionByName(_block_rows(spark, whole, columns, f"{folder}/whole")) if whole else rows
+    return _block_rows(spark, paths, columns, folder)
+
+
+def _block_rows(spark, paths, columns, folder):
     schema = ", ".join(f"`{c}` STRING" for c in columns)
     cells = [F.when(~F.col(f"`{c}`").isin(*MISSING_CELLS), F.col(f"`{c}`")).alias(c) for c in columns]
-    (spark.read.schema(schema).options(header=True, escape='"', multiLine=multi_line).csv(paths)
-     .select(*cells, F.col("_metadata.file_path").alias("_path"),
-             F.col("_metadata.file_block_start").alias("_block"),
-             F.monotonically_increasing_id().alias("_id"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/rows"))
-    landed = spark.read.parquet(f"{folder}/rows")
-    blocks = landed.groupBy("_path", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    (running(blocks, ["_path"], "_block", {"_before": ("sum", F.col("_n"), False)}, BLOCK_BITS)
-     .select("_path", "_block", "_first", "_before", base_name("_path").alias("source_file"),
-             table_of_path("_path").alias("table_name"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/blocks"))
-    offsets = spark.read.parquet(f"{folder}/blocks")
-    placed = landed.join(broadcast_if_small(offsets), ["_path", "_block"])
-    return placed.select(
-        "source_file", "table_name", (F.col("_id") - F.col("_first") + F.col("_before")).alias("row_index"),
-        *[landed[f"`{c}`"] for c in columns])
+    rows = spark.read.schema(schema).options(header=True, escape='"').csv(paths).select(
+        *cells, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"))
+    placed = place(rows, folder)
+    return placed.select(base_name("_path").alias("source_file"), table_of_path("_path").alias("table_name"),
+                         F.col("pos").alias("row_index"), *[placed[f"`{c}`"] for c in columns])
 
 
 def count_csv_rows(spark, paths, columns):
-    """JN7: (table_name, source_rows) of CSV files; no cell is kept and nothing is written."""
+    """JN7: (table_name, source_rows) of CSV files; no cell is kept."""
     broken = _broken_lines(spark, paths)
     schema = ", ".join(f"`{c}` STRING" for c in columns)
     every = {r.path for r in spark.read.format("binaryFile").load(list(paths)).select("path").toLocalIterator()}
-    counts = [spark.read.schema(schema).options(header=True, escape='"', multiLine=multi).csv(sorted(own))
-              .groupBy(table_of_path(F.col("_metadata.file_path")).alias("table_name"))
-              .agg(F.count(F.lit(1)).alias("source_rows"))
-              for own, multi in ((every - broken, False), (every & broken, True)) if own]
-    return functools.reduce(lambda a, b: a.unionByName(b), counts)
+    counts = []
+    if every - broken:
+        counts.append(spark.read.schema(schema).options(header=True, escape='"').csv(sorted(every - broken))
+                      .select(F.col("_metadata.file_path").alias("_path")))
+    if every & broken:
+        counts.append(_records(spark, sorted(every & broken), shared_dir(spark, "counted")).where("record > 1").select("_path"))
+    rows = functools.reduce(lambda a, b: a.unionByName(b), counts)
+    return rows.groupBy(table_of_path("_path").alias("table_name")).agg(F.count(F.lit(1)).alias("source_rows"))
 
 
 def read_status_documents(spark, folder, schema):

@@ -1,5 +1,7 @@
+import csv
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,10 +60,33 @@ def test_landing_groups_by_header(spark, tmp_path):
 
 def test_quoted_line_breaks(spark, tmp_path):
     write(tmp_path / "a.csv", 'x,y\n"one\ntwo",2\n3,4\n')
-    rows = files.read_csv_rows(spark, [str(tmp_path / "a.csv")], ["x", "y"], multi_line=True)
+    rows = files.read_csv_rows(spark, [str(tmp_path / "a.csv")], ["x", "y"])
     assert [(r.row_index, r.x) for r in rows.orderBy("row_index").collect()] == [(0, "one\ntwo"), (1, "3")]
 
 
+def test_a_file_with_quoted_breaks_is_read_in_blocks(spark, tmp_path):
+    """Breaks, doubled quotes, blank lines and blocks that begin inside quotes, against a CSV library."""
+    rng = random.Random(2)
+    rows = [[str(i), "".join(rng.choice(["a", '"', "\n", ",", "\n\n", "é", " "]) for _ in range(rng.randint(0, 9))) or "x"] for i in range(400)]
+    with open(tmp_path / "price_file_a.csv", "w", newline="") as out:
+        writer = csv.writer(out, lineterminator="\n")
+        writer.writerows([["x", "y"], *rows])
+        out.write("\n\n")
+    write(tmp_path / "price_file_b.csv", "x,y\n1,2\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        paths = [str(tmp_path / f"price_file_{n}.csv") for n in "ab"]
+        got = files.read_csv_rows(spark, paths, ["x", "y"]).orderBy("table_name", "row_index").collect()
+        counts = {r.table_name: r.source_rows for r in files.count_csv_rows(spark, paths, ["x", "y"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [(r.table_name, r.row_index, r.x) for r in got] == [("price_file_a", i, str(i)) for i in range(400)] + [("price_file_b", 0, "1")]
+    assert [r.y.strip(" ") for r in got[:400]] == [y.strip(" ") for _, y in rows]
+    assert counts == {"price_file_a": 400, "price_file_b": 1}
+
+
 def test_quotes_and_missing_cells(spark, tmp_path):
     write(tmp_path / "a.csv", 'x,y\n"say ""hi"", then",NULL\n"",NaN\n\nnull and void,n/a\n')
     rows = files.read_csv_rows(spark, [str(tmp_path / "a.csv")], ["x", "y"]).orderBy("row_index").collect()
