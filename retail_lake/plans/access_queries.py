@@ -169,12 +169,12 @@ def name_parts(spark, sf_dir):
 
 
 @query("index_codec", with_views(["fx_docs"], (
-    "SELECT doc_id, file_type || '@' || chain || '@' || strftime(ts, '%Y-%m-%d %H:%M:%S') AS idx, "
+    "SELECT doc_id, file_type || '@' || chain || coalesce('@' || strftime(ts, '%Y-%m-%d %H:%M:%S'), '') AS idx, "
     "file_type, chain, strftime(ts, '%Y-%m-%d %H:%M:%S') AS when_date, "
-    "lower(file_type) || '_' || lower(chain) AS table_name FROM fx_docs WHERE ts IS NOT NULL")))
+    "lower(file_type) || '_' || lower(chain) AS table_name FROM fx_docs")))
 def index_codec(spark, sf_dir):
-    """Composite index written and read back; the table name of a document."""
-    docs = view(spark, sf_dir, "fx_docs").where(F.col("ts").isNotNull())
+    """Composite index written and read back, without its last part where a document has no time."""
+    docs = view(spark, sf_dir, "fx_docs")
     encoded = docs.select("doc_id", names.encode_index("file_type", "chain", values.format_ts("ts")).alias("idx"))
     decoded = encoded.withColumn("p", names.decode_index("idx", ["file_type", "chain", "when_date"]))
     return (decoded.select("doc_id", "idx", "p.*")

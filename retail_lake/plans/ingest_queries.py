@@ -151,19 +151,20 @@ def progress(spark, sf_dir):
     return ingest.merge_progress(old, ingest.progress_of(rows))
 
 
+_BUCKET = "CAST(floor(CAST(value AS DOUBLE)) AS BIGINT)"
+
+
 @query("insert_ignore", with_views(["fx_events"], (
-    "SELECT task_id, status, min(event_id) AS event_id FROM fx_events n "
-    f"WHERE ts >= TIMESTAMP '{CUT}' AND NOT EXISTS (SELECT 1 FROM fx_events e "
-    f"WHERE e.ts < TIMESTAMP '{CUT}' AND e.task_id = n.task_id AND e.status = n.status "
-    "AND CAST(e.value AS DOUBLE) < 5) GROUP BY task_id, status")))
+    f", keyed AS (SELECT *, {_BUCKET} AS bucket FROM fx_events) SELECT task_id, bucket, min(event_id) AS event_id FROM keyed n "
+    f"WHERE ts >= TIMESTAMP '{CUT}' AND NOT EXISTS (SELECT 1 FROM keyed e WHERE e.ts < TIMESTAMP '{CUT}' "
+    "AND e.task_id IS NOT DISTINCT FROM n.task_id AND e.bucket IS NOT DISTINCT FROM n.bucket) GROUP BY task_id, bucket")))
 def insert_ignore(spark, sf_dir):
-    """SNK1: first writer wins; keys already stored are ignored."""
-    events = view(spark, sf_dir, "fx_events").select("task_id", "status", "event_id", "ts", "value")
+    """SNK1: first writer wins; keys that any earlier event has stored are ignored."""
+    events = view(spark, sf_dir, "fx_events").select("task_id", F.expr(_BUCKET).alias("bucket"), "event_id", "ts")
     cut = F.lit(CUT).cast("timestamp_ntz")
-    stored = events.where((F.col("ts") < cut) & (F.col("value").cast("double") < 5)).drop("ts", "value")
-    items = events.where(F.col("ts") >= cut).drop("ts", "value")
-    return merge.insert_ignore(stored.dropDuplicates(["task_id", "status"]), items,
-                               ["task_id", "status"], "event_id")
+    stored = events.where(F.col("ts") < cut).drop("ts")
+    items = events.where(F.col("ts") >= cut).drop("ts")
+    return merge.insert_ignore(stored.dropDuplicates(["task_id", "bucket"]), items, ["task_id", "bucket"], "event_id")
 
 
 @query("upsert_latest", with_views(["fx_events"], (

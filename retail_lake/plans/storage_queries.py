@@ -86,17 +86,18 @@ def report_export(spark, sf_dir):
 
 
 @query("stored_rows", with_views(["fx_stored"], (
-    "SELECT row_index, file_name, item_code, chain FROM fx_stored WHERE chain = 'chain4' "
-    "AND file_name LIKE '%-003-%'")))
+    "SELECT row_index, file_name, item_code, chain, false AS by_partition FROM fx_stored UNION ALL "
+    "SELECT row_index, file_name, item_code, chain, true FROM fx_stored WHERE chain = 'chain4' AND file_name LIKE '%-003-%'")))
 def stored_rows(spark, sf_dir):
-    """SNK1, SRC6, F1: rows written to the store and read back by partition and file."""
+    """SNK1, SRC6, F1: rows written to the store, all read back, and those of a chain and store by partition and file."""
     root = shared_dir(spark, "rows")
     rows = view(spark, sf_dir, "fx_stored").withColumn("batch_id", F.lit(0))
     store.write_rows(rows, root, 0)
 
-    back = tables.read_table(spark, root, rows.schema, {"chain": "chain4", "file_type": "PRICE_FULL_FILE"})
-    return back.where(F.col("file_name").contains("-003-")).select("row_index", "file_name", "item_code", "chain")
-
+    columns = ["row_index", "file_name", "item_code", "chain"]
+    every = tables.read_table(spark, root, rows.schema, {}).select(*columns, F.lit(False).alias("by_partition"))
+    some = tables.read_table(spark, root, rows.schema, {"chain": "chain4", "file_type": "PRICE_FULL_FILE"})
+    return every.unionByName(some.where(F.col("file_name").contains("-003-")).select(*columns, F.lit(True).alias("by_partition")))
 
 
 
