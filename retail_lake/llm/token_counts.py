@@ -9,6 +9,7 @@ Defined cases: a null text is empty and has 0 tokens; special strings in a text
 library takes them out before it normalizes; repeated rows give repeated results.
 """
 
+import functools
 import unicodedata
 
 import numpy as np
@@ -50,11 +51,21 @@ def prove_whole_tokens(path):
             if e.ids == [i] and pieces[a:b] == [w.encode("utf-8")]}
 
 
+@functools.cache
+def lower_forms():
+    """The lower-case forms that the library gives letters, by its own version of Unicode; asked in one call."""
+    from tokenizers import normalizers
+
+    letters = [chr(c) for c in range(0x110000) if c != 10 and not 0xD800 <= c < 0xE000]
+    lower = normalizers.Lowercase().normalize_str("\n".join(letters)).split("\n")
+    return {ord(a): b for a, b in zip(letters, lower) if a != b}
+
+
 def normalized(text):
     """Composed form, lower case letter by letter. White space is dropped later in any case."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final sigma
-    return text.lower()
+    if text.isascii():
+        return text.lower()
+    return unicodedata.normalize("NFC", text).translate(lower_forms())
 
 
 class Counter:

@@ -66,6 +66,20 @@ def test_token_counts(spark, docs, none):
     assert rows(token_counts.token_counts(spark, none, path)) == []
 
 
+def test_token_counts_lower_letters_as_the_library():
+    """Also letters that are newer than Python's Unicode, or older than its own."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, lower = Tokenizer.from_file(path), token_counts.lower_forms()
+    odd = [c for c in range(128, 0x110000) if not 0xD800 <= c < 0xE000 and chr(c).lower() != lower.get(c, chr(c))]
+    letters = [chr(c) for c in {*odd, 0xA7CB, 0xA7DC, 0x3A3, 0x130, *random.Random(6).sample(sorted(lower), 300)}]
+    texts = [f"xx{c} {c}{c}y" for c in letters]
+    with open(path, "rb") as file:
+        content = file.read()
+    counter = token_counts.Counter(bpe.from_json(content), token_counts.prove_whole_tokens(path))
+    want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert token_counts.count_texts(counter, vocabularies.special_tokens(content)[0], texts) == want
+
+
 def test_byte_bpe_round_trip(spark, docs, none):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     got = byte_bpe.digests(spark, docs, path)
