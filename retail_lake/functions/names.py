@@ -66,6 +66,11 @@ def table_name(file_type_col, chain_col):
     return F.concat_ws("_", F.lower(_text(file_type_col)), F.lower(_text(chain_col)))
 
 
+def read_from():
+    """Path of the file a row was read from, as the readers take it: Spark's column has it URL-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def base_name(path):
     """Last component of a path."""
     return F.element_at(F.split(_text(path), "/"), -1)

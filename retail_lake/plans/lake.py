@@ -27,6 +27,7 @@ PROGRESS = ("table_name string, file_type string, chain string, last_row bigint,
             "file_name string, content map<string,string>, first_row bigint, n_rows bigint, batch_id bigint")
 QUARANTINE = ("table_name string, file_type string, chain string, row_index bigint, found_folder string, "
               "file_name string, content map<string,string>, batch_id bigint")
+LANDED = "path string, length bigint, modified timestamp, kind string, batch_id bigint"
 PARTITIONS = ["file_type", "chain"]
 
 
@@ -111,7 +112,7 @@ class Lake:
     def restart(self):
         """SNK6/ST6: forget all loads; tables start empty. Snapshots stay."""
         for name, schema in (("rows", STORED_ROW), ("markers", STORED_MARKER), ("progress", PROGRESS),
-                             ("quarantine", QUARANTINE), ("ledger", LEDGER), ("commits", COMMITS), ("broken_logs", BROKEN),
+                             ("quarantine", QUARANTINE), ("ledger", LEDGER), ("commits", COMMITS), ("broken_logs", BROKEN), ("landed", LANDED),
                              *((f"status/{t}", STATUS_DOC) for t in STATUS_TABLES)):
             (self.spark.createDataFrame([], schema).write.mode("overwrite")
              .option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(self._path(name)))
@@ -137,30 +138,52 @@ class Lake:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path("_scratch"))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def _fresh_files(self, listed, kind, batch, again=None):
+        """ST1: paths of the landing files that the last load did not read as they are now.
+
+        The listing is kept as ``landed`` before a file is read, so one that grows meanwhile differs at the next
+        load. A file of the same path, length and time holds nothing past the marks; ``again`` has the source_file
+        of those to read all the same. The answer is as long as the list of new files, at most the registry.
+        """
+        path = f"{self._path('landed')}/batch_id={batch}/kind={kind}"
+        listed.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        seen = self._stored("landed", LANDED, {"kind": kind, "batch_id": self.last_batch()})
+        if again is not None:
+            seen = seen.join(again, names.base_name("path") == again["source_file"], "left_anti")
+        now = self.spark.read.schema(listed.schema).parquet(path)
+        fresh = now.join(seen, ["path", "length", "modified"], "left_anti").select("path")
+        return sorted(r.path for r in fresh.toLocalIterator())
+
     def _load_rows(self, outputs, batch):
         """Number, fill, pack and write the rows past each table's mark.
 
         A table's stored rows all lie at or below its mark, and a retried load replaces its own
-        folder, so new rows are unique by (table, row index) without a look at the stored ones.
+        folder, so new rows are unique by (table, row index) without a look at the stored ones. Files that have
+        not changed since the last load, and those of other chains and types, are not opened.
         """
         progress = self.progress()
-        groups = files.landing_groups(self.spark, outputs)
-        loads = [self._load_group(columns, paths, progress, f"{self._path('_scratch')}/batch-{batch}-{n}")
+        listed = files.landing_listing(self.spark, outputs, "*.csv")
+        listed = self._with_enabled_chain(listed.withColumn("_t", names.split_table_name(names.table_of_path("path")))
+                                          .select("path", "length", "modified", "_t.file_type", "_t.chain"))
+        fresh = self._fresh_files(listed.select("path", "length", "modified"), "rows", batch)
+        groups, broken = files.survey_landing(self.spark, fresh)
+        loads = [self._load_group(columns, paths, progress, f"{self._path('_scratch')}/batch-{batch}-{n}", broken)
                  for n, (columns, paths) in enumerate(groups)]
-        if loads:
-            packed = functools.reduce(lambda a, b: a.unionByName(b), [p for p, _ in loads])
-            store.write_rows(packed.withColumn("batch_id", F.lit(batch)).select(*STORED_ROW.names),
-                             self._path("rows"), batch, placed=True)
+        # Without new rows too, the batch is written: an earlier try of it may have left some.
+        none = self.spark.createDataFrame([], STORED_ROW)
+        packed = functools.reduce(lambda a, b: a.unionByName(b), [p for p, _ in loads]) if loads else none
+        store.write_rows(packed.withColumn("batch_id", F.lit(batch)).select(*STORED_ROW.names),
+                         self._path("rows"), batch, placed=True)
         bad = [b for _, b in loads if b is not None]
-        if bad:
-            store.write_batch(functools.reduce(lambda a, b: a.unionByName(b), bad)
-                              .withColumn("batch_id", F.lit(batch)), self._path("quarantine"), batch)
+        none = self.spark.createDataFrame([], QUARANTINE)
+        store.write_batch(functools.reduce(lambda a, b: a.unionByName(b), bad).withColumn("batch_id", F.lit(batch))
+                          if bad else none, self._path("quarantine"), batch)
         self._load_progress(progress, batch)
 
-    def _load_group(self, columns, paths, progress, scratch):
+    def _load_group(self, columns, paths, progress, scratch, broken):
         """Rows past the mark of the files of one header: (packed rows, quarantined rows or None)."""
         content = [c for c in columns if c not in KEY_COLUMNS]
-        landed = files.read_csv_rows(self.spark, paths, columns, folder=scratch)
+        landed = files.read_csv_rows(self.spark, paths, columns, folder=scratch, broken=broken)
         landed = (landed.withColumn("_t", names.split_table_name("table_name"))
                   .select("table_name", "_t.file_type", "_t.chain", "row_index", "found_folder", "file_name", *content))
         fresh = ingest.rows_after(self._with_enabled_chain(landed), progress)
@@ -207,7 +230,17 @@ class Lake:
         return known.where(F.col("kind") == kind).select("source_file", "digest")
 
     def _load_status(self, folder, table, global_table, kind, batch):
-        logs, broken = status_logs.read_logs(self.spark, folder, f"{self._path('_scratch')}/logs-{batch}-{kind}")
+        listed = files.landing_listing(self.spark, folder, "*.json")
+        fresh = self._fresh_files(listed, kind, batch, self.broken_logs().where(F.col("kind") == kind).select("source_file"))
+        if not fresh:
+            # An earlier try of this batch may have left something.
+            for name, schema in ((f"status/{table}", STATUS_DOC), (f"status/{global_table}", STATUS_DOC)):
+                store.create_empty(self.spark, self._path(name), schema, batch)
+            for name, schema in (("ledger", LEDGER), ("broken_logs", BROKEN)):
+                (self.spark.createDataFrame([], schema).drop("kind", "batch_id").write.mode("overwrite")
+                 .option("partitionOverwriteMode", "static").parquet(f"{self._path(name)}/batch_id={batch}/kind={kind}"))
+            return
+        logs, broken = status_logs.read_logs(self.spark, fresh, f"{self._path('_scratch')}/logs-{batch}-{kind}")
         # Logs grow, so a broken one is set aside by every load until it can be read.
         (broken.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .parquet(f"{self._path('broken_logs')}/batch_id={batch}/kind={kind}"))
@@ -332,6 +365,30 @@ class Lake:
             version = self.current_version()
         return snapshot.read_snapshot(self.spark, self.root, version, part, list(self.chains))
 
+    def load_version(self, as_of, version=None):
+        """SRC10, ST7: the store as a version left it, as the first batch; returns the batch id.
+
+        Rows of the enabled chains and all status events are stored again; marks, open runs and markers come from
+        the rows, the ledger from the events. So a load of the same landing folders finds nothing new, and one of
+        longer files goes on where the version ended. What the store held before is gone. The batch counts once
+        it is committed; one that failed is run again. Rows set aside are in no version: the next load finds them.
+        """
+        rows, events = self.restore(version), self.restore(version, "status")
+        self.restart()
+        batch = 0
+        store.write_rows(rows.select(*STORED_ROW.names), self._path("rows"), batch)
+        self._load_progress(self.progress(), batch)
+        for table in STATUS_TABLES:
+            docs = events.where(F.col("table_name") == table).select(*STATUS_DOC.names)
+            store.write_batch(docs.sortWithinPartitions("chain", "file_type"), self._path(f"status/{table}"), batch)
+        kind = F.when(F.col("table_name").contains("Scraper"), "scraper").otherwise("parser")
+        (events.select("source_file", F.col("index").alias("digest"), kind.alias("kind"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("kind")
+         .parquet(f"{self._path('ledger')}/batch_id={batch}"))
+        commit = self.spark.createDataFrame([(as_of, batch)], COMMITS)
+        store.write_batch(commit.coalesce(1), self._path("commits"), batch)
+        return batch
+
     def snapshot_files(self, version=None):
         """SRC8: names of what a version holds: a CSV name per table, the status files, the index."""
         data = self.restore(version).select(names.table_name("file_type", "chain").alias("n")).distinct()

@@ -4,7 +4,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from retail_lake.functions.names import base_name, file_glob, table_of_path
+from retail_lake.functions.names import base_name, file_glob, read_from, table_of_path
 from retail_lake.operators.scan import running
 from retail_lake.schemas import MISSING_CELLS
 from retail_lake.session import shared_dir
@@ -23,25 +23,55 @@ def csv_header(spark, path):
     return spark.read.option("header", True).csv(path).columns
 
 
-def landing_groups(spark, folder):
-    """SRC3: the ``*.csv`` files of a landing folder as ``[(columns, [paths])]``, one entry per header.
+def landing_listing(spark, folder, glob):
+    """SRC3: path, length and modified of the files of a landing folder; no content is read."""
+    return _listed(spark, folder, glob).select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def _survey(spark, paths):
+    """One row per file that has a line: path, header (its first line that is not blank) and broken.
 
-    A landing folder has one file per (file type, chain), so the list is as short as the registry.
+    A file is broken if a cell has a line break: some line then has an odd number of quotes. All files are told
+    in one pass over their text, aggregated where it is read; the answer has one row per file.
     """
-    groups = {}
-    for row in _listed(spark, folder, "*.csv").select("path").orderBy("path").toLocalIterator():
-        groups.setdefault(tuple(csv_header(spark, row.path)), []).append(row.path)
-    return [(list(columns), paths) for columns, paths in groups.items()]
+    lines = spark.read.text(list(paths)).select(
+        read_from().alias("path"), "value", F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"))
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
+    shown = F.when(F.trim(F.translate("value", "\r\t", "")) != "", F.struct("block", "id"))
+    return lines.groupBy("path").agg(F.min_by("value", shown).alias("header"), F.bool_or(odd).alias("broken")).where(
+        "header IS NOT NULL")
 
 
-def _broken_lines(spark, paths):
-    """Paths of the files with a line break inside quotes: some line has an odd number of quotes.
+def survey_landing(spark, paths):
+    """SRC2, SRC3: ``(groups, broken)`` of CSV files: groups is ``[(columns, [paths])]`` with one entry per header.
 
-    One pass over the text without a shuffle of lines; the answer has at most one row per file.
+    ``broken`` is the set of paths of files with a line break inside quotes. There is one pass for all files and a
+    small job for every different header line, none per file. A file without a line that is not blank is in no
+    group. A landing folder has one file per (file type, chain), so the lists are as short as the registry.
     """
-    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
-    odd = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return {r.path for r in lines.where(odd % 2 == 1).select("path").distinct().toLocalIterator()}
+    if not paths:
+        return [], set()
+    by_line, broken = {}, set()
+    for row in _survey(spark, paths).orderBy("path").toLocalIterator():
+        by_line.setdefault(row.header, []).append(row.path)
+        if row.broken:
+            broken.add(row.path)
+    groups = {}
+    for same in by_line.values():
+        groups.setdefault(tuple(csv_header(spark, same[0])), []).extend(same)
+    return [(list(columns), sorted(same)) for columns, same in groups.items()], broken
+
+
+def landing_groups(spark, folder):
+    """SRC3: the ``*.csv`` files of a landing folder as ``[(columns, [paths])]``, one entry per header."""
+    return survey_landing(spark, [r.path for r in landing_listing(spark, folder, "*.csv").select("path").toLocalIterator()])[0]
+
+
+def _broken_lines(spark, paths):
+    """``(all files, files with a line break inside quotes)`` as sets of paths; one row per file comes back."""
+    told = {r.path: r.broken for r in _survey(spark, paths).toLocalIterator()}
+    return set(told), {path for path, broken in told.items() if broken}
 
 
 def _records(spark, paths, folder):
@@ -52,7 +82,7 @@ def _records(spark, paths, folder):
     between records are none. A file with a quote that is never closed is one record from there on.
     """
     lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+        "value", read_from().alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"))
     lines = place(lines, f"{folder}/lines")
     quotes = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).cast("bigint")
@@ -79,7 +109,7 @@ def _broken_rows(spark, paths, columns, folder):
                        *[F.when(~cell[c].isin(*MISSING_CELLS), cell[c]).alias(c) for c in columns])
 
 
-def read_csv_rows(spark, paths, columns, folder=None):
+def read_csv_rows(spark, paths, columns, folder=None, broken=None):
     """SRC1: CSV rows as text with (source_file, table_name, row_index).
 
     ``row_index`` is the position of the row in its file, header excluded. Every file is read in blocks by
@@ -88,13 +118,13 @@ def read_csv_rows(spark, paths, columns, folder=None):
     block and id, in the one pass that reads CSV; block offsets come from what was written, so they hold
     however the files were split, and no row is shuffled to be numbered. Files with a line break inside quotes
     are cut into records first (``_records``). A quote in a cell is doubled; cells such as ``NULL`` or ``NaN``
-    are missing.
+    are missing. ``broken`` names the files with such a break where a survey has told them already; ``paths`` are
+    files then, and no other pass looks for them.
     """
     folder = folder or shared_dir(spark, "landing")
     listed = [paths] if isinstance(paths, str) else list(paths)
-    broken = _broken_lines(spark, listed)
+    every, broken = _broken_lines(spark, listed) if broken is None else (set(listed), set(listed) & set(broken))
     if broken:
-        every = {r.path for r in spark.read.format("binaryFile").load(listed).select("path").toLocalIterator()}
         rows = _broken_rows(spark, sorted(every & broken), columns, f"{folder}/broken")
         whole = sorted(every - broken)
         return rows.unionByName(_block_rows(spark, whole, columns, f"{folder}/whole")) if whole else rows
@@ -105,7 +135,7 @@ def _block_rows(spark, paths, columns, folder):
     schema = ", ".join(f"`{c}` STRING" for c in columns)
     cells = [F.when(~F.col(f"`{c}`").isin(*MISSING_CELLS), F.col(f"`{c}`")).alias(c) for c in columns]
     rows = spark.read.schema(schema).options(header=True, escape='"').csv(paths).select(
-        *cells, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+        *cells, read_from().alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"))
     placed = place(rows, folder)
     return placed.select(base_name("_path").alias("source_file"), table_of_path("_path").alias("table_name"),
@@ -114,13 +144,12 @@ def _block_rows(spark, paths, columns, folder):
 
 def count_csv_rows(spark, paths, columns):
     """JN7: (table_name, source_rows) of CSV files; no cell is kept."""
-    broken = _broken_lines(spark, paths)
+    every, broken = _broken_lines(spark, paths)
     schema = ", ".join(f"`{c}` STRING" for c in columns)
-    every = {r.path for r in spark.read.format("binaryFile").load(list(paths)).select("path").toLocalIterator()}
     counts = []
     if every - broken:
         counts.append(spark.read.schema(schema).options(header=True, escape='"').csv(sorted(every - broken))
-                      .select(F.col("_metadata.file_path").alias("_path")))
+                      .select(read_from().alias("_path")))
     if every & broken:
         counts.append(_records(spark, sorted(every & broken), shared_dir(spark, "counted")).where("record > 1").select("_path"))
     rows = functools.reduce(lambda a, b: a.unionByName(b), counts)
@@ -139,7 +168,7 @@ def read_xml_rows(spark, path, row_tag, schema=None):
     if schema is not None:
         reader = reader.schema(schema)
     rows = reader.load(path)
-    parts = F.split(F.col("_metadata.file_path"), "/")
+    parts = F.split(read_from(), "/")
     return rows.select(F.element_at(parts, -2).alias("found_folder"),
                        F.element_at(parts, -1).alias("file_name"), *rows.columns)
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retail_lake.plans.lake import Lake
+from retail_lake.sources import files, status_logs
 
 CHAINS = {"AlphaMart": "Alpha", "Beta": "Beta"}
 F1, F2, F3 = (f"PriceFull7290000000001-00{i}-202401010000.xml" for i in (1, 2, 3))
@@ -114,6 +115,78 @@ def test_loading_again_adds_nothing(spark, lake, folders):
     assert (lake.rows().count(), lake.status("ParserStatus").count(), lake.markers().count()) == before
 
 
+def test_unchanged_files_are_not_opened(spark, lake, folders, monkeypatch):
+    """A load with nothing new surveys, parses and stores no row, and quarantine and marks stay."""
+    before = (lake.rows().count(), lake.quarantined().count(), sorted(map(str, lake.progress().drop("content").collect())))
+    opened = []
+    for module, name in ((files, "_survey"), (files, "read_csv_rows"), (status_logs, "read_logs")):
+        whole = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, _w=whole, **k: opened.append(a[1]) or _w(*a, **k))
+    batch = lake.upload(folders["outputs"], folders["scraping"], folders["converting"], "2024-01-01 03:40:00")
+    assert not opened
+    assert lake.rows({"batch_id": batch}).count() == 0
+    assert (lake.rows().count(), lake.quarantined().count(), sorted(map(str, lake.progress().drop("content").collect()))) == before
+
+
+def test_only_changed_files_are_opened(spark, tmp_path, monkeypatch):
+    out, logs = str(tmp_path / "out"), str(tmp_path / "logs")
+    csv(f"{out}/price_file_alphamart.csv", [f"d,{F1},a,1"])
+    csv(f"{out}/price_file_beta.csv", [f"d,{F2},b,1"])
+    log(f"{logs}/a b+c%20.json", [{"task_id": "1", "status": "s"}])
+    write(f"{logs}/x y.json", "[1,2]")
+    lake = Lake(spark, str(tmp_path / "lake"), {"AlphaMart": "A"})
+    lake.upload(out, logs, logs, "2024-01-01 01:00:00")
+    assert [(r.source_file, r.kind) for r in lake.broken_logs().orderBy("kind").collect()] == [
+        ("x y.json", "parser"), ("x y.json", "scraper")]
+    csv(f"{out}/price_file_alphamart.csv", [f"d,{F1},a,1", ",,c,"])
+    opened = []
+    read = files.read_csv_rows
+    monkeypatch.setattr(files, "read_csv_rows", lambda s, paths, *a, **k: opened.extend(paths) or read(s, paths, *a, **k))
+    # A chain enabled later gets all rows of its file, although the file is as it was.
+    both = Lake(spark, lake.root, CHAINS)
+    both.upload(out, logs, logs, "2024-01-01 02:00:00")
+    assert sorted(p.rsplit("/", 1)[1] for p in opened) == ["price_file_alphamart.csv", "price_file_beta.csv"]
+    assert {(r.chain, r.row_index, r.content["code"]) for r in both.rows().collect()} == {
+        ("AlphaMart", 0, "a"), ("AlphaMart", 1, "c"), ("Beta", 0, "b")}
+    # A broken log is told again by every load, until it can be read.
+    assert both.broken_logs().count() == 2 and both.status("ParserStatus").count() == 1
+    log(f"{logs}/x y.json", [{"task_id": "2", "status": "s"}])
+    opened.clear()
+    both.upload(out, logs, logs, "2024-01-01 03:00:00")
+    assert not opened and both.broken_logs().count() == 0 and both.status("ParserStatus").count() == 2
+
+
+def test_a_version_is_loaded_into_the_store(spark, tmp_path):
+    """After publish, reset and restore the same landing holds nothing new, and longer files go on."""
+    out, logs = str(tmp_path / "out"), str(tmp_path / "logs")
+    csv(f"{out}/price_file_alphamart.csv", [f"d,{F1},a,1", ",,b,", f"d,{F2},,3"])
+    csv(f"{out}/price_file_beta.csv", [",,q,1"])
+    log(f"{logs}/a.json", [{"task_id": "1", "status": "s"}, {"task_id": "1", "status": "t"}], [{"task_id": "1", "status": "u"}])
+    lake = Lake(spark, str(tmp_path / "lake"), CHAINS)
+
+    def state():
+        return {name: sorted(map(str, df.drop("batch_id").collect())) for name, df in (
+            ("rows", lake.rows()), ("markers", lake.markers()), ("progress", lake.progress()),
+            ("scraper", lake.ledger("scraper")), ("parser", lake.ledger("parser")),
+            *((t, lake.status(t)) for t in ("ParserStatus", "GlobalParserStatus", "ScraperStatus", "GlobalScraperStatus")))}
+
+    lake.upload(out, logs, logs, "2024-01-01 01:00:00")
+    before = state()
+    lake.publish("2024-01-01 02:00:00")
+    lake.clear_ledger()
+    assert lake.rows().count() == 0
+    assert lake.load_version("2024-01-02 00:00:00") == 0
+    assert state() == before
+    again = lake.upload(out, logs, logs, "2024-01-02 01:00:00")
+    assert again == 1 and state() == before and lake.rows({"batch_id": 1}).count() == 0
+    assert lake.quarantined().count() == 1
+    csv(f"{out}/price_file_alphamart.csv", [f"d,{F1},a,1", ",,b,", f"d,{F2},,3", ",,c,"])
+    lake.upload(out, logs, logs, "2024-01-02 02:00:00")
+    last = lake.rows().where("row_index = 3").first()
+    assert (last.file_name, last.content, last.batch_id) == (F2, {"code": "c", "price": "3"}, 2)
+    assert {(r.file_name, r.total_expected_records) for r in lake.markers().collect()} == {(F1, 2), (F2, 2)}
+
+
 def test_a_load_without_commit_is_not_seen(spark, lake):
     ghost = lake.rows().limit(1).withColumn("row_index", F.lit(99).cast("bigint"))
     before = lake.rows().count()
