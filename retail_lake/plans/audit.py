@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from retail_lake.functions.values import parse_ts
 from retail_lake.operators import access, catalog, quality
 from retail_lake.schemas import LOSS_LIMIT
+from retail_lake.session import shared_dir
 from retail_lake.sinks.store import write_report
 
 
@@ -25,28 +26,36 @@ class Audit:
             write_report(getattr(self, name), f"{folder}/{name}")
 
 
-def audit(scraper_docs, parser_docs, chains, limit=LOSS_LIMIT):
-    """Audit all chains in one plan.
+def audit(scraper_docs, parser_docs, chains, limit=LOSS_LIMIT, folder=None):
+    """Audit all chains from one read of the documents.
 
     ``scraper_docs`` and ``parser_docs`` have the document schemas, ``chains`` is (chain, folder).
     A run is a scrape timestamp of a chain. A run without a collected and a downloaded document, or
     without a matching parse, has an empty funnel row; so has a chain without any run.
+
+    Documents nest long lists and are read by many branches, so the columns in use are written once to ``folder``
+    (a new shared one by default) as a columnar table, and so is the fate of every file, which all three
+    results count.
     """
-    scraped = catalog.with_chain(
-        scraper_docs.where(F.col("timestamp").isNotNull()).withColumn("_run", parse_ts("timestamp"))
-        .withColumnRenamed("file_name", "folder"), chains)
-    scraped = scraped.where(F.col("_run").isNotNull())
-    runs = scraped.select("chain", F.col("_run").alias("run")).distinct()
-
-    by_run = scraped.select("chain", F.col("_run").alias("run"), "status", "index", "status_data")
-    collected = by_run.where("status = 'collected'").select(
-        "chain", "run", "index", F.col("status_data.file_name_collected_from_site").alias("files"))
-    downloaded = by_run.where("status = 'downloaded'").select(
-        "chain", "run", "index", F.col("status_data.results").alias("results"))
+    folder = folder or shared_dir(scraper_docs.sparkSession, "audit")
+
+    def staged(df, name):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    scraped = staged(scraper_docs.select(
+        F.col("file_name").alias("folder"), parse_ts("timestamp").alias("run"), "index", "status",
+        F.col("status_data.file_name_collected_from_site").alias("files"), F.col("status_data.results").alias("results"))
+        .where(F.col("run").isNotNull()), "scraped")
+    parsed = staged(parser_docs.select(
+        F.col("requested_store_enum").alias("chain"), parse_ts("when_date").alias("parsed_at"),
+        F.col("response.files_to_process").alias("to_parse"), F.col("response.execution_log").alias("log_entries")), "parsed")
+    scraped = catalog.with_chain(scraped, chains).where(F.col("run").isNotNull())
+    runs = scraped.select("chain", "run").distinct()
+    collected = scraped.where("status = 'collected'").select("chain", "run", "index", "files")
+    downloaded = scraped.where("status = 'downloaded'").select("chain", "run", "index", "results")
     paired = quality.pair_status(collected, downloaded, ["chain", "run"], "index")
 
-    parsed = parser_docs.select(
-        F.col("requested_store_enum").alias("chain"), parse_ts("when_date").alias("parsed_at"), "response")
     matched = quality.asof_greedy(
         runs.withColumnRenamed("run", "scraped_at"), parsed.select("chain", "parsed_at"),
         ["chain"], "scraped_at", "parsed_at").where(F.col("parsed_at").isNotNull())
@@ -58,11 +67,11 @@ def audit(scraper_docs, parser_docs, chains, limit=LOSS_LIMIT):
     seen = access.explode_files(full_runs, "collected_files", key)
     downloads = access.explode_logs(full_runs, "downloaded_results", key).select(
         *key, "file_name", "downloaded", F.col("extract_succefully").alias("extracted"), "error")
-    to_parse = access.explode_files(parse_docs, "response.files_to_process", key)
-    parses = access.explode_logs(parse_docs, "response.execution_log", key).select(
+    to_parse = access.explode_files(parse_docs, "to_parse", key)
+    parses = access.explode_logs(parse_docs, "log_entries", key).select(
         *key, "file_name", F.col("succusfull").alias("succeeded"), "loaded", "error")
 
-    fates = quality.file_fates(seen, downloads, to_parse, parses)
+    fates = staged(quality.file_fates(seen, downloads, to_parse, parses), "fates")
     new = quality.new_files(fates.select("chain", "run", "file_name"))
     counted = quality.funnel(fates).join(new, key, "left").withColumn(
         "new_files", F.coalesce("new_files", F.lit(0).cast("bigint")))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from retail_lake.functions.names import matches_file, snapshot_message
+from retail_lake.functions.names import snapshot_message
 from retail_lake.operators import access, catalog, filters, versions
 from retail_lake.operators.status import with_digest
 from retail_lake.plans.fixtures import VIEWS, give_names, log_lines, table, view, with_views
@@ -168,35 +168,53 @@ def snapshot_messages(spark, sf_dir):
     return made.select("version", snapshot_message("at", None, ["PRICE_FILE", "PROMO_FILE"]).alias("message"))
 
 
-_LISTING = ("listing AS (SELECT 'price_file_' || lower(n_name) || '.csv' AS file_name FROM nation UNION ALL "
-            "SELECT lower(n_name) || '.json' FROM nation UNION ALL SELECT 'parser-status.json' UNION ALL SELECT 'index.json')")
+_LISTING = ("listing AS (SELECT DISTINCT table_name || '.csv' AS file_name FROM fx_rows UNION ALL SELECT DISTINCT source_file "
+            "FROM fx_events UNION ALL SELECT 'parser-status.json' UNION ALL SELECT 'index.json')")
+ENABLED = ["CHAIN1", "Chain2"]
 
+_datasets = {}
 
-def dataset_listing(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation").select(F.lower("n_name").alias("n"))
-    csv = nation.select(F.concat(F.lit("price_file_"), "n", F.lit(".csv")).alias("file_name"))
-    status = nation.select(F.concat("n", F.lit(".json")).alias("file_name"))
-    fixed = spark.createDataFrame([("parser-status.json",), ("index.json",)], csv.schema)
-    return csv.unionByName(status).unionByName(fixed)
 
+def dataset_folder(spark, sf_dir):
+    """A dataset folder, made once per session and input: a CSV per table with the sizes of its files, a JSON per
+    status log and one of the parser with counts by status, and the index with the versions."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _datasets:
+        root = shared_dir(spark, "dataset")
+        sizes = view(spark, sf_dir, "fx_rows").groupBy(F.col("table_name").alias("dir"), "file_name").agg(F.count(F.lit(1)).alias("n_rows"))
+        (sizes.repartition("dir").sortWithinPartitions("dir", "file_name").write.partitionBy("dir").option("header", True)
+         .csv(f"{root}/tables"))
+        events = view(spark, sf_dir, "fx_events")
+        counts = events.groupBy(F.regexp_replace("source_file", "[.]json$", "").alias("dir"), "status").agg(F.count(F.lit(1)).alias("n"))
+        named = counts.select("dir", F.to_json(F.struct("status", "n")).alias("value"))
+        parser = counts.groupBy("status").agg(F.sum("n").alias("n")).select(
+            F.lit("parser-status").alias("dir"), F.to_json(F.struct("status", "n")).alias("value"))
+        index = version_rows(spark, sf_dir).select(F.lit("index").alias("dir"), F.to_json(F.struct("version", "created_at")).alias("value"))
+        (named.unionByName(parser).unionByName(index).repartition("dir").sortWithinPartitions("dir", "value")
+         .write.partitionBy("dir").text(f"{root}/documents"))
+        give_names(spark, f"{root}/tables", f"{root}/files", "csv")
+        give_names(spark, f"{root}/documents", f"{root}/files", "json")
+        _datasets[key] = f"{root}/files"
+    return _datasets[key]
 
-_ENABLED = "(contains(lower(file_name), 'nation_1') OR contains(lower(file_name), 'nation_2'))"
 
+_ENABLED = "(contains(lower(file_name), 'chain1') OR contains(lower(file_name), 'chain2'))"
 
-@query("restore_files", (
-    f"WITH {_LISTING} SELECT file_name, CASE WHEN file_name LIKE '%.csv' OR file_name = 'parser-status.json' "
-    f"THEN 'data' ELSE 'status' END AS target FROM listing WHERE {_ENABLED} OR file_name = 'parser-status.json'"))
+
+@query("restore_files", with_views(["fx_rows", "fx_events"], (
+    f", {_LISTING} SELECT file_name, CASE WHEN file_name LIKE '%.csv' OR file_name = 'parser-status.json' "
+    f"THEN 'data' ELSE 'status' END AS target FROM listing WHERE {_ENABLED} OR file_name = 'parser-status.json'")))
 def restore_files(spark, sf_dir):
-    """SRC10, F8: files of the dataset to restore for the enabled chains, and where to."""
-    return versions.route_files(dataset_listing(spark, sf_dir), ["NATION_1", "Nation_2"])
+    """SRC10, F8: files of a dataset folder to restore for the enabled chains, and where to."""
+    return versions.route_files(files.list_files(spark, dataset_folder(spark, sf_dir)), ENABLED)
 
 
-@query("dataset_files", (
-    f"WITH {_LISTING} SELECT file_name FROM listing WHERE file_name LIKE '%nation\\_1.csv' ESCAPE '\\'"))
+@query("dataset_files", with_views(["fx_rows", "fx_events"], (
+    f", {_LISTING} SELECT file_name FROM listing WHERE file_name LIKE '%chain1.csv' OR file_name LIKE '%.json'")))
 def dataset_files(spark, sf_dir):
-    """SRC8, X11: dataset files of a chain and extension."""
-    listing = dataset_listing(spark, sf_dir)
-    return listing.where(matches_file("file_name", "NATION_1", "csv"))
+    """SRC8, X11: files of a dataset folder by chain and extension, and all of an extension."""
+    folder = dataset_folder(spark, sf_dir)
+    return files.list_files(spark, folder, "CHAIN1", "csv").unionByName(files.list_files(spark, folder, extension="json"))
 
 
 @query("list_destinations", (
@@ -210,10 +228,11 @@ def list_destinations(spark, sf_dir):
     return registry.select("table_name", "key_column").unionByName(catalog.status_registry(spark))
 
 
-@query("enabled_csv_files", f"WITH {_LISTING} SELECT file_name FROM listing WHERE {_ENABLED} AND file_name LIKE '%.csv'")
+@query("enabled_csv_files", with_views(["fx_rows", "fx_events"], (
+    f", {_LISTING} SELECT file_name FROM listing WHERE {_ENABLED} AND file_name LIKE '%.csv'")))
 def enabled_csv_files(spark, sf_dir):
-    """F8: files by extension and enabled chain."""
-    return filters.enabled_files(dataset_listing(spark, sf_dir), "file_name", ["NATION_1", "Nation_2"], "csv")
+    """F8: files of a dataset folder by extension and enabled chain."""
+    return filters.enabled_files(files.list_files(spark, dataset_folder(spark, sf_dir)), "file_name", ENABLED, "csv")
 
 
 @query("stream_dedup", with_views(["fx_events"], "SELECT event_id, source_file FROM fx_events"))
