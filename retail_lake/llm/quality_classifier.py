@@ -13,7 +13,8 @@ Grades are made from the labels: 0 low quality, 1 good but toxic, 2 good and cle
 
 Defined cases: null and empty texts have rate features only; documents without label only get scores;
 a document with several labels counts with its lowest grade; labels with a null are left out; if fewer
-than two grades are known, all weights are zero and every document is kept. Repeated rows score alike.
+than two grades are known, all weights are zero and every document is kept. Repeated rows score alike, and
+rows of one doc_id count once in the fit.
 """
 
 import math
@@ -168,7 +169,7 @@ def grade(quality, toxic):
 
 
 def train(docs, labels, sample=SAMPLE):
-    """Fit on at most ``sample`` labelled documents."""
+    """Fit on at most ``sample`` labelled documents; of rows of one doc_id, on the one whose text is least in bytes."""
     rated = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                            grade(F.col("quality"), F.col("toxic")).alias("grade"))
              .where(F.col("doc_id").isNotNull() & labels["quality"].isNotNull() & labels["toxic"].isNotNull())
@@ -176,8 +177,9 @@ def train(docs, labels, sample=SAMPLE):
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                         F.col("text").cast("string").cast("binary").alias("text"))
-    # At most ``sample`` rows of two numbers are sent to the executors.
-    rows = texts.join(F.broadcast(rated), "doc_id").select("doc_id", "grade", "text")
+    # At most ``sample`` rows of two numbers are sent to the executors. Repeated rows are combined before the shuffle,
+    # so at most ``sample`` rows come back, the same ones in every run.
+    rows = texts.join(F.broadcast(rated), "doc_id").groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
     schema = pa.schema([("doc_id", pa.int64()), ("grade", pa.int32()), ("ids", pa.binary())])
 
     def run(parts):
@@ -185,7 +187,7 @@ def train(docs, labels, sample=SAMPLE):
             ids = [features(t or b"").astype("<i4").tobytes() for t in part.column("text").to_pylist()]
             yield batches.records([part.column("doc_id"), part.column("grade"), ids], schema)
 
-    found = batches.map_arrow(rows, run, "doc_id bigint, grade int, ids binary").limit(2 * sample).collect()
+    found = batches.map_arrow(rows, run, "doc_id bigint, grade int, ids binary").collect()
     found = sorted((r["doc_id"], r["grade"], bytes(r["ids"])) for r in found)
     return fit([np.frombuffer(ids, dtype="<i4") for _, _, ids in found], [g for _, g, _ in found])
 

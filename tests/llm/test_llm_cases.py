@@ -1,6 +1,7 @@
 """Null, empty, long, tied and repeated rows, empty tables and clashing columns, for every operator."""
 
 import hashlib
+import math
 import random
 
 import brute
@@ -454,6 +455,63 @@ def test_classifier_cases(spark, docs, none):
     assert rows(quality_classifier.scores(none, model)) == []
 
 
+def _loss(model, rows, grades):
+    """Mean negative log-likelihood of cumulative logits, by the definition: one probability for each grade."""
+    total = 0.0
+    for ids, g in zip(rows, grades):
+        score = sum(float(model.weights[i]) for i in ids)
+        above = [1.0, *[1 / (1 + math.exp(t - score)) for t in model.thresholds], 0.0]
+        total -= math.log(max(1e-12, above[g] - above[g + 1]))
+    return total / len(rows)
+
+
+def _ordinal(n, seed):
+    """Rows of features and grades drawn from a known model."""
+    rng = np.random.default_rng(seed)
+    weights = np.zeros(1 << quality_classifier.BITS)
+    weights[:40] = np.random.default_rng(1).normal(0, 1.5, 40)
+    truth = quality_classifier.Model(weights, [-1.0, 1.5])
+    drawn = [np.sort(rng.choice(40, 6, replace=False)).astype(np.int32) for _ in range(n)]
+    tails = truth.tails([truth.score(ids) for ids in drawn])
+    return truth, drawn, (rng.random(n)[:, None] < tails).sum(axis=1).tolist()
+
+
+def test_classifier_reaches_the_likelihood_of_the_model_that_made_the_grades():
+    truth, drawn, grades = _ordinal(4000, 2)
+    model = quality_classifier.fit(drawn, grades)
+    shares = np.bincount(grades, minlength=3) / len(grades)
+    blind = -sum(p * math.log(p) for p in shares)
+    best = _loss(truth, drawn, grades)
+    assert np.all(np.diff(model.thresholds) > 0)
+    assert _loss(model, drawn, grades) <= best + 0.05 * (blind - best)
+    _, fresh, known = _ordinal(2000, 3)
+    assert _loss(model, fresh, known) <= _loss(truth, fresh, known) + 0.1 * (blind - best)
+    assert abs(np.corrcoef(model.weights[:40], truth.weights[:40])[0, 1]) > 0.95
+
+
+def test_classifier_scores_equal_the_definition(spark, docs):
+    weights = np.random.default_rng(4).normal(0, 1, 1 << quality_classifier.BITS)
+    model = quality_classifier.Model(weights, [-0.5, 0.25])
+    want = {}
+    for r in docs.select("doc_id", "text").collect():
+        score = sum(weights[i] for i in quality_classifier.features((r["text"] or "").encode()))
+        tails = [1 / (1 + math.exp(-max(-40, min(40, score - t)))) for t in model.thresholds]
+        want.setdefault(r["doc_id"], []).append((round(sum(tails), 9), round(tails[1], 9), tails[1] >= 0.5))
+    got = {}
+    for r in quality_classifier.scores(docs, model).collect():
+        got.setdefault(r["doc_id"], []).append((round(r["expected_grade"], 9), round(r["p_top"], 9), r["kept"]))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_classifier_fits_a_repeated_document_once(spark):
+    rows = [(i, f"word{i % 3} and text number {i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 3 == 1)) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    whole = spark.createDataFrame(rows, "doc_id bigint, text string")
+    again = spark.createDataFrame(rows + [(7, "zz later in bytes")] * 200, "doc_id bigint, text string").repartition(7)
+    one, two = quality_classifier.train(whole, labels), quality_classifier.train(again, labels)
+    assert np.array_equal(one.weights, two.weights) and np.array_equal(one.thresholds, two.thresholds)
+
+
 def test_vocabulary_size_is_checked(spark, monkeypatch):
     monkeypatch.setattr(vocabularies, "MAX_BYTES", 10)
     with pytest.raises(ValueError):
