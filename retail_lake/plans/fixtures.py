@@ -5,6 +5,7 @@ evaluates it in the scan stage, and the same text opens the check SQL.
 """
 
 import os
+import urllib.parse
 
 from pyspark.sql import functions as F
 
@@ -110,8 +111,15 @@ def log_lines(events, log, order, is_global, event):
     return body.unionByName(body.select("log").distinct().select("log", frame).select("log", "m.*"))
 
 
+def empty_folder(spark, folder):
+    """A new folder without files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    return folder
+
+
 def give_names(spark, source, target, suffix):
-    """Move the one file of every folder ``dir=NAME`` of ``source`` to ``target/NAME.suffix``."""
+    """Move the one file of every folder ``dir=NAME`` of ``source`` to ``target/NAME.suffix``; a name may have folders."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(path(target))
@@ -121,4 +129,6 @@ def give_names(spark, source, target, suffix):
             parts = [f.getPath() for f in system.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
             if len(parts) != 1:
                 raise ValueError(f"{len(parts)} files in {name}")
-            system.rename(parts[0], path(f"{target}/{name.removeprefix('dir=')}.{suffix}"))
+            named = path(f"{target}/{urllib.parse.unquote(name.removeprefix('dir='))}.{suffix}")
+            system.mkdirs(named.getParent())
+            system.rename(parts[0], named)

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from retail_lake.functions import names, values
 from retail_lake.operators import access, catalog, filters, ingest, merge, quality, status, versions
+from retail_lake.operators.scan import ROW_BITS
 from retail_lake.schemas import (
     FILE_TYPES, KEY_COLUMNS, LONG_TERM_SECONDS, PAGE_SIZE, SHORT_TERM_SECONDS, STATUS_DOC,
     STATUS_TABLES, STORED_MARKER, STORED_ROW,
 )
 from retail_lake.sinks import snapshot, store
-from retail_lake.sources import files, status_logs, tables
+from retail_lake.sources import files, status_logs, tables, xml_dumps
 
 TABLE = ["table_name", "file_type", "chain"]
 LEDGER = "source_file string, digest string, kind string, batch_id bigint"
@@ -78,11 +79,14 @@ class Lake:
     def quarantined(self):
         """rows set aside because the first row of their table had no keys.
 
-        Such a table has no mark, so each load sets all its rows aside again: the latest load counts.
+        Such a table has no mark, so each load sets all its rows aside again: the latest load counts. Of a dump with
+        rows that are not well formed it is the latest load that read it; their text is the only cell.
         """
         held = self._read("quarantine", QUARANTINE)
-        latest = held.groupBy("table_name").agg(F.max("batch_id").alias("batch_id"))
-        return held.join(latest, ["table_name", "batch_id"]).select(*held.columns)
+        of_dump = F.when(F.map_contains_key("content", F.lit(xml_dumps.BROKEN_TEXT)), F.col("file_name"))
+        held = held.withColumn("_dump", F.coalesce(of_dump, F.lit("")))
+        latest = held.groupBy("table_name", "_dump").agg(F.max("batch_id").alias("batch_id"))
+        return held.join(latest, ["table_name", "_dump", "batch_id"]).select(*held.drop("_dump").columns)
 
     def broken_logs(self):
         """SRC4: status files of the last load that are no status log: name and beginning."""
@@ -117,15 +121,16 @@ class Lake:
             (self.spark.createDataFrame([], schema).write.mode("overwrite")
              .option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(self._path(name)))
 
-    def upload(self, outputs, scraping_status, converting_status, as_of, full_refresh=False):
+    def upload(self, outputs, scraping_status, converting_status, as_of, full_refresh=False, dumps=None, layouts=None):
         """Load what is new in the landing folders; returns the batch id.
 
-        ``as_of`` is the time of the load. ``full_refresh`` starts over from empty tables.
+        ``as_of`` is the time of the load. ``full_refresh`` starts over from empty tables. ``dumps`` is a folder of
+        XML dumps, read as ``layouts`` says: ``{file type: (row tag, columns)}`` (``_load_dumps``).
         """
         if full_refresh or self.last_batch() < 0:
             self.restart()
         batch = self.last_batch() + 1
-        self._load_rows(outputs, batch)
+        self._load_rows(outputs, batch, dumps, layouts or {})
         self._load_status(scraping_status, "ScraperStatus", "GlobalScraperStatus", "scraper", batch)
         self._load_status(converting_status, "ParserStatus", "GlobalParserStatus", "parser", batch)
         commit = self.spark.createDataFrame([(as_of, batch)], COMMITS)
@@ -154,7 +159,38 @@ class Lake:
         fresh = now.join(seen, ["path", "length", "modified"], "left_anti").select("path")
         return sorted(r.path for r in fresh.toLocalIterator())
 
-    def _load_rows(self, outputs, batch):
+    def _load_dumps(self, dumps, layouts, batch, progress):
+        """SRC5: rows of the XML dumps not stored yet: (packed rows, rows set aside, their tables).
+
+        A dump lies in its chain's folder and its name tells the type. It is stored once by chain, type and name
+        (names carry date and time), as a run of its own after the rows so far; a marker says that it is there, also
+        after a restore. Rows are whole, so no cell is filled from the row before. Types without a layout stay.
+        """
+        chain_of = {folder: chain for chain, folder in self.chains.items()}
+        listed = xml_dumps.dump_listing(self.spark, dumps, chain_of)
+        listed = listed.where(F.col("file_type").isin([t for t in self.file_types if t in layouts]))
+        stored = self.markers().select("file_type", "chain", "file_name").distinct()
+        # Kept, so that every step of the load sees the same files; one row per new dump.
+        scratch = f"{self._path('_scratch')}/dumps-{batch}"
+        (listed.join(stored, ["file_type", "chain", "file_name"], "left_anti").write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").parquet(f"{scratch}/listing"))
+        fresh = self.spark.read.parquet(f"{scratch}/listing")
+        paths, held = {}, set()
+        for row in fresh.toLocalIterator():
+            paths.setdefault(row.file_type, []).append(row.path)
+            held.add((row.file_type, row.chain))
+        packed, bad = [], []
+        for kind in sorted(paths):
+            row_tag, columns = layouts[kind]
+            rows = xml_dumps.read_dump_rows(self.spark, sorted(paths[kind]), row_tag, columns, f"{scratch}/{kind}")
+            rows = xml_dumps.table_rows(rows, fresh, progress.select("file_type", "chain", "last_row"))
+            packed.append(ingest.pack_rows(rows.where("_broken IS NULL"), TABLE, columns))
+            text = F.col("_broken").alias(xml_dumps.BROKEN_TEXT)
+            bad.append(ingest.pack_rows(rows.where("_broken IS NOT NULL").select(
+                *TABLE, "row_index", "found_folder", "file_name", text), TABLE, [xml_dumps.BROKEN_TEXT]))
+        return packed, bad, held
+
+    def _load_rows(self, outputs, batch, dumps=None, layouts=None):
         """Number, fill, pack and write the rows past each table's mark.
 
         A table's stored rows all lie at or below its mark, and a retried load replaces its own
@@ -169,17 +205,30 @@ class Lake:
         groups, broken = files.survey_landing(self.spark, fresh)
         loads = [self._load_group(columns, paths, progress, f"{self._path('_scratch')}/batch-{batch}-{n}", broken)
                  for n, (columns, paths) in enumerate(groups)]
+        packed, bad = [p for p, _ in loads], [b for _, b in loads if b is not None]
+        if dumps is not None:
+            of_dumps, broken_rows, tables_held = self._load_dumps(dumps, layouts, batch, progress)
+            both = tables_held & self._tables_of(fresh)
+            if both:
+                raise ValueError(f"tables with new CSV rows and new dumps: {sorted(both)}")
+            packed.extend(rows.repartition("file_type", "chain", F.shiftright("row_index", ROW_BITS[0])) for rows in of_dumps)
+            bad.extend(broken_rows)
         # Without new rows too, the batch is written: an earlier try of it may have left some.
         none = self.spark.createDataFrame([], STORED_ROW)
-        packed = functools.reduce(lambda a, b: a.unionByName(b), [p for p, _ in loads]) if loads else none
+        packed = functools.reduce(lambda a, b: a.unionByName(b), packed) if packed else none
         store.write_rows(packed.withColumn("batch_id", F.lit(batch)).select(*STORED_ROW.names),
                          self._path("rows"), batch, placed=True)
-        bad = [b for _, b in loads if b is not None]
         none = self.spark.createDataFrame([], QUARANTINE)
         store.write_batch(functools.reduce(lambda a, b: a.unionByName(b), bad).withColumn("batch_id", F.lit(batch))
                           if bad else none, self._path("quarantine"), batch)
         self._load_progress(progress, batch)
 
+    def _tables_of(self, paths):
+        """(file type, chain) of the tables of CSV files; as many as the registry at most."""
+        named = self.spark.createDataFrame([(p,) for p in paths], "path string").withColumn(
+            "_t", names.split_table_name(names.table_of_path("path")))
+        return {(r.file_type, r.chain) for r in self._with_enabled_chain(named.select("_t.file_type", "_t.chain")).toLocalIterator()}
+
     def _load_group(self, columns, paths, progress, scratch, broken):
         """Rows past the mark of the files of one header: (packed rows, quarantined rows or None)."""
         content = [c for c in columns if c not in KEY_COLUMNS]
