@@ -282,3 +282,60 @@ def stream_topic(spark, sf_dir):
     return spark.read.parquet(f"{root}/clean").select(
         F.coalesce(F.get_json_object("canonical", "$.event_id"), F.col("value")).alias("id"),
         F.get_json_object("canonical", "$.status").alias("status"))
+
+
+# The times of a stream's three loads, its delay, and the mark that the third one meets.
+LOADS = ("2024-01-10", "2024-01-20")
+_TIMED = (", timed AS (SELECT event_id, ts AS seen_at, event_id % 50 = 0 AS late FROM fx_events UNION ALL SELECT event_id, "
+          "ts + INTERVAL 1 DAY, false FROM fx_events WHERE event_id % 3 = 0 AND event_id % 50 <> 0), mark AS (SELECT "
+          "date_trunc('millisecond', max(seen_at)) - INTERVAL 2 DAY AS w FROM timed WHERE NOT late AND seen_at < TIMESTAMP "
+          f"'{LOADS[1]}')")
+
+
+@query("stream_topic_bounded", with_views(["fx_events"], (
+    f"{_TIMED} SELECT CAST(event_id AS STRING) AS id, status FROM fx_events WHERE event_id % 50 <> 0 OR ts > (SELECT w FROM mark)")))
+def stream_topic_bounded(spark, sf_dir):
+    """ST5: a topic in three loads, each a run from the checkpoint: repeats a day later go, and so do late documents."""
+    docs = view(spark, sf_dir, "fx_events").select(
+        F.lit("events").alias("topic"), "ts", (F.col("event_id") % 50 == 0).alias("late"), "event_id",
+        F.to_json(F.struct("event_id", "status")).alias("value"))
+    again = docs.where("event_id % 3 = 0 AND NOT late").select(
+        "topic", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), "late", "event_id",
+        F.regexp_replace("value", ":", ": ").alias("value"))
+    load = F.when(F.col("late"), 2).when(F.col("ts") < F.lit(LOADS[0]).cast("timestamp_ntz"), 0).when(
+        F.col("ts") < F.lit(LOADS[1]).cast("timestamp_ntz"), 1).otherwise(2)
+    root = shared_dir(spark, "stream-bounded")
+    docs.unionByName(again).select(
+        "topic", F.col("ts").cast("timestamp").alias("ts"), "value", load.alias("load")).write.partitionBy("load").parquet(f"{root}/all")
+    for n in range(3):
+        landing = spark.read.parquet(f"{root}/all/load={n}")
+        landing.write.mode("append").parquet(f"{root}/topic")
+        stream = event_stream.read_stream(spark, f"{root}/topic", landing.schema)
+        event_stream.run_available(event_stream.clean_messages(stream, "ts", "2 days"), f"{root}/clean", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/clean").select(
+        F.get_json_object("canonical", "$.event_id").alias("id"), F.get_json_object("canonical", "$.status").alias("status"))
+
+
+@query("stream_idle_markers", (
+    "WITH arrived AS (SELECT 'chain' || CAST(o_custkey % 20 AS STRING) AS chain, 'PriceFull' || CAST(year(o_orderdate) AS STRING) "
+    "AS file_name, o_orderkey AS row_index, o_orderdate AS seen_at FROM orders), flagged AS (SELECT *, CASE WHEN seen_at <= lag(seen_at) OVER "
+    "(PARTITION BY chain, file_name ORDER BY seen_at, row_index) + INTERVAL 10 DAY THEN 0 ELSE 1 END AS begins FROM arrived), runs AS "
+    "(SELECT *, sum(begins) OVER (PARTITION BY chain, file_name ORDER BY seen_at, row_index ROWS BETWEEN UNBOUNDED PRECEDING AND "
+    "CURRENT ROW) AS run FROM flagged) SELECT chain, file_name, 'true' AS file_complete, count(*) AS total_expected_records, "
+    "min(row_index) AS first_row, max(row_index) AS last_row FROM runs GROUP BY chain, file_name, run HAVING max(seen_at) + "
+    "INTERVAL 10 DAY <= (SELECT max(seen_at) - INTERVAL 1 DAY FROM arrived)"))
+def stream_idle_markers(spark, sf_dir):
+    """ST4: rows in three loads; the marker of a file comes once it had no row for ten days."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("chain"), (F.col("o_custkey") % 20).cast("string")).alias("chain"),
+        F.concat(F.lit("PriceFull"), F.year("o_orderdate").cast("string")).alias("file_name"),
+        F.col("o_orderkey").alias("row_index"), F.col("o_orderdate").cast("timestamp").alias("at"))
+    root = shared_dir(spark, "idle-markers")
+    load = F.when(F.year("at") < 1997, 0).when(F.year("at") < 1999, 1).otherwise(2)
+    rows.select("*", load.alias("load")).write.partitionBy("load").parquet(f"{root}/all")
+    for n in range(3):
+        spark.read.parquet(f"{root}/all/load={n}").write.mode("append").parquet(f"{root}/landing")
+        stream = event_stream.read_stream(spark, f"{root}/landing", rows.schema)
+        event_stream.run_available(marker_stream.idle_markers(stream, ["chain"], "at", "10 days", "1 day"),
+                                   f"{root}/markers", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/markers")

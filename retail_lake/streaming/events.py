@@ -64,10 +64,14 @@ def topic_writer(target, topic, key="file_name", cols=None, fmt="parquet", **opt
 
 
 def run_available(stream, sink, checkpoint, **options):
-    """Run a stream over all input there is, then stop. ``sink`` is a path or a batch function."""
+    """Run a stream over all input there is, then stop; returns the query, whose progress can be read.
+
+    ``sink`` is a path or a batch function.
+    """
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if callable(sink):
         started = writer.foreachBatch(sink).start()
     else:
         started = writer.format("parquet").outputMode("append").options(**options).start(sink)
     started.awaitTermination()
+    return started

@@ -38,6 +38,18 @@ def marker_writer(spark, root, by, schema, order="row_index", key="file_name", b
     return write
 
 
+def idle_markers(rows, by, ts, gap, delay, order="row_index", key="file_name"):
+    """ST4: markers by time: a file is complete once no row of it has come for ``gap``, though none follows it.
+
+    A stream of rows with their keys and a time ``ts``; rows late by more than ``delay`` are left out. The state
+    holds one row per open file, aggregated before it is shuffled, and is forgotten with the marker. Rows of a
+    file that stand apart by more than ``gap`` are runs of their own; nearer ones are one run, whatever lies between.
+    """
+    runs = rows.withWatermark(ts, delay).groupBy(*by, key, F.session_window(ts, gap)).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(order).alias("first_row"), F.max(order).alias("last_row"))
+    return _markers(runs, by)
+
+
 def open_runs(spark, root, batch_id, open_schema):
     """The open run of each table after a batch; none before the first batch."""
     try:

@@ -73,3 +73,39 @@ def test_bounded_batches_lose_nothing(spark, tmp_path, option):
     spark.range(100).repartition(5).write.parquet(landing)
     events.run_available(events.read_stream(spark, landing, "id bigint", **option), out, check)
     assert spark.read.parquet(out).distinct().count() == 100
+
+
+def test_state_of_a_bounded_topic_does_not_grow(spark, tmp_path):
+    """Five days of documents, a run of the stream for each: repeats within the delay go, old ids are forgotten."""
+    landing, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema, held = "topic string, ts timestamp, value string", []
+    for day in range(1, 6):
+        rows = [("t", f"2024-01-0{day} {n:02d}:00:00", f'{{"id": {day * 100 + n}}}') for n in range(20)]
+        rows += [("t", f"2024-01-0{day} {n:02d}:30:00", f'{{"id":{day * 100 + n}}}') for n in range(20)]
+        if day == 5:
+            rows.append(("t", "2024-01-01 00:00:00", '{"id": 1}'))  # four days late
+        sent = spark.createDataFrame(rows, "topic string, at string, value string")
+        sent.select("topic", F.to_timestamp("at").alias("ts"), "value").write.mode("append").parquet(landing)
+        stream = events.clean_messages(events.read_stream(spark, landing, schema), "ts", "1 day")
+        ran = events.run_available(stream, out, check)
+        held.append(ran.lastProgress.stateOperators[0].numRowsTotal)
+    assert spark.read.parquet(out).count() == 100
+    assert max(held) <= 40 and held[-1] <= held[1]
+
+
+def test_a_marker_comes_without_a_next_row(spark, tmp_path):
+    """The last file of a table is complete once its time is over, told by rows of another table."""
+    landing, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = "table_name string, file_name string, row_index bigint, at timestamp"
+    batches = [[("t", "a", 0, "00:00"), ("t", "a", 1, "00:05"), ("u", "x", 0, "00:06")],
+               [("t", "a", 2, "00:09"), ("u", "x", 1, "00:12")],
+               [("u", "y", 2, "01:00")]]
+    seen = []
+    for rows in batches:
+        some = spark.createDataFrame(rows, "table_name string, file_name string, row_index bigint, at string")
+        (some.withColumn("at", F.to_timestamp(F.concat(F.lit("2024-01-01 "), "at"))).write.mode("append").parquet(landing))
+        stream = events.read_stream(spark, landing, schema)
+        events.run_available(markers.idle_markers(stream, ["table_name"], "at", "10 minutes", "1 minute"), out, check)
+        seen.append(sorted((r.table_name, r.file_name, r.total_expected_records, r.first_row, r.last_row)
+                           for r in spark.read.parquet(out).collect()))
+    assert seen == [[], [], [("t", "a", 3, 0, 2), ("u", "x", 2, 0, 1)]]
