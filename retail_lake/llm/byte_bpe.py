@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retail_lake.llm import batches, pretokens, vocabularies
+from retail_lake.llm.scratch import all_columns
 
 
 def encode_texts(cache, texts):
@@ -51,14 +52,23 @@ def digests(spark, docs, path):
     return batches.map_arrow(rows, run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
+def free_name(name, taken):
+    """``name`` with as many underscores in front as make it none of ``taken``."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def encode_documents(spark, docs, path, ids="token_ids", decoded="decoded_text"):
     """All columns of ``docs`` and two more: the ids of ``text``, and the text those ids decode to.
 
-    The names of the new columns must be free in ``docs``.
+    Where ``docs`` has a column of one of these names, whatever its case, the new column gets underscores in
+    front until its name is free; the column of ``docs`` stays as it is.
     """
-    for name in (ids, decoded):
-        if name.lower() in map(str.lower, docs.columns):
-            raise ValueError(f"the documents have a column '{name}' already")
+    ids = free_name(ids, docs.columns)
+    decoded = free_name(decoded, [*docs.columns, ids])
+    both = free_name("coded", docs.columns)
     batches.importable(spark)
     sent = vocabularies.send(spark, path)
     kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False), False),
@@ -77,5 +87,5 @@ def encode_documents(spark, docs, path, ids="token_ids", decoded="decoded_text")
             [pa.array(encoded, type=pa.list_(pa.int32())), pa.array(words, type=pa.string())],
             names=["ids", "text"])
 
-    return docs.withColumn("_coded", coded(F.col("text").cast("string"))).select(
-        *docs.columns, F.col("_coded.ids").alias(ids), F.col("_coded.text").alias(decoded))
+    return docs.withColumn(both, coded(F.col("text").cast("string"))).select(
+        *all_columns(docs), F.col(both)["ids"].alias(ids), F.col(both)["text"].alias(decoded))

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from retail_lake.llm.scratch import written
+from retail_lake.llm.scratch import all_columns, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 REPEATS = 3
@@ -158,7 +158,7 @@ def mixed_documents(docs, weights=WEIGHTS, repeats=REPEATS):
     plan = plan.withColumn("_nth", F.row_number().over(nth.orderBy(F.desc("n_copies"))))
     plan = plan.select(*[k.alias(f"_k{i}") for i, k in enumerate(key)], F.col("_nth"), "n_copies").where("n_copies > 0")
     rows = docs.select(
-        F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("bigint").alias("_id"),
+        F.struct(*all_columns(docs)).alias("_row"), F.col("doc_id").cast("bigint").alias("_id"),
         F.col("source").cast("string").alias("_source"),
         F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint").alias("_size"))
     rows = rows.withColumn("_nth", F.row_number().over(nth.orderBy(F.xxhash64("_row"))))

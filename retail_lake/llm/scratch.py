@@ -1,5 +1,7 @@
 """Intermediate tables in the shared folder of the session."""
 
+from pyspark.sql import functions as F
+
 from retail_lake.session import shared_dir
 
 # Folders written in this session and not dropped yet, oldest first.
@@ -23,6 +25,11 @@ def written(df, name):
     return written_at(df, name)[0]
 
 
+def all_columns(df):
+    """The columns of ``df``, also where a name has a dot or a backtick."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def drop(spark, paths):
     """Delete folders that nothing reads any more."""
     for path in paths:

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from retail_lake.llm import batches
-from retail_lake.llm.scratch import written
+from retail_lake.llm.scratch import all_columns, written
 
 LENGTH = 100
 GRAM = 24
@@ -510,7 +510,8 @@ def deduplicated_documents(docs):
     Documents of which nothing is left are left out; those that were empty before stay.
     """
     others = [c for c in docs.columns if c != "text"]
-    rows = numbered(docs.select("doc_id", "text", F.struct(*others).alias("others")))
+    rest = [c for c, name in zip(all_columns(docs), docs.columns) if name != "text"]
+    rows = numbered(docs.select("doc_id", "text", F.struct(*rest).alias("others")))
     kept = _applied(rows, with_text=True).select("ord", "kept_text", (F.col("n_removed") == F.col("n_bytes")).alias("all"), "n_removed")
     joined = rows.select("ord", "others", F.col("text").isNull().alias("none")).join(kept, "ord")
     joined = joined.where(~F.col("all") | (F.col("n_removed") == 0))

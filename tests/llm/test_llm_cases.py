@@ -90,8 +90,9 @@ def test_byte_bpe_round_trip(spark, docs, none):
     assert full.columns == [*docs.columns, "token_ids", "decoded_text"]
     assert all(r["decoded_text"] == (r["text"] or "") for r in full.collect())
     assert rows(byte_bpe.encode_documents(spark, none, path)) == []
-    with pytest.raises(ValueError):
-        byte_bpe.encode_documents(spark, full, path)
+    again = byte_bpe.encode_documents(spark, full.withColumnRenamed("decoded_text", "Decoded_Text"), path)
+    assert again.columns == [*docs.columns, "token_ids", "Decoded_Text", "_token_ids", "_decoded_text"]
+    assert all(r["token_ids"] == r["_token_ids"] and r["Decoded_Text"] == r["_decoded_text"] for r in again.collect())
 
 
 @pytest.fixture(scope="module")
