@@ -33,16 +33,21 @@ _NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
 _JSON_TOKEN = rf"(?s){_STRING}|{_NUMBER}|true|false|null|[{{}}\[\]:,]"
 # The same, and what stands between strings and numbers as it is.
 _ANY_TOKEN = rf'(?s){_STRING}|{_NUMBER}|[^"0-9-]++|.'
-# Parts of canonical JSON.
-_PARTS = rf'(?s){_STRING}|[^"]++'
+_BODY = r'[^"\\]*+(?:\\.[^"\\]*+)*+"'
+# What stands before a number, strings whole, and the number.
+_NUMBERS = rf'(?s)\G((?:[^"0-9-]++|{_STRING}|"|-(?![0-9]))*+)({_NUMBER})'
+# A marked string or number of canonical JSON.
+_MARKED = rf'(?s)(")s({_BODY})|"n([^"]*+)"'
 
 
 def _is_string(token):
     return token.startswith('"') & (F.length(token) > 1)
 
 
-def _is_number(token):
-    return F.rlike(token, F.lit("^-?[0-9]"))
+def once(value, use):
+    """``use(value)`` with the value computed once, however often it is used: an optimizer that merges projections
+    would write out its expression at each place."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _sorted_document(text):
@@ -51,18 +56,15 @@ def _sorted_document(text):
     The parser would round numbers, so they pass as strings, told from real ones by a first letter. In
     brackets nothing may stand behind the document.
     """
-    marked = F.array_join(F.transform(
-        F.regexp_extract_all(text, F.lit(_ANY_TOKEN), F.lit(0)),
-        lambda t: F.when(_is_string(t), F.concat(F.lit('"s'), F.substring(t, 2, 1 << 30)))
-        .when(_is_number(t), F.concat(F.lit('"n'), t, F.lit('"'))).otherwise(t)), "")
-    parsed = F.to_json(F.try_parse_json(F.concat(F.lit("["), marked, F.lit("]"))))
-    plain = F.array_join(F.transform(
-        F.regexp_extract_all(parsed, F.lit(_PARTS), F.lit(0)),
-        lambda t: F.when(t.startswith('"s'), F.concat(F.lit('"'), F.substring(t, 3, 1 << 30)))
-        .when(t.startswith('"n'), F.substr(t, F.lit(3), F.length(t) - 3))
-        .otherwise(t)), "")
-    # An array of one member, or the text was none or several documents.
-    return F.when(F.json_array_length(parsed) == 1, F.substr(plain, F.lit(2), F.length(plain) - 2))
+    strings = F.regexp_replace(text, F.lit(rf'(?s)"({_BODY})'), F.lit('"s$1'))
+    marked = F.regexp_replace(strings, F.lit(_NUMBERS), F.lit('$1"n$2"'))
+
+    def plain(parsed):
+        unmarked = F.regexp_replace(parsed, F.lit(_MARKED), F.lit("$1$2$3"))
+        # An array of one member, or the text was none or several documents.
+        return F.when(F.json_array_length(parsed) == 1, once(unmarked, lambda t: F.substr(t, F.lit(2), F.length(t) - 2)))
+
+    return once(F.to_json(F.try_parse_json(F.concat(F.lit("["), marked, F.lit("]")))), plain)
 
 
 _FRAME = "struct<is_object:boolean,keys:array<string>,items:array<string>>"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from retail_lake.functions.values import canonical_json
+from retail_lake.functions.values import canonical_json, once
 
 
 def read_messages(spark, target, fmt="parquet", **options):
@@ -45,7 +45,9 @@ def clean_topic(df, value="value", topic="topic", ts=None, delay=None):
     Works on a stream too, where the seen digests are kept in checkpointed state; ``ts`` and ``delay``
     bound that state for a stream whose repeats come within ``delay``.
     """
-    tagged = with_canonical(drop_control_messages(df, value), value).withColumn("digest", F.sha2("canonical", 256))
+    # A generator's columns are computed once: no filter on them is pushed to where they are made.
+    told = once(canonical_json(value), lambda c: F.struct(c.alias("canonical"), F.sha2(c, 256).alias("digest")))
+    tagged = drop_control_messages(df, value).select("*", F.inline(F.array(told)))
     keys = [topic, "digest"] if topic in df.columns else ["digest"]
     if not df.isStreaming:
         # One pass: raw text has a key of its own, so that it is never a repeat.
