@@ -1,5 +1,9 @@
 """What a load, a log and a topic compute once: their plans, and the canonical form against the fold over tokens."""
 
+import json
+import threading
+
+import pytest
 from pyspark.sql import functions as F
 
 from retail_lake.functions import values
@@ -72,3 +76,67 @@ def test_events_of_a_load_are_parsed_once_for_both_tables(spark, tmp_path, monke
 def _written(df, path, batch_id, partitions=()):
     writer = df.drop("batch_id").write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(f"{path}/batch_id={batch_id}")
+
+
+def _logs(folder, **logs):
+    folder.mkdir(parents=True, exist_ok=True)
+    for name, events in logs.items():
+        (folder / f"{name}.json").write_text(json.dumps({"events": events, "global_status": []}))
+    return str(folder)
+
+
+def test_logs_of_both_kinds_are_read_in_one_pass(spark, tmp_path, monkeypatch):
+    # Logs of one name in two folders are two logs, and one that both kinds list counts for both.
+    (tmp_path / "out").mkdir()
+    scraped, parsed = _logs(tmp_path / "s", a=[{"task_id": "1"}]), _logs(tmp_path / "p", a=[{"task_id": "1"}, {"task_id": "2"}], b=[])
+    (tmp_path / "p" / "bad.json").write_text("[1]")
+    calls, read = [], status_logs.read_logs
+    monkeypatch.setattr(status_logs, "read_logs", lambda s, found, *a, **k: calls.append(len(found)) or read(s, found, *a, **k))
+    lake = Lake(spark, str(tmp_path / "lake"), {"alpha": "alpha"})
+
+    def stored():
+        return {kind: sorted(r.task_id for r in lake.status(f"{kind}Status").collect()) for kind in ("Scraper", "Parser")}
+
+    lake.upload(str(tmp_path / "out"), scraped, parsed, as_of="2024-01-01 00:00:00")
+    assert calls == [4] and stored() == {"Scraper": ["1"], "Parser": ["1", "2"]}
+    assert [(r.source_file, r.kind) for r in lake.broken_logs().collect()] == [("bad.json", "parser")]
+    assert (lake.ledger("scraper").count(), lake.ledger("parser").count()) == (1, 2)
+    lake.upload(str(tmp_path / "out"), parsed, parsed, as_of="2024-01-02 00:00:00")
+    assert calls == [4, 3] and stored() == {"Scraper": ["1", "2"], "Parser": ["1", "2"]}
+
+
+def test_pieces_of_a_log_are_sorted_twice_at_most(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(status_logs, "PIECE_BITS", (1, 1))
+    items = {"x": [{"q": "}]{"}, "}"], "events": [{"n": i, "r": [{"f": "\\\"]}"}]} for i in range(9)], "y": {"events": [{}, {}]},
+             "global_status": [1, "t", {"n": "g"}, []]}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps(items))
+    (tmp_path / "in" / "b.json").write_text('{"events":[' + ",".join(f'{{"n":{i}}}' for i in range(9)) + '],"global_status":[{"n":"g"}]} {}')
+    tables, kept = [], status_logs._kept
+    monkeypatch.setattr(status_logs, "_kept", lambda df, path: tables.append(path.rsplit("/", 1)[1]) or kept(df, path))
+    rows, broken = status_logs.read_logs(spark, str(tmp_path / "in"), str(tmp_path / "scratch"))
+    got = [(r.source_file, r.part, json.loads(r.payload) if r.payload != "t" else "t") for r in rows.orderBy("source_file", "seq").collect()]
+    assert got == [("a.json", part, e) for part in ("events", "global_status") for e in items[part]]
+    assert [r.source_file for r in broken.collect()] == ["b.json"]
+    # ``marked`` and ``leveled`` alone have a row per piece; those between have one per bucket.
+    assert tables == ["marked", "turns", "begun", "leveled", "cuts", "cut", "segments", "parsed", "totals", "opened", "checked"]
+
+
+def test_rows_and_logs_are_loaded_at_once(spark, tmp_path, monkeypatch):
+    # Each step waits until the other has begun; one that fails leaves the load uncommitted.
+    for name in ("out", "logs"):
+        (tmp_path / name).mkdir()
+    both = threading.Barrier(2, timeout=60)
+    monkeypatch.setattr(Lake, "_load_rows", lambda self, *a: both.wait())
+    monkeypatch.setattr(Lake, "_load_status", lambda self, *a: both.wait())
+    lake = Lake(spark, str(tmp_path / "lake"), {"alpha": "alpha"})
+    assert lake.upload(str(tmp_path / "out"), str(tmp_path / "logs"), str(tmp_path / "logs"), as_of="2024-01-01 00:00:00") == 0
+
+    def fails(self, *a):
+        raise RuntimeError("rows")
+
+    monkeypatch.setattr(Lake, "_load_rows", fails)
+    monkeypatch.setattr(Lake, "_load_status", lambda self, *a: None)
+    with pytest.raises(RuntimeError, match="rows"):
+        lake.upload(str(tmp_path / "out"), str(tmp_path / "logs"), str(tmp_path / "logs"), as_of="2024-01-02 00:00:00")
+    assert lake.last_batch() == 0
