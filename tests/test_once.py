@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retail_lake.functions import values
+from retail_lake.operators import status
 from retail_lake.plans.lake import Lake
 from retail_lake.sources import files, status_logs
 from retail_lake.sources.topic import clean_topic
@@ -140,3 +141,35 @@ def test_rows_and_logs_are_loaded_at_once(spark, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError, match="rows"):
         lake.upload(str(tmp_path / "out"), str(tmp_path / "logs"), str(tmp_path / "logs"), as_of="2024-01-02 00:00:00")
     assert lake.last_batch() == 0
+
+
+def test_documents_are_looked_up_in_the_ledger_without_a_join(spark):
+    # Of copies the lowest number is kept, one without a number last; a missing file or digest is a value of its own.
+    events = spark.createDataFrame(
+        [("k", "a", "1", 5, "late"), ("k", "a", "1", 2, "early"), ("k", "a", "1", None, "none"), ("k", "a", "2", 1, "held"),
+         ("m", "a", "2", 1, "other kind"), ("k", None, "2", 1, "no file"), ("k", None, None, 1, "held too"), ("k", "a", "3", None, "alone")],
+        "kind string, source_file string, digest string, seq bigint, payload string")
+    ledger = spark.createDataFrame([("k", "a", "2"), ("k", "a", "2"), ("k", None, None), ("m", "b", "1")],
+                                   "kind string, source_file string, digest string")
+    found = status.new_events(events, ledger, "seq", ["kind"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.payload for r in found.collect()) == ["alone", "early", "no file", "other kind"]
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    # Rows that are not the first of their key stay where they are.
+    assert "WindowGroupLimit" in plan
+    assert sorted(r.digest for r in status.new_events(events, ledger.drop("kind")).select("digest").collect()) == ["1", "2", "3"]
+
+
+def test_rows_of_a_load_are_cut_into_runs_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "out").mkdir()
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "out" / "price_full_file_alpha.csv").write_text("found_folder,file_name,a\nd,f,1\n,,2\nd,g,3\n")
+    plans = {}
+    monkeypatch.setattr("retail_lake.sinks.store.write_batch", lambda df, path, *args: plans.update(
+        {path.rsplit("/", 1)[1]: _optimized(df)}) or _written(df, path, *args))
+    lake = Lake(spark, str(tmp_path / "lake"), {"alpha": "alpha"})
+    lake.upload(str(tmp_path / "out"), str(tmp_path / "logs"), str(tmp_path / "logs"), as_of="2024-01-01 00:00:00")
+    assert "Window" not in plans["markers"] and "Window" not in plans["progress"]
+    assert sorted((r.file_name, r.total_expected_records, r.first_row) for r in lake.markers().collect()) == [("f", 2, 0), ("g", 1, 2)]
+    state = lake.progress().first()
+    assert (state.last_row, state.file_name, state.first_row, state.n_rows, state.content) == (2, "g", 2, 1, {"a": "3"})
