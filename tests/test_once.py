@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from retail_lake.functions import values
 from retail_lake.operators import status
+from retail_lake.plans import lake_queries
 from retail_lake.plans.lake import Lake
 from retail_lake.sources import files, status_logs
 from retail_lake.sources.topic import clean_topic
@@ -173,3 +174,17 @@ def test_rows_of_a_load_are_cut_into_runs_once(spark, tmp_path, monkeypatch):
     assert sorted((r.file_name, r.total_expected_records, r.first_row) for r in lake.markers().collect()) == [("f", 2, 0), ("g", 1, 2)]
     state = lake.progress().first()
     assert (state.last_row, state.file_name, state.first_row, state.n_rows, state.content) == (2, "g", 2, 1, {"a": "3"})
+
+
+def test_queries_with_a_lake_of_their_own_do_not_wait_for_the_other(spark, tmp_path, monkeypatch):
+    # Each lake waits until the other has begun.
+    for query in (lake_queries.lake_reload, lake_queries.lake_restore):
+        both = threading.Barrier(2, timeout=60)
+        uploads = []
+        monkeypatch.setattr(lake_queries, "landed_of", lambda *a: [("out", "logs")], raising=False)
+        monkeypatch.setattr(lake_queries, "lake_of", lambda *a: both.wait())
+        monkeypatch.setattr(Lake, "upload", lambda self, *a, **k: uploads.append(a) or (len(uploads) == 1 and both.wait()))
+        for step in ("publish", "clear_ledger", "load_version"):
+            monkeypatch.setattr(Lake, step, lambda self, *a: None)
+        query(spark, str(tmp_path))
+        assert len(uploads) == (1 if query is lake_queries.lake_reload else 3)
