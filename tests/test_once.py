@@ -42,6 +42,36 @@ def test_sorted_and_folded_forms_agree(spark):
     assert all(r.a is None for r in rows if r.v in no)
 
 
+def test_plain_documents_are_sorted_without_a_parser(spark, monkeypatch):
+    # Every text that the short way takes has the parser's form; the others go the long way.
+    plain = ['{"b":1,"a":"x y","a_1":null,"A":[1.0,-0,1e5,"é",true]}', '{"r":{"z":[],"b":"}","a":-1.5E+10},"e":{},"c":""}', "{}",
+             '{"n":12345678901234567890123456789012345678901234567890,"a":"n1,b:{["}', '{"k":"' + "x" * 60_000 + '","a":1}',
+             "{" + ",".join(f'"k{i}":[{i}]' for i in range(5_000)) + "}"]
+    other = ['{"a":1,"a":2}', '{"b":{"a":1,"a":2}}', '{"a": 1}', '{"a":"\\n"}', '{"a":"\t"}', '{"a b":1}', '{"a":[{"c":1,"b":2}]}', '{"a":{"b":{}}}', "[1]",
+             '{"a":01}', '{"a":1.}', '{"a":1,}', '{"a":1}{}', '{"a":1', '{"a":1}\n', "1", ""]
+    df = spark.createDataFrame([(d,) for d in plain + other], "v string")
+    rows = df.select("v", values._plain_document(F.col("v")).alias("a"), values._sorted_document(F.col("v")).alias("b")).collect()
+    assert all(r.a is not None and r.a == r.b for r in rows if r.v in plain)
+    assert all(r.a is None for r in rows if r.v in other)
+    monkeypatch.setattr(values, "_sorted_document", lambda text: F.raise_error(F.lit("parsed")).cast("string"))
+    docs = df.where(F.col("v").isin(plain)).select(values.canonical_json("v").alias("c")).collect()
+    assert sorted(r.c for r in docs) == sorted(r.b for r in rows if r.v in plain)
+
+
+def test_what_stands_between_two_brackets_is_matched_once(spark):
+    texts = ['{"a":1,"b":"}{","c":["x","y]"],"d":', 'in } side","e":"{"}]', "", '"', '""[', 'a"b{"c}"d"{', '"' + "{" * 50_000 + '"}']
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    rows = df.select("v", status_logs._brackets("v").alias("out"), status_logs._brackets("v", inside=True).alias("inner"),
+                     F.regexp_count("v", F.lit(status_logs._NO_BRACKETS)).alias("n")).collect()
+
+    def brackets(text, inside):
+        return "".join(c for i, part in enumerate(text.split('"')) if (i % 2 == 1) == inside for c in part if c in "{}[]")
+
+    for r in rows:
+        assert (r.out, r.inner) == (brackets(r.v, False), brackets(r.v, True))
+        assert r.n <= len(r.out) + 1
+
+
 def test_a_log_is_cut_into_buckets_for_many_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(status_logs, "PIECE_BITS", (3, 2))
     (tmp_path / "in").mkdir()
