@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from retail_lake.session import shared_dir
+from retail_lake.session import shared_dir, without_old_shuffles
 
 # Folders written in this session and not dropped yet, oldest first.
 _held = []
@@ -12,8 +12,9 @@ def written_at(df, name):
     """``df`` written once as Parquet under the shared scratch folder and read back, and its folder.
 
     What follows no longer depends on the lineage before, so a lost executor costs no more than its
-    own tasks. The folder comes from ``spark.checkpoint.dir``.
+    own tasks. The folder comes from ``spark.checkpoint.dir``. Shuffle files go as soon as the table is written.
     """
+    without_old_shuffles(df.sparkSession)
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     _held.append(path)

@@ -5,8 +5,15 @@ other member. ``confirmed`` checks the stars. A list that this makes one compone
 a list of two. Of the others, ``remaining`` compares the members that are not linked yet, in blocks of a
 bounded size, each block with each that may hold a link. Nothing is capped: a large group that is alike but
 not near costs all its pairs, spread over tasks of two blocks.
+
+The more sets, the more candidates are so by chance, and in a large table they chain groups to one. ``finer`` cuts a
+group of many blocks before its pairs are compared. Similar sets share one of the rarest members of each, as many as
+may be missing in the other and one more; so sets with enough members of their own have no partner, and of the others
+only those go on together that are connected by such members. No similar pair is parted.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,13 +21,20 @@ from pyspark.sql import functions as F
 
 from retail_lake.llm import batches
 from retail_lake.llm.components import components
-from retail_lake.llm.scratch import written
+from retail_lake.llm.scratch import drop, written, written_at
 from retail_lake.llm.shingles import set_name, shingle_set
+from retail_lake.operators.sizing import broadcast_if_small
 
 # Bytes of shingle hashes, with ROW_BYTES more for each set, that a block of a group holds.
 BLOCK_BYTES, ROW_BYTES = 4 << 20, 2048
 # Edges of a hub that one task checks.
 HUB_EDGES = 4096
+# Edges are checked in rounds of about so many, but not in more rounds than this.
+ROUND_EDGES, ROUNDS = 400_000, 8
+# A group with more blocks than this outside of its largest part is cut finer; members are counted in so many slices,
+# and those of so many slices tell that a set has no partner.
+WIDE = 4
+SLICES, TELLING = 8, 4
 # The filter of documents whose sets are cut again has at most 2 ** FILTER_BITS bits (16 MB); when it is
 # full, more documents are cut than are needed, and the join after it still keeps the right ones.
 FILTER_BITS = 27
@@ -33,37 +47,44 @@ def similar(both, one, other, percent):
     return (100 + percent) * both >= percent * (one + other)
 
 
-def _filter(ids):
-    """The doc_ids of ``ids`` as a bit field, and the same hash for ``_passes``."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    words = ids.select(F.shiftright(place, 6).alias("word"),
-                       F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int")).alias("bit"))
+def id_filter(ids):
+    """The doc_ids of ``ids`` as a broadcast bit field, and the place of a doc_id in it."""
+    def place(doc_id):
+        return F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS))
+
+    at = place(F.col("doc_id"))
+    words = ids.select(F.shiftright(at, 6).alias("word"),
+                       F.call_function("shiftleft", F.lit(1).cast("bigint"), (at % 64).cast("int")).alias("bit"))
     field = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
     table = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most one row per word
     field[table.column("word").to_numpy()] = table.column("bits").to_numpy()
     return ids.sparkSession.sparkContext.broadcast(field), place
 
 
+def passes(field, at):
+    """Whether the bits at the places ``at`` of a field are set."""
+    return (field[at >> 6] >> (at & 63)) & 1 != 0
+
+
 def shingle_sets(docs, inside, shingle):
     """node and shingles of each node of ``inside`` (node, doc_id), cut anew from its document.
 
     Texts are not shuffled: a bit field of the wanted doc_ids goes to the scan instead.
     """
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
-    sent, place = _filter(inside.where("doc_id IS NOT NULL").select("doc_id"))
+    sent, place = id_filter(inside.where("doc_id IS NOT NULL").select("doc_id"))
 
     def run(parts):
         field = sent.value
         for part in parts:
-            at = part.column("place").to_numpy()
-            wanted = (field[at >> 6] >> (at & 63)) & 1 != 0
+            wanted = passes(field, part.column("place").to_numpy())
             wanted |= part.column("unnamed").to_numpy(zero_copy_only=False)
             for own in batches.chunks([part.filter(pa.array(wanted))], "text"):
                 sets = [shingle_set(t or b"", shingle) for t in own.column("text").to_pylist()]
                 yield batches.records([[set_name(s) for s in sets], [s.view(np.int64) for s in sets]], schema)
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    texts = texts.select("text", place.alias("place"), F.col("doc_id").isNull().alias("unnamed"))
+    texts = texts.select("text", place(F.col("doc_id")).alias("place"), F.col("doc_id").isNull().alias("unnamed"))
     sets = batches.map_arrow(texts, run, "node bigint, shingles array<bigint>")
     return inside.select("node").join(sets, "node").dropDuplicates(["node"])
 
@@ -115,14 +136,11 @@ def stars(parts):
 
 
 def confirmed(edges, sets, percent):
-    """(a, b): the pairs of ``edges`` (hub, other) whose sets are similar; a hub with many edges is salted."""
+    """(a, b): the pairs of ``edges`` (hub, other) whose sets are similar, written; a hub with many edges is salted."""
     hubs = edges.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / HUB_EDGES).alias("salts"))
-    own = hubs.join(sets.withColumnRenamed("node", "hub"), "hub").select(
-        "hub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"), F.col("hub").alias("node"),
-        F.lit(0).alias("kind"), "shingles")
-    others = edges.join(hubs, "hub").join(sets.withColumnRenamed("node", "other"), "other").select(
-        "hub", F.expr("pmod(xxhash64(other), salts)").alias("salt"), F.col("other").alias("node"), F.lit(1).alias("kind"), "shingles")
-    rows = own.unionAll(others).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "kind")
+    salted = edges.join(hubs, "hub").select("hub", F.expr("pmod(xxhash64(other), salts)").alias("salt"), "other")
+    salted = written(salted, "salted-edges")
+    rounds = min(ROUNDS, salted.count() // ROUND_EDGES + 1)
 
     def run(parts):
         hub, held = None, None
@@ -140,7 +158,15 @@ def confirmed(edges, sets, percent):
                         b.append(node)
             yield batches.records([a, b], _LINKS)
 
-    return batches.map_arrow(rows, run, "a bigint, b bigint")
+    def checked(some):
+        own = some.select("hub", "salt").distinct().select("hub", "salt", F.col("hub").alias("node"), F.lit(0).alias("kind"))
+        asked = own.unionAll(some.select("hub", "salt", F.col("other").alias("node"), F.lit(1).alias("kind")))
+        rows = broadcast_if_small(asked).join(sets, "node").select("hub", "salt", "node", "kind", "shingles")
+        rows = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "kind")
+        return written(batches.map_arrow(rows, run, "a bigint, b bigint"), "confirmed-links")
+
+    at = F.pmod(F.xxhash64("hub", "salt"), F.lit(rounds))
+    return reduce(lambda a, b: a.unionAll(b), [checked(salted.where(at == n)) for n in range(rounds)])
 
 
 def _block_links(parts, percent):
@@ -191,24 +217,72 @@ def _block_links(parts, percent):
         yield from found(held)
 
 
-def remaining(sets, groups, parts, percent):
-    """(a, b): links between different ``parts`` (a, b: node and part) of one group of ``groups`` (a, b: node and root).
+def _alone(sets, percent):
+    """node of the sets that have more members in no other set than a similar one may miss; a part of them."""
+    def counted(n):
+        rows = sets.select("node", F.explode("shingles").alias("token")).where(F.col("token").bitwiseAND(SLICES - 1) == n)
+        rows = rows.groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
+        return written(rows.groupBy("node").count(), "own-members")
 
-    The sets of a group are dealt into blocks; blocks of its largest part, which is linked already, do not
-    meet each other, all others do.
-    """
+    own = reduce(lambda a, b: a.unionAll(b), [counted(n) for n in range(TELLING)])
+    own = own.groupBy("node").agg(F.sum("count").alias("own")).join(sets.select("node", F.size("shingles").alias("size")), "node")
+    return own.where(100 * F.col("own") > (100 - percent) * F.col("size")).select("node")
+
+
+def finer(sets, wide, percent):
+    """(a, b): of groups ``wide`` (node, root, size) the nodes that may have a similar one, but the least of each finer group, and that least."""
+    left = written(wide.join(_alone(sets, percent), "node", "left_anti"), "finer-nodes")
+    own = written(broadcast_if_small(left.select("node", "root")).join(sets, "node"), "finer-sets")
+
+    def common(n):
+        rows = own.select("root", "node", F.explode("shingles").alias("token")).where(F.col("token").bitwiseAND(SLICES - 1) == n)
+        rows = rows.select(F.xxhash64("root", "token").alias("key"), "node")
+        return written(rows.join(rows.groupBy("key").count().where("count > 1"), "key"), "common-members")
+
+    shared = reduce(lambda a, b: a.unionAll(b), [common(n) for n in range(SLICES)])
+    shared = shared.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("count", "key")))["key"].alias("keys"))
+    # Members of one set alone are the rarest, and come first.
+    rest = F.floor((100 - percent) * F.col("size") / 100) + 1 - (F.col("size") - F.size("keys"))
+    rarest = shared.join(left.select("node", "size"), "node").withColumn("rest", rest.cast("int")).where("rest > 0")
+    rarest = written(rarest.select("node", F.explode(F.slice("keys", F.lit(1), F.col("rest"))).alias("key")), "rarest-members")
+    heads = rarest.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return components(rarest.join(heads, "key").select(F.col("node").alias("a"), F.col("head").alias("b")))
+
+
+def _members(groups):
+    """node and root of all nodes of ``groups`` (a, b: node and root)."""
     rows = groups.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    rows = rows.unionAll(rows.select(F.col("root").alias("node"), "root").distinct())
-    rows = rows.join(parts.select(F.col("a").alias("node"), F.col("b").alias("part")), "node", "left")
-    rows = rows.withColumn("part", F.coalesce("part", "node")).join(sets, "node")
-    weight = F.sum(F.lit(ROW_BYTES) + 8 * F.size("shingles"))
+    return rows.unionAll(rows.select(F.col("root").alias("node"), "root").distinct())
+
+
+def _blocks(rows):
+    """For each root with several parts among ``rows`` (node, root, part, size): its largest part, the blocks of the others, all blocks."""
+    weight = F.sum(F.lit(ROW_BYTES) + 8 * F.col("size"))
     whole = rows.groupBy("root", "part").agg(weight.alias("bytes")).groupBy("root").agg(
         F.max_by("part", F.struct("bytes", "part")).alias("major"), F.max("bytes").alias("most"), F.sum("bytes").alias("bytes"),
         F.count(F.lit(1)).alias("n")).where("n > 1")
     small = F.col("bytes") <= BLOCK_BYTES
-    whole = whole.select(
+    return whole.select(
         "root", "major", F.when(small, 0).otherwise(F.ceil((F.col("bytes") - F.col("most")) / BLOCK_BYTES)).alias("minors"),
         F.when(small, 1).otherwise(F.ceil(F.col("bytes") / BLOCK_BYTES) + 1).alias("blocks"))
+
+
+def remaining(sets, groups, parts, percent):
+    """(a, b): links between different ``parts`` (a, b: node and part) of one group of ``groups`` (a, b: node and root).
+
+    The sets of a group are dealt into blocks; blocks of its largest part, which is linked already, do not
+    meet each other, all others do. A group that would have many blocks is cut finer first.
+    """
+    rows = _members(groups).join(parts.select(F.col("a").alias("node"), F.col("b").alias("part")), "node", "left")
+    rows = rows.withColumn("part", F.coalesce("part", "node")).join(sets.select("node", F.size("shingles").alias("size")), "node")
+    rows = written(rows, "group-members")
+    whole = _blocks(rows)
+    wide = written(rows.join(whole.where(F.col("minors") > WIDE), "root", "left_semi"), "wide-groups")
+    if wide.limit(1).count():
+        again = _members(finer(sets, wide.select("node", "root", "size"), percent))
+        again = again.join(wide.select("node", "part", "size"), "node").select(*rows.columns)
+        rows = written(rows.join(wide.select("root").distinct(), "root", "left_anti").select(*rows.columns).unionAll(again), "finer-members")
+        whole = _blocks(rows)
     # Blocks under ``minors`` hold the other parts, those from there on the largest one.
     rows = rows.join(whole, "root").withColumn("hash", F.xxhash64("node")).withColumn("own", F.when(
         (F.col("part") == F.col("major")) | (F.col("minors") == 0), F.col("minors") + F.expr("pmod(hash, blocks - minors)")
@@ -217,15 +291,17 @@ def remaining(sets, groups, parts, percent):
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), reach.cast("bigint"))))
     rows = rows.where("own != other OR blocks = 1")
     key = F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other"))
-    rows = rows.select(key.alias("key"), "node", "part", "shingles").repartition("key").sortWithinPartitions("key")
+    rows = written(rows.select(key.alias("key"), "node", "part"), "group-blocks")
+    rows = broadcast_if_small(rows).join(sets, "node").select("key", "node", "part", "shingles")
+    rows = rows.repartition("key").sortWithinPartitions("key")
     return batches.map_arrow(rows, lambda parts: _block_links(parts, percent), "a bigint, b bigint")
 
 
 def _confirmed_sets(docs, nodes, pairs, shingle, percent):
-    """The sets of all nodes of ``pairs`` and the links among the pairs, both written."""
+    """The sets of all nodes of ``pairs`` and the links among the pairs, both written, and the folder of the sets."""
     inside = pairs.select(F.explode(F.array("hub", "other")).alias("node")).distinct().join(nodes, "node")
-    sets = written(shingle_sets(docs, written(inside, "candidate-nodes"), shingle), "candidate-sets")
-    return sets, written(confirmed(pairs, sets, percent), "confirmed-links")
+    sets, path = written_at(shingle_sets(docs, written(inside, "candidate-nodes"), shingle), "candidate-sets")
+    return sets, confirmed(pairs, sets, percent), path
 
 
 def similar_groups(docs, nodes, pairs, shingle, percent):
@@ -234,14 +310,16 @@ def similar_groups(docs, nodes, pairs, shingle, percent):
     ``nodes`` (node, doc_id) are the sets of ``docs``. ``pairs`` (hub, other), written and distinct, connect
     groups of candidates, all of whose pairs count as candidates.
     """
-    sets, links = _confirmed_sets(docs, nodes, pairs, shingle, percent)
+    sets, links, path = _confirmed_sets(docs, nodes, pairs, shingle, percent)
     groups = components(pairs.select(F.col("hub").alias("a"), F.col("other").alias("b")))
-    return components(links.unionAll(remaining(sets, groups, components(links), percent)))
+    found = components(links.unionAll(remaining(sets, groups, components(links), percent)))
+    drop(docs.sparkSession, [path])
+    return found
 
 
 def similar_components(docs, nodes, edges, shingle, percent):
     """As ``similar_groups`` for ``edges`` (list, hub, other): the stars of lists whose pairs are the candidates."""
-    sets, links = _confirmed_sets(docs, nodes, edges.select("hub", "other").distinct(), shingle, percent)
+    sets, links, path = _confirmed_sets(docs, nodes, edges.select("hub", "other").distinct(), shingle, percent)
     parts = components(links)
     part_of = parts.select(F.col("a").alias("node"), F.col("b").alias("part"))
     large = edges.where("list IS NOT NULL")
@@ -250,4 +328,6 @@ def similar_components(docs, nodes, edges, shingle, percent):
         large = large.join(own, end, "left").withColumn(f"{end}_part", F.coalesce(f"{end}_part", end))
     lists = large.groupBy("list").agg(F.max(F.col("hub_part") != F.col("other_part")).alias("open")).where("open").select("list")
     groups = components(large.join(lists, "list", "left_semi").select(F.col("hub").alias("a"), F.col("other").alias("b")))
-    return components(links.unionAll(remaining(sets, groups, parts, percent)))
+    found = components(links.unionAll(remaining(sets, groups, parts, percent)))
+    drop(docs.sparkSession, [path])
+    return found
