@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from retail_lake.session import shared_dir, without_old_shuffles
+from retail_lake.session import remove, shared_dir, swept
 
 # Folders written in this session and not dropped yet, oldest first.
 _held = []
@@ -12,11 +12,11 @@ def written_at(df, name):
     """``df`` written once as Parquet under the shared scratch folder and read back, and its folder.
 
     What follows no longer depends on the lineage before, so a lost executor costs no more than its
-    own tasks. The folder comes from ``spark.checkpoint.dir``. Shuffle files go as soon as the table is written.
+    own tasks. The folder comes from ``spark.checkpoint.dir``. Shuffle files of earlier steps go if the write was long.
     """
-    without_old_shuffles(df.sparkSession)
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with swept(df.sparkSession):
+        df.write.parquet(path)
     _held.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
@@ -34,8 +34,7 @@ def all_columns(df):
 def drop(spark, paths):
     """Delete folders that nothing reads any more."""
     for path in paths:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        remove(spark, path)
         _held.remove(path)
 
 

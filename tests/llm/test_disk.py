@@ -7,6 +7,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
+from retail_lake import session
 from retail_lake.llm import jaccard_join, near_dedup, scratch, verified_links
 from retail_lake.llm.shingles import set_name, shingle_set
 
@@ -62,7 +63,8 @@ def test_a_chained_group_is_cut_before_its_pairs_are_compared(spark, monkeypatch
     assert blocks <= 4 * len(names) if not wide else blocks > 8 * len(names)
 
 
-def test_shuffle_files_and_sets_go_with_their_step(spark):
+def test_shuffle_files_and_sets_go_with_their_step(spark, monkeypatch):
+    monkeypatch.setattr(session, "SWEEP_SECONDS", 0)
     docs = spark.createDataFrame(list(enumerate(texts(5))), "doc_id bigint, text string").repartition(4)
     spark._jvm.System.gc()
     time.sleep(2)
