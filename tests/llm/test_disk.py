@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retail_lake import session
-from retail_lake.llm import jaccard_join, near_dedup, scratch, verified_links
+from retail_lake.llm import components, jaccard_join, near_dedup, scratch, verified_links
 from retail_lake.llm.shingles import set_name, shingle_set
 
 
@@ -64,19 +64,25 @@ def test_a_chained_group_is_cut_before_its_pairs_are_compared(spark, monkeypatch
 
 
 def test_shuffle_files_and_sets_go_with_their_step(spark, monkeypatch):
-    monkeypatch.setattr(session, "SWEEP_SECONDS", 0)
     docs = spark.createDataFrame(list(enumerate(texts(5))), "doc_id bigint, text string").repartition(4)
-    spark._jvm.System.gc()
-    time.sleep(2)
-    before, held = shuffle_files(spark), set(scratch.held())
-    for apply in (jaccard_join.similar_documents, near_dedup.near_unique):
-        scratch.written(apply(docs), "test")
-    for _ in range(50):
-        if shuffle_files(spark) <= before:
-            break
-        time.sleep(0.2)
-    assert shuffle_files(spark) <= before
-    assert not [p for p in set(scratch.held()) - held if "candidate-sets" in p]
+    written, peaks = scratch.written_at, {}
+
+    def noted(df, name):
+        out = written(df, name)
+        time.sleep(0.3)
+        peaks[seconds] = max(peaks.get(seconds, 0), shuffle_files(spark) - before)
+        return out
+
+    for module in (scratch, verified_links, components):
+        monkeypatch.setattr(module, "written_at", noted)
+    for seconds in (1e9, 0):
+        monkeypatch.setattr(session, "SWEEP_SECONDS", seconds)
+        spark._jvm.System.gc()
+        time.sleep(2)
+        before, held = shuffle_files(spark), set(scratch.held())
+        jaccard_join.similar_documents(docs)
+        assert not [p for p in set(scratch.held()) - held if "candidate-sets" in p]
+    assert peaks[0] < peaks[1e9]
 
 
 def test_documents_that_stay_are_not_moved(spark):
