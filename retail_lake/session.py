@@ -15,6 +15,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 PACKED = {"compression": "zstd"}
 # A write of at least so many seconds may have moved much.
 SWEEP_SECONDS = 2.0
+# The listeners of a session hold the plan of a write for a moment after its end.
+LISTENERS_SECONDS = 0.3
 
 
 def build_session(master=None, app="retail-lake", **conf):
@@ -79,4 +81,5 @@ def swept(spark):
     yield
     if time.monotonic() - began >= SWEEP_SECONDS:
         gc.collect()
+        time.sleep(LISTENERS_SECONDS)
         spark.sparkContext._jvm.System.gc()
